@@ -1,89 +1,84 @@
 """Column layouts of the tables the jobs read and write.
 
 Every identifier is a string: feeds mix numeric and text ids, and an implicit cast
-would fail under ANSI mode on the first id that is not a number.
+would fail under ANSI mode on the first id that is not a number. Layouts are DDL text, so
+this module needs no session.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
 # Static GTFS files, in file column order (fixed by the GTFS text format).
 GTFS_FILES = {
-    "calendar": _struct(
+    "calendar": (
         "service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, "
         "saturday int, sunday int, start_date string, end_date string"
     ),
-    "calendar_dates": _struct("service_id string, date string, exception_type int"),
-    "trips": _struct(
+    "calendar_dates": "service_id string, date string, exception_type int",
+    "trips": (
         "route_id string, service_id string, trip_id string, trip_headsign string, "
         "trip_short_name string, direction_id int, block_id string, shape_id string, "
         "wheelchair_accessible int, bikes_allowed int"
     ),
-    "stop_times": _struct(
+    "stop_times": (
         "trip_id string, arrival_time string, departure_time string, stop_id string, "
         "stop_sequence int, stop_headsign string, pickup_type int, drop_off_type int, "
         "shape_dist_traveled double"
     ),
-    "stops": _struct(
+    "stops": (
         "stop_id string, stop_code string, stop_name string, stop_desc string, stop_lat double, "
         "stop_lon double, zone_id string, stop_url string, location_type int, parent_station string"
     ),
-    "routes": _struct(
+    "routes": (
         "route_id string, agency_id string, route_short_name string, route_long_name string, "
         "route_desc string, route_type int, route_url string, route_color string, "
         "route_text_color string"
     ),
-    "agency": _struct(
+    "agency": (
         "agency_id string, agency_name string, agency_url string, agency_timezone string, "
         "agency_lang string, agency_fare_url string"
     ),
-    "feed_info": _struct(
+    "feed_info": (
         "feed_publisher_name string, feed_publisher_url string, feed_lang string, "
         "feed_start_date string, feed_end_date string, feed_version string"
     ),
-    "directions": _struct(
+    "directions": (
         "direction string, direction_id int, route_id string, route_short_name string"
     ),
-    "direction_names_exceptions": _struct(
+    "direction_names_exceptions": (
         "route_name string, direction_id int, direction_name string, direction_do int"
     ),
-    "stop_order_exceptions": _struct(
+    "stop_order_exceptions": (
         "route_name string, direction_name string, direction_do int, stop_id string, "
         "stop_name string, stop_do int"
     ),
-    "signup_periods": _struct("sign_id string, from_date string, to_date string"),
+    "signup_periods": "sign_id string, from_date string, to_date string",
 }
 
 # Realtime tables and the key each one is upserted by. The alerts key has no snapshot
 # time, so a later snapshot of an alert replaces the earlier one.
 REALTIME_TABLES = {
     "trips": (
-        _struct(
+        (
             "trip_id string, start_date string, route_id string, direction_id int, snapshot_ts long"
         ),
         ("trip_id", "snapshot_ts"),
     ),
     "stops": (
-        _struct(
+        (
             "stop_id string, trip_id string, stop_sequence int, arrival_delay int, "
             "arrival_time long, departure_delay int, departure_time long, snapshot_ts long"
         ),
         ("stop_id", "trip_id", "stop_sequence", "snapshot_ts"),
     ),
     "vehicles": (
-        _struct("vehicle_id string, trip_id string, vehicle_label string, snapshot_ts long"),
+        "vehicle_id string, trip_id string, vehicle_label string, snapshot_ts long",
         ("vehicle_id", "trip_id", "snapshot_ts"),
     ),
     "alerts": (
-        _struct(
+        (
             "alert_id string, route_id string, active_period_start long, active_period_end long, "
             "stop_id string, route_type int, snapshot_ts long, cause int, effect int, "
             "severity_level int"
@@ -95,8 +90,7 @@ REALTIME_TABLES = {
 # Value stored for a missing time, delay, period end or stop.
 MISSING = -1
 
-TRIP_FEED = _struct(
-    """
+TRIP_FEED = """
     header struct<timestamp: long>,
     entity array<struct<
         id: string,
@@ -109,11 +103,9 @@ TRIP_FEED = _struct(
                 arrival: struct<delay: int, time: long>,
                 departure: struct<delay: int, time: long>>>,
             vehicle: struct<id: string, label: string>>>>
-    """
-)
+"""
 
-ALERT_FEED = _struct(
-    """
+ALERT_FEED = """
     header struct<timestamp: long>,
     entity array<struct<
         id: string,
@@ -123,13 +115,11 @@ ALERT_FEED = _struct(
             effect: int,
             severity_level: int,
             informed_entity: array<struct<route_type: int, route_id: string, stop_id: string>>>>>
-    """
-)
+"""
 
 # The same messages in the protobuf JSON mapping: lowerCamelCase names, 64-bit integers
 # as strings, enum names instead of numbers.
-TRIP_FEED_CAMEL = _struct(
-    """
+TRIP_FEED_CAMEL = """
     header struct<timestamp: string>,
     entity array<struct<
         id: string,
@@ -142,11 +132,9 @@ TRIP_FEED_CAMEL = _struct(
                 arrival: struct<delay: int, time: string>,
                 departure: struct<delay: int, time: string>>>,
             vehicle: struct<id: string, label: string>>>>
-    """
-)
+"""
 
-ALERT_FEED_CAMEL = _struct(
-    """
+ALERT_FEED_CAMEL = """
     header struct<timestamp: string>,
     entity array<struct<
         id: string,
@@ -156,8 +144,7 @@ ALERT_FEED_CAMEL = _struct(
             effect: string,
             severityLevel: string,
             informedEntity: array<struct<routeType: int, routeId: string, stopId: string>>>>>
-    """
-)
+"""
 
 # Enum numbers of the public GTFS-realtime specification, in order from 1.
 ALERT_CAUSES = (

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from headway.schemas import (
     ALERT_CAUSES,
@@ -18,12 +17,12 @@ from headway.schemas import (
 )
 
 
-def read_feed(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+def read_feed(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """A folder of feed messages, one JSON document per file."""
     return spark.read.schema(schema).option("multiLine", True).json(folder)
 
 
-def parse_feed(messages: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+def parse_feed(messages: DataFrame, column: str, schema: str) -> DataFrame:
     """Feed messages held as JSON text in ``column``."""
     return messages.select(F.from_json(column, schema).alias("m")).select("m.*")
 

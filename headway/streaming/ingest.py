@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from headway.operators.merge import SNAPSHOT, latest_by_key
@@ -19,7 +18,7 @@ BATCH = "batch_id"
 
 
 def read_feed_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 100
+    spark: SparkSession, folder: str, schema: str, files_per_batch: int = 100
 ) -> DataFrame:
     return (
         spark.readStream.schema(schema)
@@ -48,8 +47,8 @@ def upsert_stream(rows: DataFrame, table: str, folder: str, checkpoint: str) ->
 
 def current_table(spark: SparkSession, table: str, folder: str) -> DataFrame:
     schema, keys = REALTIME_TABLES[table]
-    stored = spark.read.schema(T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())]))
-    return latest_by_key(stored.parquet(folder).drop(BATCH).select(*schema.names), keys)
+    stored = spark.read.schema(f"{schema}, {BATCH} long").parquet(folder)
+    return latest_by_key(stored.drop(BATCH), keys)
 
 
 def compact(spark: SparkSession, table: str, folder: str, target: str) -> None:
