@@ -189,7 +189,7 @@ for _k in range(1, _MAX_ROUNDS + 1):
     _VIEWS[f"rides_{_k}"] = f"""
         SELECT r.* EXCLUDE (place) FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id, stop_id
-                                         ORDER BY arrival_secs, trip_id, board_stop, board_dep_secs) AS place
+                                         ORDER BY arrival_secs, trip_id) AS place
             FROM onward_{_k}) r
         LEFT JOIN known_{_k - 1} n ON n.query_id = r.query_id AND n.stop_id = r.stop_id
         WHERE place = 1 AND (n.arrival_secs IS NULL OR r.arrival_secs < n.arrival_secs)"""
@@ -208,7 +208,7 @@ for _k in range(1, _MAX_ROUNDS + 1):
         SELECT c.query_id, c.stop_id, {_k} AS round, c.arrival_secs, c.mode, c.trip_id, c.board_stop,
                c.board_dep_secs, c.alight_stop, c.alight_secs
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id, stop_id
-                  ORDER BY arrival_secs, mode, trip_id, board_stop, board_dep_secs, alight_stop, alight_secs) AS place
+                  ORDER BY arrival_secs, mode, alight_stop) AS place
               FROM candidates_{_k}) c
         LEFT JOIN known_{_k - 1} n ON n.query_id = c.query_id AND n.stop_id = c.stop_id
         WHERE place = 1 AND (n.arrival_secs IS NULL OR c.arrival_secs < n.arrival_secs)"""
@@ -320,7 +320,6 @@ _BODIES: dict[str, str] = {
                                          ORDER BY dep_secs, trip_id, stop_sequence, stop_id) AS place FROM boardable_1)
         WHERE place = 1""",
     "downstream_stops": "SELECT query_id, trip_id, board_stop, stop_id, arrival_secs FROM onward_1",
-    # Every stop is reached by one ride of round 1 at most, improved or not.
     "footpath_relax": """
         SELECT query_id, stop_id, arrival_secs, mode, trip_id, board_stop, alight_stop FROM first_moves
         WHERE mode <> 'R'""",

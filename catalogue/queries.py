@@ -154,76 +154,89 @@ def _network(v: Views) -> routing.Network:
     return routing.prepare_network(v.ws, table.calls, table.services, table.stops, table.transfers)
 
 
-def _labels(v: Views) -> DataFrame:
-    return routing.label_rounds(v.ws, _network(v), v.searches)
-
-
 def _first_boardable(v: Views, network: routing.Network) -> DataFrame:
     return routing.boardable_calls(network, v.searches, routing.start_labels(network, v.searches))
 
 
+def _named(network: routing.Network, df: DataFrame, **stops: str) -> DataFrame:
+    return routing.name_trips(network, routing.name_stops(network, df, **stops))
+
+
 @_query
 def boardable_calls(v: Views) -> DataFrame:
-    return _first_boardable(v, _network(v)).select("query_id", "trip_id", "stop_id", "stop_sequence", "dep_secs")
+    network = _network(v)
+    calls = _first_boardable(v, network).select("query_id", "trip_no", "stop_no", "stop_sequence", "dep_secs")
+    return _named(network, calls, stop_no="stop_id")
 
 
 @_query
 def earliest_trip_per_pattern(v: Views) -> DataFrame:
-    return routing.earliest_trip_per_pattern(_first_boardable(v, _network(v)))
+    network = _network(v)
+    return _named(network, routing.earliest_trip_per_pattern(_first_boardable(v, network)), stop_no="stop_id")
 
 
 @_query
 def downstream_stops(v: Views) -> DataFrame:
     network = _network(v)
-    return routing.downstream_stops(network, routing.boardings(_first_boardable(v, network))).select(
-        "query_id", "trip_id", "board_stop", "stop_id", "arrival_secs"
-    )
+    onward = routing.downstream_stops(network, routing.boardings(_first_boardable(v, network)))
+    return _named(network, onward.drop("board_dep_secs"), stop_no="stop_id", board_no="board_stop")
 
 
-def _first_candidates(v: Views) -> DataFrame:
-    network = _network(v)
+def _first_candidates(v: Views, network: routing.Network) -> DataFrame:
     start = routing.start_labels(network, v.searches)
-    rides = routing.ride_candidates(network, v.searches, start)
-    return routing.reach_on_foot(network, rides, start).select(
-        "query_id", "stop_id", "arrival_secs", "mode", "trip_id", "board_stop", "alight_stop"
+    rides = routing.ride_candidates(network, v.searches, start).join(
+        start.select("query_id", "stop_no"), ["query_id", "stop_no"], "left_anti"
     )
+    return routing.reach_on_foot(network, rides, start).drop("board_dep_secs", "alight_secs")
+
+
+def _named_candidates(network: routing.Network, candidates: DataFrame) -> DataFrame:
+    stops = {"stop_no": "stop_id", "board_no": "board_stop", "alight_no": "alight_stop"}
+    return routing.name_modes(_named(network, candidates, **stops))
 
 
 @_query
 def footpath_relax(v: Views) -> DataFrame:
-    return _first_candidates(v).filter(F.col("mode") != routing.RIDE)
+    network = _network(v)
+    return _named_candidates(network, _first_candidates(v, network).filter(F.col("mode") != routing.RIDE))
 
 
 @_query
 def candidate_union(v: Views) -> DataFrame:
-    return _first_candidates(v)
+    network = _network(v)
+    return _named_candidates(network, _first_candidates(v, network))
 
 
 @_query
 def earliest_arrivals(v: Views) -> DataFrame:
-    return routing.earliest_arrivals(_labels(v))
+    network = _network(v)
+    return routing.earliest_arrivals(network, routing.label_rounds(v.ws, network, v.searches))
 
 
 @_query
 def reachable_by_round(v: Views) -> DataFrame:
-    return routing.reachable_by_round(_labels(v))
+    return routing.reachable_by_round(routing.label_rounds(v.ws, _network(v), v.searches))
 
 
 @_query
 def journey_legs(v: Views) -> DataFrame:
-    return journeys.journey_legs(_labels(v), v.destinations)
+    network = _network(v)
+    return journeys.journey_legs(network, routing.label_rounds(v.ws, network, v.searches), v.destinations)
 
 
 @_query
 def journeys_to_destinations(v: Views) -> DataFrame:
-    found = journeys.journeys(_labels(v), v.searches, v.destinations, v.stops)
-    lists = {c: F.concat_ws("|", c) for c in ("trip", "hops", "hop_names")}
-    return found.withColumns(lists)
+    network = _network(v)
+    labels = routing.label_rounds(v.ws, network, v.searches)
+    found = journeys.journeys(network, labels, v.searches, v.destinations, v.stops)
+    return found.withColumns({c: F.concat_ws("|", c) for c in ("trip", "hops", "hop_names")})
 
 
 @_query
 def best_journeys(v: Views) -> DataFrame:
-    return journeys.best_journeys(_labels(v), v.searches, v.destinations, v.stops, v.trips)
+    network = _network(v)
+    labels = routing.label_rounds(v.ws, network, v.searches)
+    return journeys.best_journeys(network, labels, v.searches, v.destinations, v.stops, v.trips)
 
 
 @_query
