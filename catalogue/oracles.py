@@ -229,7 +229,8 @@ for _k in range(2, _MAX_ROUNDS + 1):
         WHERE l.round > 0"""
 _VIEWS["hops"] = " UNION ALL ".join(f"SELECT * FROM hop_{k}" for k in range(1, _MAX_ROUNDS + 1))
 _VIEWS["legs"] = """
-    SELECT query_id, destination, row_number() OVER (PARTITION BY query_id, destination ORDER BY round, part) AS leg_no,
+    SELECT query_id, destination,
+           CAST(row_number() OVER (PARTITION BY query_id, destination ORDER BY round, part) AS INTEGER) AS leg_no,
            mode, trip_id, from_stop, to_stop, depart_secs, arrive_secs
     FROM (SELECT query_id, destination, round, 1 AS part, 'ride' AS mode, trip_id, board_stop AS from_stop,
                  alight_stop AS to_stop, board_dep_secs AS depart_secs, alight_secs AS arrive_secs
@@ -347,7 +348,8 @@ _BODIES: dict[str, str] = {
                    GROUP BY l.query_id, l.destination) g
           ON g.query_id = f.query_id AND g.destination = f.stop_id""",
     "best_journeys": """
-        SELECT l.query_id, r.rank, l.destination, r.minutes, r.rides, l.leg_no,
+        SELECT l.query_id, CAST(r.rank AS INTEGER) AS rank, l.destination, r.minutes,
+               CAST(r.rides AS INTEGER) AS rides, l.leg_no,
                CASE WHEN l.mode = 'walk' THEN 'Walk' ELSE t.trip_headsign END AS method,
                a.stop_name AS from_name, b.stop_name AS to_name
         FROM (SELECT f.query_id, f.stop_id, CAST((f.arrival_secs - s.departure_secs) // 60 AS INTEGER) AS minutes,
@@ -361,7 +363,7 @@ _BODIES: dict[str, str] = {
         JOIN stops b ON b.stop_id = l.to_stop
         WHERE r.rank <= 3""",
     "stop_search": """
-        SELECT term_id, rank, stop_id, stop_name FROM (
+        SELECT term_id, CAST(rank AS INTEGER) AS rank, stop_id, stop_name FROM (
             SELECT t.term_id, s.stop_id, s.stop_name,
                    row_number() OVER (PARTITION BY t.term_id ORDER BY length(s.stop_name), s.stop_name) AS rank
             FROM search_terms t JOIN stops s ON contains(lower(s.stop_name), lower(t.term)))
@@ -382,7 +384,7 @@ _BODIES: dict[str, str] = {
     "alerts_upsert": _LATEST_ALERTS,
     "rt_dedup_batch": "SELECT DISTINCT stop_id, trip_id, stop_sequence, snapshot_ts FROM rt_stops",
     "key_violations": " UNION ALL ".join(
-        f"""SELECT '{name}' AS table_name, count(*) AS repeated_keys, coalesce(sum(copies), 0) AS row_count
+        f"""SELECT '{name}' AS table_name, count(*) AS repeated_keys, CAST(coalesce(sum(copies), 0) AS BIGINT) AS row_count
         FROM (SELECT count(*) AS copies FROM {view} GROUP BY {keys} HAVING count(*) > 1)"""
         for name, (view, keys) in _KEYS.items()
     ),
@@ -407,7 +409,8 @@ _BODIES: dict[str, str] = {
     "delay_by_stop": """
         SELECT stop_id, round(avg(departure_delay), 4) AS avg_departure_delay FROM max_delay GROUP BY stop_id""",
     "delay_by_stop_time": """
-        SELECT stop_name, quarter(moment) AS quarter, month(moment) AS month, day(moment) AS day, hour(moment) AS hour,
+        SELECT stop_name, CAST(quarter(moment) AS INTEGER) AS quarter, CAST(month(moment) AS INTEGER) AS month,
+               CAST(day(moment) AS INTEGER) AS day, CAST(hour(moment) AS INTEGER) AS hour,
                round(avg(arrival_delay), 4) AS avg_arrival_delay
         FROM (SELECT *, make_timestamp(sch_arrival_time * 1000000) AS moment FROM max_delay WHERE sch_arrival_time IS NOT NULL)
         GROUP BY ALL""",

@@ -455,7 +455,11 @@ def running_time(v: Views) -> DataFrame:
 def lag_features(v: Views) -> DataFrame:
     lagged = features.lag_features(v.ws, _series(v))
     delays = [_rounded(f"arrival_delay_{i}") for i in range(1, features.HISTORY_STEPS + 1)]
-    others = [F.col(f"{f}_{i}") for f in ("arrival_time", "running_time") for i in range(1, features.HISTORY_STEPS + 1)]
+    others = [
+        F.col(f"{f}_{i}").cast("long").alias(f"{f}_{i}")
+        for f in ("arrival_time", "running_time")
+        for i in range(1, features.HISTORY_STEPS + 1)
+    ]
     return lagged.select(*VISIT, "position", _rounded("arrival_delay"), *delays, *others)
 
 

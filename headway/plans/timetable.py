@@ -35,7 +35,7 @@ class Timetable:
 def build_timetable(
     ws: Workspace, calendar: DataFrame, trips: DataFrame, calls: DataFrame, stops: DataFrame
 ) -> Timetable:
-    services = services_by_day(calendar)
+    services = ws.save(services_by_day(calendar), "services")
     running = trips_in_service(trips, services)
     kept = same_day_calls(calls)
     patterns = trip_patterns(kept, running).select("trip_id", "route_id", "service_id", "pattern")
