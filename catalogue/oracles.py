@@ -375,6 +375,9 @@ _BODIES: dict[str, str] = {
     "ingest_counts": """
         SELECT snapshot_ts, count(*) AS trips, count(*) AS stops, count(*) AS vehicles FROM rt_stops GROUP BY snapshot_ts""",
     "alert_entities": "SELECT * FROM alerts",
+    "alert_ingest_counts": """
+        SELECT snapshot_ts, count(*) AS alerts, 2 * count(*) AS informed, count(*) AS named
+        FROM alerts GROUP BY snapshot_ts""",
     "rt_upsert_trips": _latest("rt_trips", "trip_id, snapshot_ts", "start_date, route_id, direction_id"),
     "rt_upsert_stops": _latest(
         "rt_stops", "stop_id, trip_id, stop_sequence, snapshot_ts",

@@ -297,8 +297,8 @@ def ingest_counts(v: Views) -> DataFrame:
     return feeds.feed_counts(_trip_messages(v))
 
 
-@_query
-def alert_entities(v: Views) -> DataFrame:
+def _alert_messages(v: Views) -> DataFrame:
+    """Alerts as feed messages in JSON text; each informs an entity without a route as well."""
     end = F.when(F.col("active_period_end") != MISSING, F.col("active_period_end"))
     stop = F.when(F.col("stop_id") != str(MISSING), F.col("stop_id"))
     informed = F.struct("route_type", "route_id", stop.alias("stop_id"))
@@ -311,7 +311,17 @@ def alert_entities(v: Views) -> DataFrame:
     entity = F.struct(F.col("alert_id").alias("id"), body.alias("alert"))
     message = F.struct(F.struct(F.col("snapshot_ts").alias("timestamp")).alias("header"), F.array(entity).alias("entity"))
     texts = v.alerts.select(F.to_json(message).alias("json"))
-    return feeds.feed_alerts(feeds.parse_feed(texts, "json", ALERT_FEED))
+    return feeds.parse_feed(texts, "json", ALERT_FEED)
+
+
+@_query
+def alert_entities(v: Views) -> DataFrame:
+    return feeds.feed_alerts(_alert_messages(v))
+
+
+@_query
+def alert_ingest_counts(v: Views) -> DataFrame:
+    return feeds.alert_counts(_alert_messages(v))
 
 
 def _realtime(v: Views) -> dict[str, DataFrame]:
@@ -435,7 +445,7 @@ def _records(v: Views) -> DataFrame:
 
 
 def _series(v: Views) -> DataFrame:
-    return v.ws.save(features.delay_series(v.ws, _records(v)), "series")
+    return features.delay_series(v.ws, _records(v))
 
 
 @_query

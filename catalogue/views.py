@@ -114,7 +114,7 @@ class Views:
     @cached_property
     def calls(self) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, f"{shared_folder(self.spark)}:{self.folder}")
-        if key not in _stored:
+        if key not in _stored or not _stored[key].exists():
             ws = Workspace(self.spark)
             ws.save(self._derive_calls(), "stop_times")
             _stored[key] = ws

@@ -64,11 +64,13 @@ def drop_missing(df: DataFrame) -> DataFrame:
     return df.filter("arrival_time is not null")
 
 
-def running_time(ws: Workspace, df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def running_time(
+    ws: Workspace, df: DataFrame, rows_per_task: int = ROWS_PER_TASK, stored: bool = False
+) -> DataFrame:
     """Seconds since the previous call of the same trip and date; 0 at the first one."""
     lagged = history(
         ws, df, ["trip_id", "trip_date"], ["stop_sequence", "arrival_time", "stop_id"],
-        ["arrival_time"], 1, position="_call", rows_per_task=rows_per_task,
+        ["arrival_time"], 1, position="_call", rows_per_task=rows_per_task, stored=stored,
     )
     gap = F.col("arrival_time") - F.col("arrival_time_1")
     return lagged.withColumn(
@@ -79,32 +81,40 @@ def running_time(ws: Workspace, df: DataFrame, rows_per_task: int = ROWS_PER_TAS
 def delay_series(
     ws: Workspace, records: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Clean records with the three features as numbers; delays in minutes.
+    """Clean records with the three features as numbers, stored; delays in minutes.
 
     ``records`` is one row per trip, stop and date with ``direction_id``.
     """
     cleaned = drop_missing(replace_outliers(ws.save(records, "records")))
-    timed = running_time(ws, cleaned, rows_per_task)
-    return timed.withColumn("arrival_delay", F.col("arrival_delay") / 60).select(
+    timed = running_time(ws, cleaned, rows_per_task, stored=True)
+    series = timed.withColumn("arrival_delay", F.col("arrival_delay") / 60).select(
         *SERIES, "trip_id", "trip_date", "stop_id", "stop_sequence", "sch_arrival_time",
         *[F.col(f).cast("double").alias(f) if f != "arrival_time" else F.col(f) for f in FEATURES],
     )
+    return ws.save(series, "series")
 
 
 def lag_features(
     ws: Workspace, series: DataFrame, steps: int = HISTORY_STEPS, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Each row with the features of the ``steps`` rows before it; shorter histories drop out."""
-    lagged = history(ws, series, SERIES, SERIES_ORDER, FEATURES, steps, rows_per_task=rows_per_task)
+    """Each row with the features of the ``steps`` rows before it; shorter histories drop out.
+
+    ``series`` is a stored table.
+    """
+    lagged = history(
+        ws, series, SERIES, SERIES_ORDER, FEATURES, steps, rows_per_task=rows_per_task, stored=True
+    )
     return lagged.filter(F.col("position") > steps)
 
 
-def mark_test_rows(supervised: DataFrame, steps: int = HISTORY_STEPS, share: float = TEST_SHARE) -> DataFrame:
-    """Flag ``is_test``: the last share of each series, rounded down. Needs ``position``."""
-    sizes = supervised.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_rows"))
+def mark_test_rows(
+    lagged: DataFrame, series: DataFrame, steps: int = HISTORY_STEPS, share: float = TEST_SHARE
+) -> DataFrame:
+    """Flag ``is_test``: the last share of the lagged rows of each series, rounded down."""
+    sizes = series.groupBy(*SERIES).agg((F.count(F.lit(1)) - steps).alias("_rows"))
     train_rows = F.col("_rows") - F.floor(F.col("_rows") * share)
     return (
-        join_same(supervised, sizes, SERIES)
+        join_same(lagged, sizes, SERIES)
         .withColumn("is_test", F.col("position") - steps > train_rows)
         .drop("_rows")
     )

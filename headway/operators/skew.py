@@ -75,21 +75,24 @@ def number_rows(
     order: Sequence[str],
     position: str = "position",
     rows_per_task: int = ROWS_PER_TASK,
+    stored: bool = False,
 ) -> DataFrame:
     """Number the rows of every key 1..n in ``order``, which must be total.
 
+    The rows are read twice; say ``stored`` if that is cheap, else they are stored first.
     With moderate keys this is one window. A larger key is cut by a range partitioning
     into sorted blocks, numbered inside each block, and shifted by the size of the blocks
     before it; only one row per key and block meets in one task.
     """
     keys, order = list(keys), list(order)
-    stored = ws.save(df, "to_number")
-    if largest_group(stored, keys) <= rows_per_task:
+    if not stored:
+        df = ws.save(df, "to_number")
+    if largest_group(df, keys) <= rows_per_task:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return stored.withColumn(position, F.row_number().over(window).cast("long"))
+        return df.withColumn(position, F.row_number().over(window).cast("long"))
 
     blocks = ws.save(
-        stored.repartitionByRange(*keys, *order).withColumn("_block", F.spark_partition_id()),
+        df.repartitionByRange(*keys, *order).withColumn("_block", F.spark_partition_id()),
         "blocks",
     )
     earlier = (
@@ -106,7 +109,7 @@ def number_rows(
     inside = Window.partitionBy(*keys, "_block").orderBy(*order)
     local = blocks.withColumn("_local", F.row_number().over(inside))
     return join_same(local, shifts, [*keys, "_block"]).select(
-        *stored.columns, (F.col("_local") + F.col("_shift")).cast("long").alias(position)
+        *df.columns, (F.col("_local") + F.col("_shift")).cast("long").alias(position)
     )
 
 
@@ -120,6 +123,7 @@ def history(
     position: str = "position",
     rows_per_task: int = ROWS_PER_TASK,
     chunk_rows: int = CHUNK_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``<column>_1 .. <column>_<steps>``: the values 1..steps rows earlier in the series.
 
@@ -128,7 +132,7 @@ def history(
     """
     if steps > chunk_rows:
         raise ValueError("a chunk must hold at least the history length")
-    numbered = number_rows(ws, df, keys, order, position, rows_per_task)
+    numbered = number_rows(ws, df, keys, order, position, rows_per_task, stored)
     index = F.col(position) - 1
     home = F.floor(index / chunk_rows)
     into_next = index % chunk_rows >= chunk_rows - steps

@@ -100,8 +100,8 @@ def supervised_rows(
     ws: Workspace, series: DataFrame, steps: int = HISTORY_STEPS, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Stored training and test rows with their history."""
-    lagged = ws.save(lag_features(ws, series, steps, rows_per_task), "lags")
-    return ws.save(mark_test_rows(lagged, steps), "supervised")
+    lagged = lag_features(ws, series, steps, rows_per_task)
+    return ws.save(mark_test_rows(lagged, series, steps), "supervised")
 
 
 def fit(supervised: DataFrame, steps: int = HISTORY_STEPS) -> DelayModel:
@@ -203,7 +203,7 @@ def forecast_next_stops(
 
 
 def _last_rows(ws: Workspace, series: DataFrame, steps: int, rows_per_task: int) -> DataFrame:
-    numbered = number_rows(ws, series, SERIES, SERIES_ORDER, "position", rows_per_task)
+    numbered = number_rows(ws, series, SERIES, SERIES_ORDER, "position", rows_per_task, stored=True)
     sizes = numbered.groupBy(*SERIES).agg(F.max("position").alias("_rows"))
     return (
         join_same(numbered, sizes, SERIES)

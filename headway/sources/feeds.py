@@ -209,3 +209,17 @@ def feed_counts(messages: DataFrame) -> DataFrame:
         F.sum(F.coalesce(F.size(updates), F.lit(0))).alias("stops"),
         F.count("vehicle.id").alias("vehicles"),
     )
+
+
+def alert_counts(messages: DataFrame) -> DataFrame:
+    """Alerts, informed entities and the kept ones among them, per snapshot."""
+    alerts = messages.select(
+        _or_missing("header.timestamp").cast("long").alias("snapshot_ts"), F.explode("entity").alias("e")
+    ).filter("e.alert is not null")
+    informed = F.col("e.alert.informed_entity")
+    named = F.filter(informed, lambda i: i["route_id"] != "")
+    return alerts.groupBy("snapshot_ts").agg(
+        F.count(F.lit(1)).alias("alerts"),
+        F.sum(F.coalesce(F.size(informed), F.lit(0))).alias("informed"),
+        F.sum(F.coalesce(F.size(named), F.lit(0))).alias("named"),
+    )

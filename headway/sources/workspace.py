@@ -45,8 +45,15 @@ class Workspace:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
+    def _file_system(self):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def exists(self) -> bool:
+        files, path = self._file_system()
+        return files.exists(path)
+
+    def drop(self) -> None:
+        files, path = self._file_system()
+        files.delete(path, True)

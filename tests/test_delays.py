@@ -120,12 +120,13 @@ def series(spark, lengths, value=lambda key, i: float(i)):
 
 
 def test_short_series_and_tail_split(spark, ws):
-    lagged = features.lag_features(ws, series(spark, {"R1": 14, "R2": 15, "R3": 44}))
+    data = series(spark, {"R1": 14, "R2": 15, "R3": 44})
+    lagged = features.lag_features(ws, data)
     counts = dict(rows(lagged.groupBy("route_id").count()))
     assert counts == {"R2": 1, "R3": 30}
     first = lagged.filter("route_id = 'R2'").first()
     assert (first.arrival_delay, first.arrival_delay_1, first.arrival_delay_14) == (14.0, 13.0, 0.0)
-    marked = features.mark_test_rows(lagged)
+    marked = features.mark_test_rows(lagged, data)
     assert rows(marked.filter("is_test"), "route_id", "position") == [("R3", 42), ("R3", 43), ("R3", 44)]
     scaled = features.minmax_scale(marked, marked.filter("not is_test"))
     top = scaled.filter("route_id = 'R3'").agg(F.max("arrival_delay_scaled")).first()[0]
