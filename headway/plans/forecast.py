@@ -89,6 +89,11 @@ class DelayModel:
     def inputs(self) -> list[Column]:
         return [self.scale(F.col(c), _feature_of(c)) for c in lag_names(self.steps)]
 
+    def predict_row(self) -> Column:
+        """Delay in minutes from the lag columns of a row, as plain arithmetic."""
+        terms = [column * F.lit(weight) for column, weight in zip(self.inputs(), self.weights, strict=True)]
+        return self.to_minutes(sum(terms, F.lit(self.intercept)))
+
     def predict(self, inputs: Column) -> Column:
         """Delay in minutes from an array of scaled inputs."""
         weights = F.array(*[F.lit(w) for w in self.weights])
@@ -123,7 +128,7 @@ def fit(supervised: DataFrame, steps: int = HISTORY_STEPS) -> DelayModel:
 
 
 def predict_rows(model: DelayModel, supervised: DataFrame) -> DataFrame:
-    return supervised.withColumn("predicted_delay", model.predict(F.array(*model.inputs())))
+    return supervised.withColumn("predicted_delay", model.predict_row())
 
 
 def forecast_error(model: DelayModel, supervised: DataFrame) -> DataFrame:
