@@ -14,9 +14,10 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.sql.shuffle.partitions", "2")
         # Small inputs: compiling stages costs more than it saves.
         .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.adaptive.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
