@@ -32,7 +32,9 @@ def _days(name: str) -> Column:
 
 
 def _epoch(name: str) -> Column:
-    return F.unix_seconds(F.col(name).cast("timestamp"))
+    """Epoch seconds of a timestamp without time zone, whatever the session's zone is."""
+    clock = F.hour(name) * 3600 + F.minute(name) * 60 + F.second(name)
+    return _days(name).cast("long") * 86400 + clock
 
 
 class Views:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.times import DAY_SECS, epoch_day
+
 
 def delay_by_stop(fused: DataFrame) -> DataFrame:
     return (
@@ -16,15 +18,16 @@ def delay_by_stop(fused: DataFrame) -> DataFrame:
 
 def delay_by_stop_time(fused: DataFrame) -> DataFrame:
     """Average arrival delay by stop and by quarter, month, day and hour of the schedule."""
-    at = F.timestamp_seconds("sch_arrival_time")
+    at = F.col("sch_arrival_time")
+    day = epoch_day(at)
     return (
         fused.filter("sch_arrival_time is not null")
         .groupBy(
             "stop_name",
-            F.quarter(at).alias("quarter"),
-            F.month(at).alias("month"),
-            F.day(at).alias("day"),
-            F.hour(at).alias("hour"),
+            F.quarter(day).alias("quarter"),
+            F.month(day).alias("month"),
+            F.day(day).alias("day"),
+            F.floor(F.pmod(at, F.lit(DAY_SECS)) / 3600).cast("int").alias("hour"),
         )
         .agg(F.avg("arrival_delay").alias("avg_arrival_delay"))
     )

@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.times import DAY_SECS
+from headway.functions.times import DAY_SECS, clock_text, epoch_day
 from headway.operators.features import (
     FEATURES,
     HISTORY_STEPS,
@@ -200,10 +200,11 @@ def forecast_next_stops(
         .agg(F.array_sort(F.collect_list(F.struct("step", "next_trip", "next_stop", "next_secs"))).alias("calls"))
     )
     rolled = plans.join(histories, list(SERIES)).select(*SERIES, F.inline(_roll(model)))
+    at = F.col("scheduled")
     named = trips.select(F.col("trip_id").alias("next_trip"), F.col("trip_headsign").alias("trip_name"))
     return rolled.join(named, "next_trip", "left").select(
         *SERIES, "step", F.col("next_stop").alias("stop_name"), "trip_name", "delay",
-        F.date_format(F.timestamp_seconds("scheduled"), "yyyy-MM-dd HH:mm:ss").alias("scheduled_time"),
+        F.concat_ws(" ", epoch_day(at).cast("string"), clock_text(F.pmod(at, F.lit(DAY_SECS)))).alias("scheduled_time"),
     )
 
 
