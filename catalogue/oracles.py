@@ -24,6 +24,11 @@ _VIEWS: dict[str, str] = {
         FROM (VALUES ('monday', '1'), ('tuesday', '1'), ('wednesday', '1'), ('thursday', '1'),
                      ('friday', '1'), ('saturday', '2'), ('sunday', '3')) AS d(day, service_id)
         WHERE d.service_id IN (SELECT service_id FROM trips)""",
+    "exceptions": """
+        SELECT CASE WHEN n % 2 = 0 THEN CAST(CAST(service_id AS INTEGER) % 3 + 1 AS VARCHAR) ELSE service_id END AS service_id,
+               start_date AS service_date, n % 2 + 1 AS kind
+        FROM (SELECT service_id, start_date, count(*) AS n FROM trips GROUP BY service_id, start_date)
+        WHERE n % 5 = 0""",
     "calls": """
         SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_suppkey AS VARCHAR) AS stop_id,
                CAST(seq AS INTEGER) AS stop_sequence,
@@ -241,7 +246,7 @@ _VIEWS["legs"] = """
 
 # Computed once although several later views read them.
 _MATERIALIZED = re.compile(
-    r"trips|calls|kept|patterns|dated|served|all_transfers|moves|searches|destinations|rides_\d|labels_\d|known_\d|"
+    r"trips|exceptions|calls|kept|patterns|dated|served|all_transfers|moves|searches|destinations|rides_\d|labels_\d|known_\d|"
     r"labels|hops|legs|fused|records|spread|timed|series|lags|supervised"
 )
 
@@ -274,6 +279,14 @@ _BODIES: dict[str, str] = {
     "services_by_day": """
         SELECT v.day, v.service_id, count(*) AS trips FROM services v JOIN trips t ON t.service_id = v.service_id
         GROUP BY v.day, v.service_id""",
+    "services_by_date": """
+        SELECT strftime(d, '%Y%m%d') AS service_date, service_id FROM (
+            SELECT service_id, unnest(generate_series(min(strptime(start_date, '%Y%m%d')),
+                                                      max(strptime(start_date, '%Y%m%d')), INTERVAL 1 DAY)) AS d
+            FROM trips GROUP BY service_id)
+        WHERE service_id = CASE isodow(d) WHEN 6 THEN '2' WHEN 7 THEN '3' ELSE '1' END
+        EXCEPT SELECT service_date, service_id FROM exceptions WHERE kind = 2
+        UNION SELECT service_date, service_id FROM exceptions WHERE kind = 1""",
     "calendar_days": """
         SELECT strftime(d, '%Y%m%d') AS sch_date FROM (
             SELECT unnest(generate_series(min(strptime(start_date, '%Y%m%d')), max(strptime(start_date, '%Y%m%d')),

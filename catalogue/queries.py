@@ -45,6 +45,13 @@ def services_by_day(v: Views) -> DataFrame:
     return schedule.services_by_day(v.calendar).join(running, "service_id").select("day", "service_id", "trips")
 
 
+@_query
+def services_by_date(v: Views) -> DataFrame:
+    return schedule.services_by_date(v.calendar, v.calendar_dates).select(
+        F.date_format("service_date", "yyyyMMdd").alias("service_date"), "service_id"
+    )
+
+
 @_query
 def calendar_days(v: Views) -> DataFrame:
     return schedule.calendar_days(v.calendar).select(F.date_format("sch_date", "yyyyMMdd").alias("sch_date"))

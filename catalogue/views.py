@@ -73,6 +73,18 @@ class Views:
             .select("service_id", *flags, "start_date", "end_date")
         )
 
+    @cached_property
+    def calendar_dates(self) -> DataFrame:
+        """On every fifth count of trips a day loses its service or gains the next one."""
+        counted = self.trips.groupBy("service_id", "start_date").agg(F.count(F.lit(1)).alias("n"))
+        kind = (F.col("n") % 2 + 1).cast("int")
+        other = (F.col("service_id").cast("int") % 3 + 1).cast("string")
+        return counted.filter("n % 5 = 0").select(
+            F.when(kind == 1, other).otherwise(F.col("service_id")).alias("service_id"),
+            F.col("start_date").alias("date"),
+            kind.alias("exception_type"),
+        )
+
     def _derive_calls(self) -> DataFrame:
         """One call per order and supplier, numbered by (least line, supplier).
 

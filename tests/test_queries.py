@@ -16,7 +16,7 @@ REPO = os.path.dirname(os.path.abspath(entries.__file__))
 
 # Quick ones; the journey queries have their own brute-force tests.
 CHECKED = (
-    "services_by_day", "calendar_days", "trips_in_service", "departure_window", "trip_patterns",
+    "services_by_day", "services_by_date", "calendar_days", "trips_in_service", "departure_window", "trip_patterns",
     "trips_per_pattern", "walking_transfers", "stop_search", "feed_json_flatten", "ingest_counts",
     "alert_entities", "rt_upsert_stops", "alerts_upsert", "key_violations", "rt_bottom_k_delay",
     "fused_max_delay", "fused_route_compat", "delay_by_stop", "alerts_by_route",
