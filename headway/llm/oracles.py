@@ -82,12 +82,12 @@ stretches AS (
   SELECT source, lag(stop, 1, 0.0) OVER (ORDER BY source NULLS LAST) AS start, CASE WHEN later IS NULL THEN 2.0 ELSE stop END AS stop FROM ends
 ),
 points AS (
-  SELECT i, (i + 0.5) * CAST(0.6180339887498949 AS DOUBLE) - floor((i + 0.5) * CAST(0.6180339887498949 AS DOUBLE)) AS at
+  SELECT i, (i + 0.5) * CAST(0.6180339887498949 AS DOUBLE) - floor((i + 0.5) * CAST(0.6180339887498949 AS DOUBLE)) AS x
   FROM unit, unnest(range(CAST(ceil(total / CAST(words AS DOUBLE)) AS BIGINT))) AS r(i)
 ),
 ranked AS (
   SELECT source, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS rnk
-  FROM points JOIN stretches ON at >= start AND at < stop
+  FROM points JOIN stretches ON x >= start AND x < stop
 ),
 blocks AS (SELECT source, CAST(ceil(source_size / CAST(words AS DOUBLE)) AS BIGINT) AS n FROM sources, unit),
 turns AS (
