@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +40,9 @@ COMMON_BUCKETS = 1 << 22
 COMMON_TIMES = 8
 COMMON_LEAST = 32
 
+# Bits of the set that tells which texts may be compared.
+TEXT_BITS = 1 << 24
+
 # Rows of a list that one task compares with the whole list, and rows of a block of it.
 LIST_ROWS = 4096
 BLOCK_ROWS = 64
@@ -94,14 +98,14 @@ def _order(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """A row per document, ``(doc_id, doc_key, size, class)``, and rows ``(bucket, n)`` of n-gram counts."""
+    """A row per document, ``(doc_id, doc_key, digest, size, class)``, and rows ``(bucket, n)`` of n-gram counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COMMON_BUCKETS, np.uint32)
         seen: set[int] = set()
         for batch in batches:
             sizes, classes = [], []
-            for _, shingles in shingle_sets(batch.column(2), words):
+            for _, shingles in shingle_sets(batch.column(3), words):
                 name = _class_of(shingles) if len(shingles) else None
                 sizes.append(len(shingles))
                 classes.append(name)
@@ -110,7 +114,7 @@ def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
                     counts[(shingles[: prefix_length(len(shingles), percent)] & np.uint64(COMMON_BUCKETS - 1)).astype(np.int64)] += 1
             nothing = pa.nulls(len(sizes), pa.int64())
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), nothing, nothing],
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), nothing, nothing],
                 names=_SET_NAMES,
             )
         # A bucket that a task met once says nothing about common n-grams.
@@ -118,17 +122,18 @@ def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
         nothing = pa.nulls(len(buckets), pa.int64())
         yield pa.record_batch(
             [
-                nothing, pa.nulls(len(buckets), pa.binary()), nothing, nothing, pa.array(buckets, pa.int64()),
+                nothing, pa.nulls(len(buckets), pa.binary()), nothing, nothing, nothing, pa.array(buckets, pa.int64()),
                 pa.array(counts[buckets].astype(np.int64)),
             ],
             names=_SET_NAMES,
         )
 
-    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), document_key().alias("doc_key"), "text")
-    return read.mapInArrow(run, "doc_id bigint, doc_key binary, size bigint, class bigint, bucket bigint, n bigint")
+    read = docs.select("doc_id", document_key().alias("doc_key"), F.xxhash64("text").alias("digest"), "text")
+    kinds = "doc_id bigint, doc_key binary, digest bigint, size bigint, class bigint, bucket bigint, n bigint"
+    return read.mapInArrow(run, kinds)
 
 
-_SET_NAMES = ["doc_id", "doc_key", "size", "class", "bucket", "n"]
+_SET_NAMES = ["doc_id", "doc_key", "digest", "size", "class", "bucket", "n"]
 
 
 def _common_buckets(counted: DataFrame, percent: int) -> np.ndarray:
@@ -139,10 +144,18 @@ def _common_buckets(counted: DataFrame, percent: int) -> np.ndarray:
     indexed = counted.filter("bucket is null").agg(F.sum(prefix_length(F.col("size"), percent))).first()[0] or 0
     limit = COMMON_TIMES * indexed / COMMON_BUCKETS + COMMON_LEAST
     rows = counted.filter("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > limit)
-    bits = np.zeros(COMMON_BUCKETS // 8, np.uint8)
-    for row in rows.select("bucket").toLocalIterator():
-        bits[row["bucket"] >> 3] |= 1 << (row["bucket"] & 7)
-    return bits
+    return _bit_set(rows.select("bucket"), COMMON_BUCKETS)
+
+
+def _bit_set(numbers: DataFrame, bits: int) -> np.ndarray:
+    """The numbers below ``bits`` of a one-column table as a bit set, put together by 64 bits a row."""
+    number = F.col(numbers.columns[0])
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (number % 64).cast("int"))
+    words = numbers.groupBy(F.floor(number / 64).alias("word")).agg(F.bit_or(one).alias("set"))
+    table = np.zeros(bits // 64, np.int64)
+    for row in words.toLocalIterator():
+        table[row["word"]] = row["set"]
+    return table.view(np.uint8)
 
 
 def _index_rows(docs: DataFrame, common: np.ndarray, percent: int, words: int) -> DataFrame:
@@ -178,28 +191,29 @@ def _index_rows(docs: DataFrame, common: np.ndarray, percent: int, words: int) -
     return docs.select("text").mapInArrow(run, "gram bigint, class bigint, size int, place int, last bigint")
 
 
-def _class_texts(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """``(class, text)``: one text of each of the classes."""
+def _class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(class, text)``: a text of each class of the pairs.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            rows, names = [], []
-            for row, shingles in shingle_sets(batch.column(0), words):
-                name = _class_of(shingles) if len(shingles) else None
-                if name is not None and name not in seen:
-                    seen.add(name)
-                    rows.append(row)
-                    names.append(name)
-            if rows:
-                yield pa.record_batch([pa.array(names, pa.int64()), batch.column(0).take(pa.array(rows))], names=["class", "text"])
+    A bit set of fixed size drops most other texts before the shuffle; the join is exact.
+    """
+    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("digest").alias("digest"))
+    bits = docs.sparkSession.sparkContext.broadcast(
+        _bit_set(wanted.select(F.pmod("digest", F.lit(TEXT_BITS)).alias("bit")).distinct(), TEXT_BITS)
+    )
+
+    @F.pandas_udf("boolean")
+    def maybe_wanted(digest: pd.Series) -> pd.Series:
+        bit = digest.to_numpy() % TEXT_BITS
+        return pd.Series((bits.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)
 
-    texts = docs.select("text").mapInArrow(run, "class bigint, text string")
-    return texts.join(classes, "class", "left_semi").groupBy("class").agg(F.first("text").alias("text"))
+    texts = docs.select(F.xxhash64("text").alias("digest"), "text").filter(maybe_wanted("digest"))
+    return texts.join(wanted, "digest").groupBy("class").agg(F.first("text").alias("text"))
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """``(a, b, overlap)`` of pairs of classes, counted on the whole texts."""
+def _compare(ws: Workspace, pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
+    """``pairs (a, b, ...)`` of classes with their ``overlap``, counted on the whole texts."""
+    texts = ws.save(_class_texts(docs, sets, pairs), "class_texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +225,8 @@ def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     joined = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, overlap bigint")
+    counted = joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, overlap bigint")
+    return ws.save(counted.join(pairs, ["a", "b"]), "answers")
 
 
 def _linked(percent: int) -> Column:
@@ -237,7 +252,7 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
         F.col("pivot").alias("class"), F.col("pivot_size").alias("size"), F.col("pivot_last").alias("last")
     )
     stars = lists.filter("class <> pivot").filter(F.col("pivot_size") * 100 >= percent * F.col("size"))
-    counted = stars.groupBy(a.alias("x"), b.alias("y")).agg(F.countDistinct("gram").alias("shared"))
+    counted = stars.groupBy(a.alias("x"), b.alias("y")).agg(F.count(F.lit(1)).alias("shared"))
     sides = [F.col(f"{side}.{name}").alias(f"{new}_{end}") for side, end in (("x", "a"), ("y", "b")) for name, new in (("size", "size"), ("last", "last"))]
     return (
         counted.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), *sides, "shared")
@@ -248,9 +263,16 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
 def _pivots(index: DataFrame) -> DataFrame:
     """Add the first class of the list, by size, to its rows; lists of a single class go."""
-    whole = Window.partitionBy("gram").orderBy("size", "class").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = Window.partitionBy("gram").orderBy("size", "class")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = [F.first(c).over(whole).alias(p) for c, p in (("class", "pivot"), ("size", "pivot_size"), ("last", "pivot_last"))]
-    return index.select("*", *first, F.last("class").over(whole).alias("_end")).filter("pivot <> _end").drop("_end")
+    ends = F.last("class").over(whole).alias("_end"), F.lag("class").over(ordered).alias("_before")
+    # A class that several tasks met has its rows side by side here.
+    return (
+        index.select("*", *first, *ends)
+        .filter("pivot <> _end and (_before is null or _before <> class)")
+        .drop("_end", "_before")
+    )
 
 
 def _with_group(lists: DataFrame, groups: DataFrame) -> DataFrame:
@@ -263,8 +285,19 @@ def _with_group(lists: DataFrame, groups: DataFrame) -> DataFrame:
     return spans.filter("_low <> _high").drop("_low", "_high", "component")
 
 
+def _merge_equal_lists(ws: Workspace, lists: DataFrame) -> DataFrame:
+    """One list for all n-grams with the same classes, as from a passage that these share.
+
+    ``grams`` says how many n-grams it stands for. Lists are told apart by 128 bits.
+    """
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "class")).alias(f"mark_{seed}") for seed in (1, 2)]
+    marked = ws.save(lists.groupBy("gram").agg(*marks, F.count(F.lit(1)).alias("rows")), "list_marks")
+    kept = marked.groupBy("mark_1", "mark_2", "rows").agg(F.min("gram").alias("gram"), F.count(F.lit(1)).alias("grams"))
+    return ws.save(lists.join(kept.select("gram", "grams"), "gram"), "merged_lists")
+
+
 def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
-    """``(a, b, size_a, size_b, last_a, last_b, gram)``: pairs of different groups on a list.
+    """``(a, b, size_a, size_b, last_a, last_b, grams)``: pairs of different groups on a list.
 
     A list of more than ``list_rows`` rows is dealt to several tasks by class; each of them
     holds its share and passes once over the list's rows, block by block.
@@ -272,12 +305,12 @@ def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
     fanout = key_fanout(lists, ["gram"], list_rows)
     asking = spread(lists, ["gram"], fanout, ["class"]).withColumn("asks", F.lit(True))
     asked = copy_to_salts(lists, ["gram"], fanout).withColumn("asks", F.lit(False))
-    columns = ["gram", "salt", "asks", "size", "class", "place", "last", "grp", "pivot_overlap"]
+    columns = ["gram", "salt", "asks", "grams", "size", "class", "place", "last", "grp", "pivot_overlap"]
     rows = asking.select(*columns).unionByName(asked.select(*columns))
     dealt = rows.repartition("gram", "salt").sortWithinPartitions("gram", "salt", F.desc("asks"), "size", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, share, block = None, [], []
+        key, grams, share, block = None, 0, [], []
         for batch in batches:
             rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]
             gram, salt, asks = rows[:3]
@@ -285,17 +318,17 @@ def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
             edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(gram)]
             found: list[tuple] = []
             for start, end in zip(edges, edges[1:], strict=False):
-                part = [column[start:end] for column in rows[3:]]
+                part = [column[start:end] for column in rows[4:]]
                 if (gram[start], salt[start]) != key:
-                    found.extend(_partners(key, share, block, percent))
-                    key, share, block = (gram[start], salt[start]), [], []
+                    found.extend(_partners(grams, share, block, percent))
+                    key, grams, share, block = (gram[start], salt[start]), rows[3][start], [], []
                 (share if asks[start] else block).append(part)
                 if sum(len(p[0]) for p in block) >= BLOCK_ROWS:
-                    found.extend(_partners(key, share, block, percent))
+                    found.extend(_partners(grams, share, block, percent))
                     block = []
             if found:
                 yield _pair_batch(found)
-        found = list(_partners(key, share, block, percent))
+        found = list(_partners(grams, share, block, percent))
         if found:
             yield _pair_batch(found)
 
@@ -303,7 +336,7 @@ def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
 
 
 _PAIR_COLUMNS = (
-    ("gram", "bigint"), ("a", "bigint"), ("b", "bigint"), ("size_a", "bigint"), ("size_b", "bigint"),
+    ("grams", "bigint"), ("a", "bigint"), ("b", "bigint"), ("size_a", "bigint"), ("size_b", "bigint"),
     ("last_a", "bigint"), ("last_b", "bigint"),
 )
 
@@ -313,7 +346,7 @@ def _pair_batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch(arrays, names=[name for name, _ in _PAIR_COLUMNS])
 
 
-def _partners(key, share: list, block: list, percent: int) -> Iterator[tuple]:
+def _partners(grams: int, share: list, block: list, percent: int) -> Iterator[tuple]:
     """Pairs of a task's share of a list with blocks of the list, each from its larger set."""
     if not share or not block:
         return
@@ -338,20 +371,19 @@ def _partners(key, share: list, block: list, percent: int) -> Iterator[tuple]:
         i, j = np.nonzero(fits)
         if len(i):
             i = may[i]
-            yield np.full(len(i), key[0]), x_class[i], name[j], x_size[i], size[j], x_last[i], last[j]
+            yield np.full(len(i), grams), x_class[i], name[j], x_size[i], size[j], x_last[i], last[j]
 
 
 def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int) -> DataFrame:
     """``(doc_id, doc_key, size, component)`` of every row; no component without n-grams."""
     counted = ws.save(_sets_and_counts(docs, percent, words), "sets")
-    sets = counted.filter("bucket is null").select("doc_id", "doc_key", "size", "class")
+    sets = counted.filter("bucket is null").select("doc_id", "doc_key", "digest", "size", "class")
     common = _common_buckets(counted, percent)
     lists = ws.save(_pivots(_index_rows(docs, common, percent, words)), "lists")
-    texts = ws.save(_class_texts(docs, lists.select("class").distinct(), words), "class_texts")
 
     sides = ["a", "b", "size_a", "size_b"]
     stars = ws.save(_star_pairs(lists, percent), "star_pairs")
-    answers = ws.save(_compare(stars, texts, words).join(stars, ["a", "b"]), "star_answers")
+    answers = _compare(ws, stars, docs, sets, words)
     links = answers.filter(_linked(percent)).select("a", "b")
     groups = ws.save(components(ws, links), "groups")
 
@@ -361,8 +393,7 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     outside = spanning.join(pivot_group, "pivot", "left").filter("grp <> coalesce(pivot_grp, pivot)")
     second = _pivots(outside.select("gram", "class", "size", "place", "last"))
     more = ws.save(_star_pairs(second, percent).join(answers, ["a", "b"], "left_anti"), "second_pairs")
-    more_answers = ws.save(_compare(more, texts, words).join(more, ["a", "b"]), "second_answers")
-    answers = answers.unionByName(more_answers)
+    answers = answers.unionByName(_compare(ws, more, docs, sets, words))
     links = answers.filter(_linked(percent)).select("a", "b")
     groups = ws.save(components(ws, links), "groups")
 
@@ -371,15 +402,15 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     overlap = F.when(F.col("class") == F.col("pivot"), F.col("size")).otherwise(F.coalesce("_overlap", F.lit(-1)))
     left = ws.save(left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap"), "open_lists")
     pairs = (
-        _block_pairs(left, percent, list_rows)
+        _block_pairs(_merge_equal_lists(ws, left), percent, list_rows)
         .groupBy(*sides, "last_a", "last_b")
-        .agg(F.countDistinct("gram").alias("shared"))
+        .agg(F.sum("grams").alias("shared"))
         .filter(_can_overlap(percent))
         .select(*sides)
     )
     done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = ws.save(pairs.join(done, ["a", "b"], "left_anti"), "open_pairs")
-    last = ws.save(_compare(pairs, texts, words).join(pairs, ["a", "b"]).filter(_linked(percent)).select("a", "b"), "open_links")
+    last = _compare(ws, pairs, docs, sets, words).filter(_linked(percent)).select("a", "b")
     groups = ws.save(components(ws, links.unionByName(last)), "groups")
 
     named = sets.join(groups.withColumnRenamed("node", "class"), "class", "left")
