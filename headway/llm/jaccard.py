@@ -20,14 +20,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.graph import components
-from headway.llm.tables import document_key
+from headway.llm.tables import bit_set, document_key, text_id, texts_of
 from headway.llm.words import BYTE_VALUES, Prefix, pieces, run_starts, word_spans
 from headway.operators.skew import copy_to_salts, key_fanout, spread
 from headway.sources.workspace import Workspace
@@ -40,9 +39,6 @@ COMMON_BUCKETS = 1 << 22
 COMMON_TIMES = 8
 COMMON_LEAST = 32
 
-# Bits of the set that tells which texts may be compared.
-TEXT_BITS = 1 << 24
-
 # Rows of a list that one task compares with the whole list, and rows of a block of it.
 LIST_ROWS = 4096
 BLOCK_ROWS = 64
@@ -128,7 +124,7 @@ def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
             names=_SET_NAMES,
         )
 
-    read = docs.select("doc_id", document_key().alias("doc_key"), F.xxhash64("text").alias("digest"), "text")
+    read = docs.select("doc_id", document_key().alias("doc_key"), text_id().alias("digest"), "text")
     kinds = "doc_id bigint, doc_key binary, digest bigint, size bigint, class bigint, bucket bigint, n bigint"
     return read.mapInArrow(run, kinds)
 
@@ -144,18 +140,7 @@ def _common_buckets(counted: DataFrame, percent: int) -> np.ndarray:
     indexed = counted.filter("bucket is null").agg(F.sum(prefix_length(F.col("size"), percent))).first()[0] or 0
     limit = COMMON_TIMES * indexed / COMMON_BUCKETS + COMMON_LEAST
     rows = counted.filter("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > limit)
-    return _bit_set(rows.select("bucket"), COMMON_BUCKETS)
-
-
-def _bit_set(numbers: DataFrame, bits: int) -> np.ndarray:
-    """The numbers below ``bits`` of a one-column table as a bit set, put together by 64 bits a row."""
-    number = F.col(numbers.columns[0])
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (number % 64).cast("int"))
-    words = numbers.groupBy(F.floor(number / 64).alias("word")).agg(F.bit_or(one).alias("set"))
-    table = np.zeros(bits // 64, np.int64)
-    for row in words.toLocalIterator():
-        table[row["word"]] = row["set"]
-    return table.view(np.uint8)
+    return bit_set(rows.select("bucket"), COMMON_BUCKETS)
 
 
 def _index_rows(docs: DataFrame, common: np.ndarray, percent: int, words: int) -> DataFrame:
@@ -192,23 +177,10 @@ def _index_rows(docs: DataFrame, common: np.ndarray, percent: int, words: int) -
 
 
 def _class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(class, text)``: a text of each class of the pairs.
-
-    A bit set of fixed size drops most other texts before the shuffle; the join is exact.
-    """
+    """``(class, text)``: a text of each class of the pairs."""
     classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("digest").alias("digest"))
-    bits = docs.sparkSession.sparkContext.broadcast(
-        _bit_set(wanted.select(F.pmod("digest", F.lit(TEXT_BITS)).alias("bit")).distinct(), TEXT_BITS)
-    )
-
-    @F.pandas_udf("boolean")
-    def maybe_wanted(digest: pd.Series) -> pd.Series:
-        bit = digest.to_numpy() % TEXT_BITS
-        return pd.Series((bits.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)
-
-    texts = docs.select(F.xxhash64("text").alias("digest"), "text").filter(maybe_wanted("digest"))
-    return texts.join(wanted, "digest").groupBy("class").agg(F.first("text").alias("text"))
+    wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("digest").alias("text_id"))
+    return texts_of(docs, wanted).drop("text_id")
 
 
 def _compare(ws: Workspace, pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:

@@ -109,3 +109,33 @@ taken AS (
 SELECT p.doc_id, size, source_size, target, coalesce(taken, 0) AS taken
 FROM placed p JOIN sources s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN taken USING (doc_id)
 """
+
+_ORACLES["op10_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (
+  SELECT page_id, body, octet_length(encode(body)) AS n, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((('0x' || substr(sha1(body) || '0', CAST(i * 5 // 4 AS INTEGER) + 1, 2))::INTEGER
+      >> CAST(3 - (i * 5) % 4 AS INTEGER)) & 31 AS INTEGER) + 1, 1)), '') AS digest
+  FROM payloads
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
+FROM digests WINDOW w AS (PARTITION BY body)
+"""
+
+_ORACLES["op7_doubling"] = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS win FROM docs, unnest(range(1, len(w) - 33)) AS r(i)
+),
+repeated AS (SELECT doc_id, i FROM windows WHERE win IN (SELECT win FROM windows GROUP BY win HAVING count(*) > 1)),
+removed AS (SELECT DISTINCT doc_id, j FROM repeated, unnest(range(i, i + 35)) AS r(j)),
+kept AS (
+  SELECT d.doc_id, string_agg(w[j], ' ' ORDER BY j) AS words, count(*) AS n
+  FROM docs d, unnest(range(1, len(w) + 1)) AS r(j) ANTI JOIN removed x ON x.doc_id = d.doc_id AND x.j = r.j GROUP BY d.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

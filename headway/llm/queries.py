@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import headway
-from headway.llm import decontamination, jaccard, language, line_chunks, mixing
+from headway.llm import decontamination, doubling, jaccard, language, line_chunks, mixing, warc
 from headway.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,14 @@ def op5_line_dedup(t: Tables) -> DataFrame:
 @_query
 def op9_source_mixing(t: Tables) -> DataFrame:
     return mixing.mix_sources(t.ws, t.documents).drop("source")
+
+
+@_query
+def op10_warc(t: Tables) -> DataFrame:
+    merged = warc.capture_histories(t.ws, t.pages)
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op7_doubling(t: Tables) -> DataFrame:
+    return doubling.without_repeated_windows(t.ws, t.documents)
