@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import headway
-from headway.llm import decontamination, doubling, jaccard, language, line_chunks, mixing, warc
+from headway.llm import decontamination, doubling, jaccard, language, line_chunks, mixing, suffixes, warc
 from headway.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def op10_warc(t: Tables) -> DataFrame:
 @_query
 def op7_doubling(t: Tables) -> DataFrame:
     return doubling.without_repeated_windows(t.ws, t.documents)
+
+
+@_query
+def op6_suffix_merge(t: Tables) -> DataFrame:
+    return suffixes.without_repeated_bytes(t.ws, t.documents)
