@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import headway
-from headway.llm import decontamination, doubling, jaccard, language, line_chunks, mixing, suffixes, warc
+from headway.llm import decontamination, doubling, jaccard, language, line_chunks, mixing, phrases, suffixes, warc
 from headway.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,12 @@ def op7_doubling(t: Tables) -> DataFrame:
 @_query
 def op6_suffix_merge(t: Tables) -> DataFrame:
     return suffixes.without_repeated_bytes(t.ws, t.documents)
+
+
+@_query
+def op3_phrase_fingerprints(t: Tables) -> DataFrame:
+    made = phrases.fingerprints(t.ws, t.documents)
+    return made.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
