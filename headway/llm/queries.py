@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import headway
-from headway.llm import decontamination, doubling, jaccard, language, line_chunks, mixing, phrases, suffixes, warc
+from headway.llm import decontamination, doubling, identifiers, jaccard, language, line_chunks, mixing, phrases, suffixes, warc
 from headway.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,8 @@ def op3_phrase_fingerprints(t: Tables) -> DataFrame:
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
         "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+@_query
+def op8_identifiers(t: Tables) -> DataFrame:
+    return identifiers.identifier_report(identifiers.find_identifiers(t.ws, t.documents))
