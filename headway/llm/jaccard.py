@@ -34,15 +34,20 @@ from headway.sources.workspace import Workspace
 SHINGLE_WORDS = 5
 PERCENT = 75
 
-# Buckets in which common n-grams are counted, and how many times the mean makes one common.
-COMMON_BUCKETS = 1 << 22
-COMMON_TIMES = 8
-COMMON_LEAST = 32
+# Buckets in which common n-grams are counted; one is common this much above chance.
+COMMON_BUCKETS = 1 << 24
+COMMON_LEAST = 8
+
+# Bits of a set's bitmap.
+BITMAP = 512
 
 # Rows of a list that one task compares with the whole list, and rows of a block of it.
 LIST_ROWS = 4096
 BLOCK_ROWS = 64
 
+# Pairs a task holds before it hands them on.
+PAIRS_AT_ONCE = 200_000
+
 _LOWER = np.arange(256)
 _LOWER[0x41:0x5B] += 0x20
 _LOWER_VALUES = BYTE_VALUES[_LOWER]
@@ -86,6 +91,14 @@ def prefix_length(size, percent: int = PERCENT):
     return size - (-((-percent * size) // 100)) + 1
 
 
+def _bitmap(shingles: np.ndarray) -> bytes:
+    """A bit for each n-gram of the set. Sets differ in at least as many n-grams as their bitmaps in
+    bits, which bounds their overlap ("Bitmap Filter", Sandes et al., 2020)."""
+    bits = np.zeros(BITMAP, bool)
+    bits[(shingles >> np.uint64(40)).astype(np.int64) & (BITMAP - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _order(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The global order: common n-grams after all others. The top bit says which are common."""
     bucket = shingles & np.uint64(COMMON_BUCKETS - 1)
@@ -97,20 +110,22 @@ def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
     """A row per document, ``(doc_id, doc_key, digest, size, class)``, and rows ``(bucket, n)`` of n-gram counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COMMON_BUCKETS, np.uint32)
+        counts = np.zeros(COMMON_BUCKETS, np.uint16)
         seen: set[int] = set()
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, bitmaps = [], [], []
             for _, shingles in shingle_sets(batch.column(3), words):
+                bitmaps.append(_bitmap(shingles))
                 name = _class_of(shingles) if len(shingles) else None
                 sizes.append(len(shingles))
                 classes.append(name)
                 if name is not None and name not in seen:
                     seen.add(name)
-                    counts[(shingles[: prefix_length(len(shingles), percent)] & np.uint64(COMMON_BUCKETS - 1)).astype(np.int64)] += 1
+                    bucket = (shingles[: prefix_length(len(shingles), percent)] & np.uint64(COMMON_BUCKETS - 1)).astype(np.int64)
+                    counts[bucket] = np.minimum(counts[bucket], 65534) + 1
             nothing = pa.nulls(len(sizes), pa.int64())
             yield pa.record_batch(
-                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), nothing, nothing],
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(bitmaps, pa.binary()), nothing, nothing],
                 names=_SET_NAMES,
             )
         # A bucket that a task met once says nothing about common n-grams.
@@ -118,27 +133,28 @@ def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
         nothing = pa.nulls(len(buckets), pa.int64())
         yield pa.record_batch(
             [
-                nothing, pa.nulls(len(buckets), pa.binary()), nothing, nothing, nothing, pa.array(buckets, pa.int64()),
+                nothing, pa.nulls(len(buckets), pa.binary()), nothing, nothing, nothing, pa.nulls(len(buckets), pa.binary()), pa.array(buckets, pa.int64()),
                 pa.array(counts[buckets].astype(np.int64)),
             ],
             names=_SET_NAMES,
         )
 
     read = docs.select("doc_id", document_key().alias("doc_key"), text_id().alias("digest"), "text")
-    kinds = "doc_id bigint, doc_key binary, digest bigint, size bigint, class bigint, bucket bigint, n bigint"
+    kinds = "doc_id bigint, doc_key binary, digest bigint, size bigint, class bigint, bitmap binary, bucket bigint, n bigint"
     return read.mapInArrow(run, kinds)
 
 
-_SET_NAMES = ["doc_id", "doc_key", "digest", "size", "class", "bucket", "n"]
+_SET_NAMES = ["doc_id", "doc_key", "digest", "size", "class", "bitmap", "bucket", "n"]
 
 
 def _common_buckets(counted: DataFrame, percent: int) -> np.ndarray:
-    """Bit set of the buckets of common n-grams: a fixed 512 KB however large the corpus is.
+    """Bit set of the buckets of common n-grams: a fixed 2 MB however large the corpus is.
 
     It only settles the order, which may be any; links don't depend on it.
     """
     indexed = counted.filter("bucket is null").agg(F.sum(prefix_length(F.col("size"), percent))).first()[0] or 0
-    limit = COMMON_TIMES * indexed / COMMON_BUCKETS + COMMON_LEAST
+    mean = indexed / COMMON_BUCKETS
+    limit = mean + 6 * mean**0.5 + COMMON_LEAST
     rows = counted.filter("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > limit)
     return bit_set(rows.select("bucket"), COMMON_BUCKETS)
 
@@ -277,14 +293,15 @@ def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
     fanout = key_fanout(lists, ["gram"], list_rows)
     asking = spread(lists, ["gram"], fanout, ["class"]).withColumn("asks", F.lit(True))
     asked = copy_to_salts(lists, ["gram"], fanout).withColumn("asks", F.lit(False))
-    columns = ["gram", "salt", "asks", "grams", "size", "class", "place", "last", "grp", "pivot_overlap"]
+    columns = ["gram", "salt", "asks", "grams", "size", "class", "place", "last", "grp", "pivot_overlap", "bitmap"]
     rows = asking.select(*columns).unionByName(asked.select(*columns))
     dealt = rows.repartition("gram", "salt").sortWithinPartitions("gram", "salt", F.desc("asks"), "size", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, grams, share, block = None, 0, [], []
         for batch in batches:
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) - 1)]
+            rows.append(np.frombuffer(b"".join(batch.column(len(columns) - 1).to_pylist()), np.uint64).reshape(len(batch), -1))
             gram, salt, asks = rows[:3]
             changes = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1]) | (asks[1:] != asks[:-1])
             edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(gram)]
@@ -298,6 +315,9 @@ def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
                 if sum(len(p[0]) for p in block) >= BLOCK_ROWS:
                     found.extend(_partners(grams, share, block, percent))
                     block = []
+                if sum(len(pairs[0]) for pairs in found) > PAIRS_AT_ONCE:
+                    yield _pair_batch(found)
+                    found = []
             if found:
                 yield _pair_batch(found)
         found = list(_partners(grams, share, block, percent))
@@ -322,10 +342,10 @@ def _partners(grams: int, share: list, block: list, percent: int) -> Iterator[tu
     """Pairs of a task's share of a list with blocks of the list, each from its larger set."""
     if not share or not block:
         return
-    x_size, x_class, x_place, x_last, x_group, x_pivot = (np.concatenate(c) for c in zip(*share, strict=True))
+    x_size, x_class, x_place, x_last, x_group, x_pivot, x_bits = (np.concatenate(c) for c in zip(*share, strict=True))
     listed = [np.concatenate(c) for c in zip(*block, strict=True)]
     for start in range(0, len(listed[0]), BLOCK_ROWS):
-        size, name, place, last, group, pivot = (c[start : start + BLOCK_ROWS] for c in listed)
+        size, name, place, last, group, pivot, bits = (c[start : start + BLOCK_ROWS] for c in listed)
         # Skip the block for a set that is too small, too large, or stands too far off in its order.
         reach = np.minimum(x_place, place.max()) + np.minimum(x_size - x_place, (size - place).max())
         may = (x_size >= size[0]) & (x_size * percent <= 100 * size[-1]) & (reach >= least_overlap(x_size, size[0], percent))
@@ -341,15 +361,18 @@ def _partners(grams: int, share: list, block: list, percent: int) -> Iterator[tu
         bound = np.where((xo >= 0) & (pivot >= 0), np.minimum(xo, pivot) + np.minimum(xs - xo, size - pivot), xs)
         fits = larger & (x_group[may, None] != group) & (rest >= need) & (bound >= need) & (xs * percent <= 100 * size)
         i, j = np.nonzero(fits)
+        i, need = may[i], need[i, j]
+        differ = np.bitwise_count(x_bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        likely = x_size[i] + size[j] - differ >= 2 * need
+        i, j = i[likely], j[likely]
         if len(i):
-            i = may[i]
             yield np.full(len(i), grams), x_class[i], name[j], x_size[i], size[j], x_last[i], last[j]
 
 
 def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int) -> DataFrame:
     """``(doc_id, doc_key, size, component)`` of every row; no component without n-grams."""
     counted = ws.save(_sets_and_counts(docs, percent, words), "sets")
-    sets = counted.filter("bucket is null").select("doc_id", "doc_key", "digest", "size", "class")
+    sets = counted.filter("bucket is null").select("doc_id", "doc_key", "digest", "size", "class", "bitmap")
     common = _common_buckets(counted, percent)
     lists = ws.save(_pivots(_index_rows(docs, common, percent, words)), "lists")
 
@@ -372,7 +395,9 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     known = answers.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("overlap").alias("_overlap"))
     left = _with_group(spanning.drop("grp"), groups).join(known, ["class", "pivot"], "left")
     overlap = F.when(F.col("class") == F.col("pivot"), F.col("size")).otherwise(F.coalesce("_overlap", F.lit(-1)))
-    left = ws.save(left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap"), "open_lists")
+    bitmaps = sets.groupBy("class").agg(F.first("bitmap").alias("bitmap"))
+    left = left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap").join(bitmaps, "class")
+    left = ws.save(left, "open_lists")
     pairs = (
         _block_pairs(_merge_equal_lists(ws, left), percent, list_rows)
         .groupBy(*sides, "last_a", "last_b")
