@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.tables import spare_name
 from headway.llm.words import word_spans
 from headway.sources.workspace import Workspace
 
@@ -195,8 +196,9 @@ def drop_contaminated(ws: Workspace, docs: DataFrame, items: DataFrame, window_w
 
     Rows are dropped by their text: equal texts are contaminated alike.
     """
+    name = spare_name(docs, "_leaked")
     texts = docs.select(F.lit(None).cast("bigint").alias("doc_id"), "text")
     found = find_contamination(ws, texts, items, window_words).filter(F.size("words") > 0)
-    leaked = ws.save(found.select(F.md5(F.col("text").cast("binary")).alias("_leaked")).distinct(), "contaminated")
+    leaked = ws.save(found.select(F.md5(F.col("text").cast("binary")).alias(name)).distinct(), "contaminated")
     key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    return docs.join(leaked, key == F.col("_leaked"), "left_anti")
+    return docs.join(leaked, key == F.col(name), "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.graph import components
-from headway.llm.tables import bit_set, document_key, text_id, texts_of
+from headway.llm.tables import bit_set, document_key, spare_name, text_id, texts_of
 from headway.llm.words import BYTE_VALUES, Prefix, pieces, run_starts, word_spans
 from headway.operators.skew import copy_to_salts, key_fanout, spread
 from headway.sources.workspace import Workspace
@@ -443,13 +443,14 @@ def one_of_each_group(
     A null id comes after all others. A document listed in several rows equal in id and text
     stays once; of rows of one id with different texts each is a document of its own.
     """
+    key, kept_key, listed = (spare_name(docs, name) for name in ("_key", "_kept_key", "_listed"))
     grouped = _grouped_sets(ws, docs, percent, words, list_rows)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key")
     alone = F.when(F.col("component").isNull(), F.col("doc_key"))
     kept = grouped.groupBy("component", alone.alias("alone")).agg(F.min(order).alias("kept")).select(
-        F.col("kept.doc_key").alias("_kept_key")
+        F.col("kept.doc_key").alias(kept_key)
     )
     kept = ws.save(kept, "kept_documents")
-    listed = F.row_number().over(Window.partitionBy("_key").orderBy("_kept_key"))
-    joined = docs.withColumn("_key", document_key()).join(kept, F.col("_key") == F.col("_kept_key"))
-    return joined.withColumn("_listed", listed).filter("_listed = 1").select(*docs.columns)
+    once = F.row_number().over(Window.partitionBy(key).orderBy(kept_key))
+    joined = docs.withColumn(key, document_key()).join(kept, F.col(key) == F.col(kept_key))
+    return joined.withColumn(listed, once).filter(F.col(listed) == 1).select(*docs.columns)

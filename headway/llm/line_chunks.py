@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.tables import document_key
+from headway.llm.tables import document_key, spare_name
 from headway.llm.words import BYTE_VALUES, Prefix, mix
 from headway.sources.workspace import Workspace
 
@@ -105,8 +105,8 @@ def repeated_chunks(ws: Workspace, docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
-    """``docs`` with all its columns, ``text`` without repeated chunks, and two columns more:
-    ``_lines`` before and ``_lines_removed``.
+    """``docs`` with all its columns, ``text`` without repeated chunks, and two columns more at the
+    end: ``_lines`` before and ``_lines_removed``, or longer names where those are taken.
 
     ``docs`` needs ``doc_id`` and ``text``. The lines that stay are joined by line breaks. A
     null text stays null and an empty one empty, without lines. A null id comes after all
@@ -115,9 +115,11 @@ def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
     their own. An empty table gives none.
     """
     dead = ws.save(repeated_chunks(ws, docs), "dead_chunks")
-    joined = docs.withColumn("_key", document_key()).join(
-        dead.select(F.col("doc_key").alias("_dead_key"), F.col("chunks").alias("_dead")), F.col("_key") == F.col("_dead_key"), "left"
+    key, dead_key, chunks = (spare_name(docs, name) for name in ("_key", "_dead_key", "_chunks"))
+    joined = docs.withColumn(key, document_key()).join(
+        dead.select(F.col("doc_key").alias(dead_key), F.col("chunks").alias(chunks)), F.col(key) == F.col(dead_key), "left"
     )
+    counts = [spare_name(docs, name) for name in ("_lines", "_lines_removed")]
     place, kept = docs.columns.index("text"), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,18 +137,18 @@ def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
                 texts.append(body)
             arrays = batch.columns[:kept]
             arrays[place] = pc.cast(pa.array(texts, pa.binary()), pa.string())
-            names = [*batch.schema.names[:kept], "_lines", "_lines_removed"]
+            names = [*batch.schema.names[:kept], *counts]
             yield pa.record_batch([*arrays, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=names)
 
-    counts = [T.StructField(name, T.LongType()) for name in ("_lines", "_lines_removed")]
-    return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *counts]))
+    return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in counts)]))
 
 
 def line_report(cleaned: DataFrame) -> DataFrame:
     """Counts and a digest of the text that is left, per row of ``without_repeats``."""
+    lines, removed = cleaned.columns[-2:]
     return cleaned.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.col("_lines").alias("n_lines"),
-        F.col("_lines_removed").alias("n_removed"),
+        F.col(lines).alias("n_lines"),
+        F.col(removed).alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )

@@ -40,6 +40,14 @@ def map_texts(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_id(text: str = "text") -> Column:
     """64 bits that name a whole text; null is empty here."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
