@@ -13,11 +13,11 @@ from headway.operators.fusion import fuse_max_delay
 from headway.operators.schedule import static_schedule
 from headway.plans.forecast import fit, forecast_next_stops, number_calls, supervised_rows
 from headway.plans.journeys import journeys_by_name
-from headway.plans.routing import prepare_network
+from headway.plans.routing import MAX_ROUNDS, WINDOW_SECS, prepare_network
 from headway.plans.timetable import build_timetable, preprocess
 from headway.schemas import ALERT_FEED, TRIP_FEED
 from headway.sources import feeds
-from headway.sources.gtfs import read_gtfs, stop_calls, write_csv
+from headway.sources.gtfs import ROWS_PER_FILE, read_gtfs, stop_calls, write_csv
 from headway.sources.workspace import Workspace
 from headway.streaming.ingest import current_table, read_feed_stream, upsert_stream
 
@@ -39,6 +39,13 @@ def _schedule(spark: SparkSession, folder: str) -> DataFrame:
 
 def journeys(spark: SparkSession, args: argparse.Namespace) -> None:
     ws = Workspace(spark)
+    try:
+        _journeys(spark, ws, args)
+    finally:
+        ws.drop()
+
+
+def _journeys(spark: SparkSession, ws: Workspace, args: argparse.Namespace) -> None:
     trips, stops = read_gtfs(spark, args.gtfs, "trips"), read_gtfs(spark, args.gtfs, "stops")
     table = build_timetable(
         ws, read_gtfs(spark, args.gtfs, "calendar"), trips, stop_calls(read_gtfs(spark, args.gtfs, "stop_times")), stops
@@ -48,9 +55,10 @@ def journeys(spark: SparkSession, args: argparse.Namespace) -> None:
         [(1, args.day, args.time, args.origin, args.destination)],
         "request_id int, day string, time string, origin string, destination string",
     ).withColumn("departure_secs", clock_secs(F.col("time")))
-    found = journeys_by_name(ws, network, request.drop("time"), stops, trips)
-    found.orderBy("origin_name", "rank", "leg_no").show(100, truncate=False)
-    ws.drop()
+    found = journeys_by_name(
+        ws, network, request.drop("time"), stops, trips, max_rounds=args.rounds, window_secs=args.window
+    )
+    write_csv(found.orderBy("origin_name", "rank", "leg_no"), args.output)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -72,6 +80,13 @@ def fuse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def forecast(spark: SparkSession, args: argparse.Namespace) -> None:
     ws = Workspace(spark)
+    try:
+        _forecast(spark, ws, args)
+    finally:
+        ws.drop()
+
+
+def _forecast(spark: SparkSession, ws: Workspace, args: argparse.Namespace) -> None:
     schedule, trips = _schedule(spark, args.gtfs), read_gtfs(spark, args.gtfs, "trips")
     fused = fuse_max_delay(schedule, current_table(spark, "stops", args.folder), one_row=True)
     series = delay_series(ws, fused.join(trips.select("trip_id", "direction_id"), "trip_id"))
@@ -79,7 +94,6 @@ def forecast(spark: SparkSession, args: argparse.Namespace) -> None:
     forecast_next_stops(ws, model, series, number_calls(ws, schedule), trips, args.stops).write.mode(
         "overwrite"
     ).parquet(args.output)
-    ws.drop()
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -89,12 +103,14 @@ def main(arguments: list[str] | None = None) -> None:
     job = jobs.add_parser("preprocess")
     job.add_argument("gtfs")
     job.add_argument("output")
-    job.add_argument("--files-per-day", type=int, default=8)
-    job.set_defaults(run=lambda spark, args: preprocess(spark, args.gtfs, args.output, args.files_per_day))
+    job.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
+    job.set_defaults(run=lambda spark, args: preprocess(spark, args.gtfs, args.output, args.rows_per_file))
 
     job = jobs.add_parser("journeys")
-    for name in ("gtfs", "day", "time", "origin", "destination"):
+    for name in ("gtfs", "day", "time", "origin", "destination", "output"):
         job.add_argument(name)
+    job.add_argument("--rounds", type=int, default=MAX_ROUNDS)
+    job.add_argument("--window", type=int, default=WINDOW_SECS, help="seconds after departure that are searched")
     job.set_defaults(run=journeys)
 
     job = jobs.add_parser("ingest")

@@ -12,14 +12,15 @@ from headway.schemas import REALTIME_TABLES
 SNAPSHOT = "snapshot_ts"
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the newest snapshot, then the greatest other columns in order.
+def latest_by_key(df: DataFrame, keys: Sequence[str], then: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the newest snapshot, then the greatest ``then`` and other columns in order.
 
     A maximum combines on the map side, so a key with very many versions costs one row
     per task instead of one long sort.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = [c for c in rest if c == SNAPSHOT] + [c for c in rest if c != SNAPSHOT]
+    first = [c for c in (SNAPSHOT, *then) if c in rest]
+    order = first + [c for c in rest if c not in first]
     if not order:
         return df.select(*keys).distinct()
     newest = F.max(F.struct(*order)).alias("_newest")

@@ -63,11 +63,6 @@ def copy_to_salts(
     )
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return top or 0
-
-
 def number_rows(
     ws: Workspace,
     df: DataFrame,
@@ -80,19 +75,17 @@ def number_rows(
     """Number the rows of every key 1..n in ``order``, which must be total.
 
     The rows are read twice; say ``stored`` if that is cheap, else they are stored first.
-    With moderate keys this is one window. A larger key is cut by a range partitioning
-    into sorted blocks, numbered inside each block, and shifted by the size of the blocks
-    before it; only one row per key and block meets in one task.
+    A range partitioning cuts the table into sorted blocks, as many as its rows need; rows
+    are numbered inside each block and shifted by the size of the key's blocks before it, so
+    only one row per key and block meets in one task. Ranges are drawn from a sample, hence
+    twice as many of them as would do.
     """
     keys, order = list(keys), list(order)
     if not stored:
         df = ws.save(df, "to_number")
-    if largest_group(df, keys) <= rows_per_task:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(position, F.row_number().over(window).cast("long"))
-
+    ranges = max(1, -(-2 * df.count() // rows_per_task))
     blocks = ws.save(
-        df.repartitionByRange(*keys, *order).withColumn("_block", F.spark_partition_id()),
+        df.repartitionByRange(ranges, *keys, *order).withColumn("_block", F.spark_partition_id()),
         "blocks",
     )
     earlier = (

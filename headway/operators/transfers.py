@@ -9,7 +9,7 @@ from headway.functions.geo import METRES_PER_DEGREE, WALKING_SPEED_MPS, haversin
 from headway.operators.skew import ROWS_PER_TASK, copy_to_salts, key_fanout, spread
 from headway.sources.workspace import Workspace
 
-# Stops beyond this latitude would need cells of unbounded width.
+# Bands of cells beyond this latitude are one cell around the globe.
 _MAX_LATITUDE = 89.0
 
 
@@ -33,7 +33,7 @@ def walking_transfers(
         """Whole number of cells around the globe in a band: wide enough at both its edges."""
         edge = F.greatest(F.abs(band * height), F.abs((band + 1) * height)) + height
         degrees = F.lit(height) / F.cos(F.radians(F.least(edge, F.lit(_MAX_LATITUDE))))
-        return F.greatest(F.floor(360.0 / degrees), F.lit(1))
+        return F.when(edge > _MAX_LATITUDE, F.lit(1)).otherwise(F.greatest(F.floor(360.0 / degrees), F.lit(1)))
 
     def column_in(band):
         turn = F.pmod(F.col("stop_lon") + 180.0, F.lit(360.0)) / 360.0

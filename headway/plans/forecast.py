@@ -37,7 +37,7 @@ def number_calls(ws: Workspace, schedule: DataFrame, rows_per_task: int = ROWS_P
     )
     numbered = ws.save(number_rows(ws, calls, SERIES, CALL_ORDER, "ordinal", rows_per_task), "ordinals")
     sizes = numbered.groupBy(*SERIES).agg(F.max("ordinal").alias("series_calls"))
-    return numbered.drop("_id_length").join(sizes, list(SERIES))
+    return join_same(numbered.drop("_id_length"), sizes, SERIES)
 
 
 def next_calls(numbered: DataFrame) -> DataFrame:
@@ -51,13 +51,10 @@ def next_calls(numbered: DataFrame) -> DataFrame:
         F.col("stop_id").alias("next_stop_id"),
         F.col("sch_arrival_secs").alias("next_arrival_secs"),
     )
-    return (
-        numbered.withColumn("_next", F.col("ordinal") % F.col("series_calls") + 1)
-        .join(following, [*SERIES, "_next"])
-        .select(
-            *SERIES, "trip_id", "stop_sequence", "stop_id", "next_trip_id", "next_stop_sequence",
-            "next_stop_id", "next_arrival_secs",
-        )
+    placed = numbered.withColumn("_next", F.col("ordinal") % F.col("series_calls") + 1)
+    return join_same(placed, following, [*SERIES, "_next"]).select(
+        *SERIES, "trip_id", "stop_sequence", "stop_id", "next_trip_id", "next_stop_sequence",
+        "next_stop_id", "next_arrival_secs",
     )
 
 
@@ -151,13 +148,10 @@ def _seeds(series: DataFrame, numbered: DataFrame, model: DelayModel) -> DataFra
         ).alias("last")
     )
     places = numbered.select(*SERIES, "trip_id", "stop_sequence", "ordinal", "series_calls", "sch_arrival_secs")
-    return (
-        latest.select(*SERIES, "last.*")
-        .join(places, [*SERIES, "trip_id", "stop_sequence"])
-        .select(
-            *SERIES, "ordinal", "series_calls", "arrival_time", "sch_arrival_secs",
-            (F.col("sch_arrival_time") - F.col("sch_arrival_secs")).alias("day_start"),
-        )
+    last = latest.select(*SERIES, "last.*")
+    return join_same(last, places, [*SERIES, "trip_id", "stop_sequence"]).select(
+        *SERIES, "ordinal", "series_calls", "arrival_time", "sch_arrival_secs",
+        (F.col("sch_arrival_time") - F.col("sch_arrival_secs")).alias("day_start"),
     )
 
 
@@ -195,11 +189,11 @@ def forecast_next_stops(
     )
     # ``stops`` entries per series.
     plans = (
-        ahead.join(calls, [*SERIES, "_at"])
+        join_same(ahead, calls, [*SERIES, "_at"])
         .groupBy(*SERIES, "arrival_time", "sch_arrival_secs", "day_start")
         .agg(F.array_sort(F.collect_list(F.struct("step", "next_trip", "next_stop", "next_secs"))).alias("calls"))
     )
-    rolled = plans.join(histories, list(SERIES)).select(*SERIES, F.inline(_roll(model)))
+    rolled = join_same(plans, histories, SERIES).select(*SERIES, F.inline(_roll(model)))
     at = F.col("scheduled")
     named = trips.select(F.col("trip_id").alias("next_trip"), F.col("trip_headsign").alias("trip_name"))
     return rolled.join(named, "next_trip", "left").select(

@@ -15,7 +15,7 @@ from headway.operators.schedule import (
     trips_in_service,
 )
 from headway.operators.transfers import walking_transfers
-from headway.sources.gtfs import read_gtfs, stop_calls, write_days
+from headway.sources.gtfs import ROWS_PER_FILE, read_gtfs, stop_calls, write_days
 from headway.sources.workspace import Workspace
 
 
@@ -77,17 +77,19 @@ def transfers_by_day(timetable: Timetable) -> DataFrame:
     )
 
 
-def preprocess(spark: SparkSession, source: str, target: str, files_per_day: int = 8) -> None:
+def preprocess(spark: SparkSession, source: str, target: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Schedule files in, per-day Parquet tables ``stop_times``, ``transfers``, ``stops`` out."""
     ws = Workspace(spark)
-    timetable = build_timetable(
-        ws,
-        read_gtfs(spark, source, "calendar"),
-        read_gtfs(spark, source, "trips"),
-        stop_calls(read_gtfs(spark, source, "stop_times")),
-        read_gtfs(spark, source, "stops"),
-    )
-    write_days(calls_by_day(timetable), f"{target}/stop_times", "trip_id", files_per_day)
-    write_days(transfers_by_day(timetable), f"{target}/transfers", "from_stop_id", files_per_day)
-    write_days(stops_by_day(timetable), f"{target}/stops", "stop_id", files_per_day)
-    ws.drop()
+    try:
+        timetable = build_timetable(
+            ws,
+            read_gtfs(spark, source, "calendar"),
+            read_gtfs(spark, source, "trips"),
+            stop_calls(read_gtfs(spark, source, "stop_times")),
+            read_gtfs(spark, source, "stops"),
+        )
+        write_days(calls_by_day(timetable), f"{target}/stop_times", "trip_id", rows_per_file)
+        write_days(transfers_by_day(timetable), f"{target}/transfers", "from_stop_id", rows_per_file)
+        write_days(stops_by_day(timetable), f"{target}/stops", "stop_id", rows_per_file)
+    finally:
+        ws.drop()

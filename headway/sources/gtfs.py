@@ -9,6 +9,9 @@ from headway.functions.times import clock_secs
 from headway.schemas import GTFS_FILES
 
 
+ROWS_PER_FILE = 5_000_000
+
+
 def read_gtfs(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One GTFS text file with its fixed column types."""
     return (
@@ -35,16 +38,17 @@ def read_day(spark: SparkSession, folder: str, day: str) -> DataFrame:
     return spark.read.parquet(folder).filter(F.col("day") == day)
 
 
-def write_days(df: DataFrame, folder: str, spread_by: str, files_per_day: int = 8) -> None:
-    """Overwrite the days present in ``df``, each day in several sorted files.
+def write_days(df: DataFrame, folder: str, spread_by: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Overwrite the days present in ``df``, each day in sorted files.
 
-    Rows with one ``spread_by`` value may be many, so files are cut by the whole row.
+    The size of the data decides the number of tasks: Spark merges small partitions and
+    splits large ones, also those of a single ``spread_by`` value.
     """
-    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
     (
-        df.repartition("day", bucket)
+        df.hint("rebalance", "day", spread_by)
         .sortWithinPartitions("day", spread_by)
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(folder)

@@ -2,7 +2,8 @@
 
 A snapshot arrives as a file in a landing folder. Every micro-batch is reduced to the
 latest row per key and stored under its batch id, so a replayed batch overwrites itself;
-the current table is the latest row per key over all batches.
+the current table is the latest row per key over all batches, a later batch correcting an
+earlier one of the same snapshot.
 """
 
 from __future__ import annotations
@@ -46,9 +47,10 @@ def upsert_stream(rows: DataFrame, table: str, folder: str, checkpoint: str) ->
 
 
 def current_table(spark: SparkSession, table: str, folder: str) -> DataFrame:
+    """The latest row per key; of equal snapshots the one that arrived in the later batch."""
     schema, keys = REALTIME_TABLES[table]
     stored = spark.read.schema(f"{schema}, {BATCH} long").parquet(folder)
-    return latest_by_key(stored.drop(BATCH), keys)
+    return latest_by_key(stored, keys, then=[BATCH]).drop(BATCH)
 
 
 def compact(spark: SparkSession, table: str, folder: str, target: str) -> None:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -18,6 +19,7 @@ def spark():
         # Small inputs: compiling stages costs more than it saves.
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.adaptive.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="headway-tests-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

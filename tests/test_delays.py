@@ -215,3 +215,9 @@ def test_stop_search_equals_a_scan(spark, ws, limit):
         hits = sorted((n for n in set(NAMES) if term.lower() in n.lower()), key=lambda n: (len(n), n))
         wanted += [(i, rank, ids[n], n) for rank, n in enumerate(hits[:3], 1)]
     assert rows(found) == sorted(wanted, key=repr)
+
+
+def test_calls_without_a_direction_keep_their_next_call(spark, ws):
+    static = schedule(spark, ("1", "a", 1, 10, "R", None), ("1", "b", 2, 20, "R", None), ("2", "a", 1, 5, "R", 0))
+    got = rows(forecast.next_calls(forecast.number_calls(ws, static)), "trip_id", "stop_sequence", "next_stop_sequence")
+    assert got == [("1", 1, 2), ("1", 2, 1), ("2", 1, 1)]

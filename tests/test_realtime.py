@@ -1,6 +1,7 @@
 import json
 
 from conftest import rows
+from pyspark.sql import functions as F
 from headway.operators import merge
 from headway.schemas import ALERT_FEED, REALTIME_TABLES, TRIP_FEED
 from headway.sources import feeds
@@ -171,3 +172,18 @@ def test_stream_without_duplicates(spark, tmp_path):
     once = suppress_duplicates(feeds.feed_stops(feeds.read_trip_updates(spark, str(landing))), "stops")
     assert rows(spark.read.parquet(str(tmp_path / "out")), *once.columns) == rows(once)
     assert once.count() == 2
+
+
+def test_a_later_batch_corrects_the_same_snapshot(spark, tmp_path):
+    landing, table, state = tmp_path / "landing", str(tmp_path / "stops"), str(tmp_path / "state")
+
+    def ingest():
+        flat = feeds.feed_stops(read_feed_stream(spark, str(landing), TRIP_FEED, 1))
+        run(upsert_stream(flat, "stops", table, state))
+
+    put(landing, "s1", trip_message(1000, 100))
+    ingest()
+    put(landing, "s2", trip_message(1000, 10))
+    ingest()
+    delays = current_table(spark, "stops", table).agg(F.max("arrival_delay"), F.max("departure_delay")).first()
+    assert max(delays) < 100

@@ -72,3 +72,16 @@ def test_numbering_of_any_list(spark, ws, items):
         ordered = sorted((v, i) for i, (k, v) in enumerate(items) if k == key)
         wanted += [(key, v, i, n) for n, (v, i) in enumerate(ordered, 1)]
     assert rows(got) == sorted(wanted, key=repr)
+
+
+def test_no_block_is_larger_than_a_task_should_hold(spark, ws):
+    """Also with adaptive execution, which must not merge the blocks again."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        df = spark.range(20_000).select(F.lit("one").alias("k"), (F.col("id") * 7919 % 20_000).alias("a"))
+        got = number_rows(ws, df, ["k"], ["a"], rows_per_task=1000)
+        assert got.filter("position <> a + 1").count() == 0
+        blocks = spark.read.parquet(f"{ws.folder}/{ws._tables:03d}-blocks").groupBy("_block").count()
+        assert blocks.agg(F.max("count")).first()[0] <= 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
