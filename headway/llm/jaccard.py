@@ -41,10 +41,13 @@ COMMON_LEAST = 8
 # Bits of a set's bitmap.
 BITMAP = 512
 
-# Rows of a list that one task compares with the whole list, and rows of a block of it.
+# Rows of a list that one task compares with the whole list, and classes of a block of it.
 LIST_ROWS = 4096
 BLOCK_ROWS = 64
 
+# Rounds of further pivots before the remaining pairs are looked at one by one.
+PIVOT_ROUNDS = 4
+
 # Pairs a task holds before it hands them on.
 PAIRS_AT_ONCE = 200_000
 
@@ -239,7 +242,8 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     a, b = F.struct("class", "size", "last"), F.struct(
         F.col("pivot").alias("class"), F.col("pivot_size").alias("size"), F.col("pivot_last").alias("last")
     )
-    stars = lists.filter("class <> pivot").filter(F.col("pivot_size") * 100 >= percent * F.col("size"))
+    near = F.least("size", "pivot_size") * 100 >= percent * F.greatest("size", "pivot_size")
+    stars = lists.filter("class <> pivot").filter(near)
     counted = stars.groupBy(a.alias("x"), b.alias("y")).agg(F.count(F.lit(1)).alias("shared"))
     sides = [F.col(f"{side}.{name}").alias(f"{new}_{end}") for side, end in (("x", "a"), ("y", "b")) for name, new in (("size", "size"), ("last", "last"))]
     return (
@@ -249,9 +253,10 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _pivots(index: DataFrame) -> DataFrame:
-    """Add the first class of the list, by size, to its rows; lists of a single class go."""
-    ordered = Window.partitionBy("gram").orderBy("size", "class")
+def _pivots(index: DataFrame, order: Column | None = None) -> DataFrame:
+    """Add a pivot of the list to its rows: the first class by size, or in another order. Lists of a
+    single class go."""
+    ordered = Window.partitionBy("gram").orderBy("size" if order is None else order, "class")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = [F.first(c).over(whole).alias(p) for c, p in (("class", "pivot"), ("size", "pivot_size"), ("last", "pivot_last"))]
     ends = F.last("class").over(whole).alias("_end"), F.lag("class").over(ordered).alias("_before")
@@ -285,88 +290,102 @@ def _merge_equal_lists(ws: Workspace, lists: DataFrame) -> DataFrame:
 
 
 def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
-    """``(a, b, size_a, size_b, last_a, last_b, grams)``: pairs of different groups on a list.
+    """``(a, b, size_a, size_b, last_a, last_b, shared)``: pairs of different groups on common lists.
 
-    A list of more than ``list_rows`` rows is dealt to several tasks by class; each of them
-    holds its share and passes once over the list's rows, block by block.
+    The lists of one pivot are handled together, so a pair that is on many of them is one row
+    with their number. Lists of more than ``list_rows`` rows are dealt to several tasks by class;
+    each of them holds its share of the lists and passes over their classes block by block.
     """
     fanout = key_fanout(lists, ["gram"], list_rows)
     asking = spread(lists, ["gram"], fanout, ["class"]).withColumn("asks", F.lit(True))
     asked = copy_to_salts(lists, ["gram"], fanout).withColumn("asks", F.lit(False))
-    columns = ["gram", "salt", "asks", "grams", "size", "class", "place", "last", "grp", "pivot_overlap", "bitmap"]
+    columns = ["pivot", "salt", "gram", "asks", "grams", "class", "size", "place", "last", "grp", "pivot_overlap", "bitmap"]
     rows = asking.select(*columns).unionByName(asked.select(*columns))
-    dealt = rows.repartition("gram", "salt").sortWithinPartitions("gram", "salt", F.desc("asks"), "size", "class")
+    dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "size", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, grams, share, block = None, 0, [], []
+        key, held = None, []
         for batch in batches:
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) - 1)]
-            rows.append(np.frombuffer(b"".join(batch.column(len(columns) - 1).to_pylist()), np.uint64).reshape(len(batch), -1))
-            gram, salt, asks = rows[:3]
-            changes = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1]) | (asks[1:] != asks[:-1])
-            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(gram)]
-            found: list[tuple] = []
+            data = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) - 1)]
+            data.append(np.frombuffer(b"".join(batch.column(len(columns) - 1).to_pylist()), np.uint64).reshape(len(batch), -1))
+            changes = (data[0][1:] != data[0][:-1]) | (data[1][1:] != data[1][:-1])
+            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(batch)]
             for start, end in zip(edges, edges[1:], strict=False):
-                part = [column[start:end] for column in rows[4:]]
-                if (gram[start], salt[start]) != key:
-                    found.extend(_partners(grams, share, block, percent))
-                    key, grams, share, block = (gram[start], salt[start]), rows[3][start], [], []
-                (share if asks[start] else block).append(part)
-                if sum(len(p[0]) for p in block) >= BLOCK_ROWS:
-                    found.extend(_partners(grams, share, block, percent))
-                    block = []
-                if sum(len(pairs[0]) for pairs in found) > PAIRS_AT_ONCE:
-                    yield _pair_batch(found)
-                    found = []
-            if found:
-                yield _pair_batch(found)
-        found = list(_partners(grams, share, block, percent))
-        if found:
-            yield _pair_batch(found)
-
-    return dealt.select(*columns).mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in _PAIR_COLUMNS))
-
-
-_PAIR_COLUMNS = (
-    ("grams", "bigint"), ("a", "bigint"), ("b", "bigint"), ("size_a", "bigint"), ("size_b", "bigint"),
-    ("last_a", "bigint"), ("last_b", "bigint"),
-)
-
-
-def _pair_batch(found: list[tuple]) -> pa.RecordBatch:
-    arrays = [pa.array(np.concatenate(column).astype(np.int64)) for column in zip(*found, strict=True)]
-    return pa.record_batch(arrays, names=[name for name, _ in _PAIR_COLUMNS])
-
-
-def _partners(grams: int, share: list, block: list, percent: int) -> Iterator[tuple]:
-    """Pairs of a task's share of a list with blocks of the list, each from its larger set."""
-    if not share or not block:
+                if (data[0][start], data[1][start]) != key:
+                    yield from _partners(held, percent)
+                    key, held = (data[0][start], data[1][start]), []
+                held.append([column[start:end] for column in data[2:]])
+        yield from _partners(held, percent)
+
+    return dealt.mapInArrow(run, ", ".join(f"{name} bigint" for name in _PAIR_COLUMNS))
+
+
+_PAIR_COLUMNS = ("shared", "a", "b", "size_a", "size_b", "last_a", "last_b")
+
+
+def _partners(held: list, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of the asking classes of some lists with blocks of all classes on them.
+
+    A block of classes, in the order of their sizes, knows its sizes and the range of its places;
+    classes that can't have a partner in it skip it. For the others, the lists that each pair
+    shares are counted as a product of two incidence matrices, and a pair leaves only if its
+    groups differ and neither the pivot nor the bitmaps rule it out.
+    """
+    if not held:
+        return
+    gram, asks, grams, name, size, place, last, group, pivot, bits = (np.concatenate(c) for c in zip(*held, strict=True))
+    asks = asks.astype(bool)
+    if not asks.any():
         return
-    x_size, x_class, x_place, x_last, x_group, x_pivot, x_bits = (np.concatenate(c) for c in zip(*share, strict=True))
-    listed = [np.concatenate(c) for c in zip(*block, strict=True)]
-    for start in range(0, len(listed[0]), BLOCK_ROWS):
-        size, name, place, last, group, pivot, bits = (c[start : start + BLOCK_ROWS] for c in listed)
-        # Skip the block for a set that is too small, too large, or stands too far off in its order.
-        reach = np.minimum(x_place, place.max()) + np.minimum(x_size - x_place, (size - place).max())
-        may = (x_size >= size[0]) & (x_size * percent <= 100 * size[-1]) & (reach >= least_overlap(x_size, size[0], percent))
+    _, first, weight_of = np.unique(gram, return_index=True, return_inverse=True)
+    weight = grams[first].astype(np.float32)
+
+    def members(rows: np.ndarray) -> tuple:
+        """Classes of the rows by size: a row each, with its places' range and its row numbers by class."""
+        by_class = rows[np.lexsort((name[rows], size[rows]))]
+        starts = np.flatnonzero(np.append(True, (name[by_class[1:]] != name[by_class[:-1]]))) if len(by_class) else np.zeros(0, int)
+        low = np.minimum.reduceat(place[by_class], starts)
+        high = np.maximum.reduceat(place[by_class], starts)
+        return by_class, starts, low, high
+
+    x_rows, x_starts, x_low, x_high = members(np.flatnonzero(asks))
+    y_rows, y_starts, y_low, y_high = members(np.flatnonzero(~asks))
+    x, y = x_rows[x_starts], y_rows[y_starts]
+    x_ends, y_ends = np.append(x_starts[1:], len(x_rows)), np.append(y_starts[1:], len(y_rows))
+
+    def incidence(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        counts = ends[at] - starts[at]
+        table = np.zeros((len(at), len(weight)), np.float32)
+        inside = np.concatenate([rows[starts[k] : ends[k]] for k in at]) if len(at) else np.zeros(0, int)
+        table[np.repeat(np.arange(len(at)), counts), weight_of[inside]] = 1
+        return table
+
+    for begin in range(0, len(y), BLOCK_ROWS):
+        block = np.arange(begin, min(begin + BLOCK_ROWS, len(y)))
+        ys = size[y[block]]
+        # Skip the block for classes too small or too large for it, or too far off in their order.
+        reach = np.minimum(x_high, y_high[block].max()) + np.minimum(size[x] - x_low, (ys - y_low[block]).max())
+        may = (size[x] >= ys[0]) & (size[x] * percent <= 100 * ys[-1]) & (reach >= least_overlap(size[x], ys[0], percent))
+        listed = incidence(y_rows, y_starts, y_ends, block) * weight
         may = np.flatnonzero(may)
-        if not len(may):
-            continue
-        xs, xo = x_size[may, None], x_pivot[may, None]
-        need = least_overlap(xs, size, percent)
-        larger = (xs > size) | ((xs == size) & (x_class[may, None] > name))
-        # At most so many n-grams are shared before this one, and so many from it on.
-        rest = np.minimum(x_place[may, None], place) + np.minimum(xs - x_place[may, None], size - place)
-        # What both share with the pivot, and what each has besides it.
-        bound = np.where((xo >= 0) & (pivot >= 0), np.minimum(xo, pivot) + np.minimum(xs - xo, size - pivot), xs)
-        fits = larger & (x_group[may, None] != group) & (rest >= need) & (bound >= need) & (xs * percent <= 100 * size)
-        i, j = np.nonzero(fits)
-        i, need = may[i], need[i, j]
-        differ = np.bitwise_count(x_bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-        likely = x_size[i] + size[j] - differ >= 2 * need
-        i, j = i[likely], j[likely]
-        if len(i):
-            yield np.full(len(i), grams), x_class[i], name[j], x_size[i], size[j], x_last[i], last[j]
+        for part in range(0, len(may), PAIRS_AT_ONCE // BLOCK_ROWS):
+            at = may[part : part + PAIRS_AT_ONCE // BLOCK_ROWS]
+            shared = incidence(x_rows, x_starts, x_ends, at) @ listed.T
+            xr, yr = x[at], y[block]
+            xs, xo = size[xr][:, None], pivot[xr][:, None]
+            need = least_overlap(xs, ys, percent)
+            larger = (xs > ys) | ((xs == ys) & (name[xr][:, None] > name[yr]))
+            # What both share with the pivot, and what each has besides it.
+            bound = np.where((xo >= 0) & (pivot[yr] >= 0), np.minimum(xo, pivot[yr]) + np.minimum(xs - xo, ys - pivot[yr]), xs)
+            fits = (shared > 0) & larger & (group[xr][:, None] != group[yr]) & (bound >= need) & (xs * percent <= 100 * ys)
+            i, j = np.nonzero(fits)
+            differ = np.bitwise_count(bits[xr[i]] ^ bits[yr[j]]).sum(axis=1, dtype=np.int64)
+            likely = size[xr[i]] + ys[j] - differ >= 2 * need[i, j]
+            i, j = i[likely], j[likely]
+            if len(i):
+                a, b = xr[i], yr[j]
+                found = (shared[i, j], name[a], name[b], size[a], size[b], last[a], last[b])
+                yield pa.record_batch([pa.array(c.astype(np.int64)) for c in found], names=list(_PAIR_COLUMNS))
 
 
 def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int) -> DataFrame:
@@ -382,15 +401,22 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     links = answers.filter(_linked(percent)).select("a", "b")
     groups = ws.save(components(ws, links), "groups")
 
-    # Classes outside their pivot's group choose a second pivot among themselves.
+    # Classes outside a pivot's group are compared with other pivots, drawn anew in each round.
+    # Large groups grow together this way, and few pairs between groups are left.
     spanning = ws.save(_with_group(lists, groups), "spanning_lists")
-    pivot_group = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_grp"))
-    outside = spanning.join(pivot_group, "pivot", "left").filter("grp <> coalesce(pivot_grp, pivot)")
-    second = _pivots(outside.select("gram", "class", "size", "place", "last"))
-    more = ws.save(_star_pairs(second, percent).join(answers, ["a", "b"], "left_anti"), "second_pairs")
-    answers = answers.unionByName(_compare(ws, more, docs, sets, words))
-    links = answers.filter(_linked(percent)).select("a", "b")
-    groups = ws.save(components(ws, links), "groups")
+    for number in range(1, PIVOT_ROUNDS + 1):
+        drawn = _pivots(spanning.select("gram", "class", "size", "place", "last"), F.xxhash64(F.lit(number), "class"))
+        of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_grp"))
+        of_class = groups.select(F.col("node").alias("class"), F.col("component").alias("grp"))
+        apart = F.coalesce("grp", "class") != F.coalesce("pivot_grp", "pivot")
+        drawn = drawn.join(of_pivot, "pivot", "left").join(of_class, "class", "left").filter(apart)
+        done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        more = ws.save(_star_pairs(drawn, percent).join(done, ["a", "b"], "left_anti"), "more_pairs")
+        if more.isEmpty():
+            break
+        answers = answers.unionByName(_compare(ws, more, docs, sets, words))
+        links = answers.filter(_linked(percent)).select("a", "b")
+        groups = ws.save(components(ws, links), "groups")
 
     known = answers.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("overlap").alias("_overlap"))
     left = _with_group(spanning.drop("grp"), groups).join(known, ["class", "pivot"], "left")
@@ -401,7 +427,7 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     pairs = (
         _block_pairs(_merge_equal_lists(ws, left), percent, list_rows)
         .groupBy(*sides, "last_a", "last_b")
-        .agg(F.sum("grams").alias("shared"))
+        .agg(F.sum("shared").alias("shared"))
         .filter(_can_overlap(percent))
         .select(*sides)
     )
