@@ -1,7 +1,7 @@
 """Web archives: records written and read back, and an index merged from sorted runs.
 
 Archives are WARC 1.1 files. Spark's text writer ends every row with the record separator, so a
-row is a record; a file holds at most ``RECORDS_PER_ARCHIVE`` of them. A page whose payload was
+row is a record; a file, packed by gzip, holds at most ``RECORDS_PER_ARCHIVE`` of them. A page whose payload was
 captured before is a revisit record, without the payload.
 
 Each archive read gives one run of index rows, sorted by URL key and time. Runs are dealt to
@@ -12,6 +12,7 @@ capture histories of all URLs.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator, Sequence
 from urllib.parse import urlsplit
@@ -87,7 +88,7 @@ def write_archives(ws: Workspace, pages: DataFrame, least_bytes: int = LEAST_BYT
     )
     folder = f"{ws.folder}/archives"
     rows = joined.withColumn("_revisit", revisit).select(F.concat(head, http, body).alias("value"))
-    rows.write.mode("overwrite").option("lineSep", _END).option("maxRecordsPerFile", records).text(folder)
+    rows.write.mode("overwrite").option("lineSep", _END).option("maxRecordsPerFile", records).text(folder, compression="gzip")
     return folder
 
 
@@ -142,7 +143,7 @@ def index_runs(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1), strict=True):
                 rows = []
-                for offset, length, header, block in _records(content.as_py()):
+                for offset, length, header, block in _records(gzip.decompress(content.as_py())):
                     http, _, payload = block.partition(b"\r\n\r\n")
                     size = next(int(line[15:]) for line in http.split(b"\r\n") if line.startswith(b"Content-Length:"))
                     digest = header["WARC-Payload-Digest"].removeprefix("sha1:")
