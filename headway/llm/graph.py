@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from headway.sources.workspace import Workspace
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node of ``links (a, b)``, ``a > b``, is either a centre or has one link, to a centre."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    of_node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return of_node.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node of ``edges (a, b)``; the component is its least node.
 
@@ -16,7 +25,7 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     is stored, so a lost executor costs one round.
     """
     links = ws.save(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while True:
+    while not _are_stars(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -26,10 +35,7 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
         small = moved.select("b", "least").filter("b <> least").unionByName(
             moved.select(F.col("a").alias("b"), "least")
         )
-        small = ws.save(small.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(), "small_star")
-        if links.count() == small.count() and small.join(links, ["a", "b"], "left_anti").isEmpty():
-            break
-        links = small
+        links = ws.save(small.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct(), "small_star")
     roots = links.select(F.col("b").alias("node")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
