@@ -11,14 +11,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.tables import document_key, spare_name
+from headway.llm.tables import TEXT_BITS, bit_set, document_key, in_bits, key_bit, key_bits, spare_name
 from headway.llm.words import BYTE_VALUES, Prefix, mix
 from headway.sources.workspace import Workspace
 
@@ -54,8 +56,13 @@ _CHUNKS = "doc_key binary, place struct<no_id:boolean,doc_id:bigint,doc_key:bina
 _PLACE = pa.struct([("no_id", pa.bool_()), ("doc_id", pa.int64()), ("doc_key", pa.binary()), ("chunk", pa.int32())])
 
 
-def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
-    """One row per chunk of at least ``LEAST_LINES`` lines."""
+def _key_set(keys: DataFrame, key: str) -> Broadcast:
+    """A bit set of fixed size that holds all keys: one outside it is surely not among them."""
+    return keys.sparkSession.sparkContext.broadcast(bit_set(keys.select(key_bit(key).alias("bit")), TEXT_BITS))
+
+
+def _chunk_rows(docs: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
+    """One row per chunk of at least ``LEAST_LINES`` lines; with its ``body``, and only if its key may be wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,12 +78,13 @@ def _chunk_rows(docs: DataFrame, with_text: bool) -> DataFrame:
                         names.append(xxhash.xxh3_128_digest(chunk))
                         bodies.append(chunk)
             arrays = [pa.array(keys, pa.binary()), pa.array(places, _PLACE), pa.array(names, pa.binary())]
-            if with_text:
+            if wanted is not None:
                 arrays.append(pa.array(bodies, pa.binary()))
-            yield pa.record_batch(arrays, names=["doc_key", "place", "chunk_key", "body"][: len(arrays)])
+            made = pa.record_batch(arrays, names=["doc_key", "place", "chunk_key", "body"][: len(arrays)])
+            yield made if wanted is None else made.filter(pa.array(in_bits(wanted.value, key_bits(made.column(2)))))
 
     read = docs.select(document_key().alias("doc_key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return read.mapInArrow(run, _CHUNKS + ", body binary" * with_text)
+    return read.mapInArrow(run, _CHUNKS + ", body binary" * (wanted is not None))
 
 
 def repeated_chunks(ws: Workspace, docs: DataFrame) -> DataFrame:
@@ -84,16 +92,18 @@ def repeated_chunks(ws: Workspace, docs: DataFrame) -> DataFrame:
 
     Only digests are gathered first, combined before the shuffle. The bytes of chunks whose
     digest has several places are then joined to it, a join that Spark can split where one
-    chunk is very common, and compared with the bytes of the first place.
+    chunk is very common, and compared with the bytes of the first place. A bit set keeps most
+    other chunks from being shuffled for it.
     """
     places = (
-        _chunk_rows(docs, with_text=False)
+        _chunk_rows(docs)
         .groupBy("chunk_key")
         .agg(F.min("place").alias("first"), F.max("place").alias("last"))
         .filter("first <> last")
         .select("chunk_key", "first")
     )
-    repeated = ws.save(_chunk_rows(docs, with_text=True).join(ws.save(places, "chunk_keys"), "chunk_key"), "chunks")
+    places = ws.save(places, "chunk_keys")
+    repeated = ws.save(_chunk_rows(docs, _key_set(places, "chunk_key")).join(places, "chunk_key"), "chunks")
     firsts = repeated.filter("place = first").groupBy("chunk_key").agg(F.min("body").alias("first_body"))
     return (
         repeated.filter("place <> first")
@@ -115,8 +125,16 @@ def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
     their own. An empty table gives none.
     """
     dead = ws.save(repeated_chunks(ws, docs), "dead_chunks")
-    key, dead_key, chunks = (spare_name(docs, name) for name in ("_key", "_dead_key", "_chunks"))
-    joined = docs.withColumn(key, document_key()).join(
+    key, dead_key, chunks, bit = (spare_name(docs, name) for name in ("_key", "_dead_key", "_chunks", "_bit"))
+    keyed = docs.withColumn(key, document_key())
+    dead_keys = _key_set(dead, "doc_key")
+
+    @F.pandas_udf("boolean")
+    def may_lose(bits: pd.Series) -> pd.Series:
+        return pd.Series(in_bits(dead_keys.value, bits.to_numpy()))
+
+    # Only documents that may lose lines are shuffled; the bit set says so for each key alike.
+    joined = keyed.withColumn(bit, key_bit(key)).filter(may_lose(bit)).drop(bit).join(
         dead.select(F.col("doc_key").alias(dead_key), F.col("chunks").alias(chunks)), F.col(key) == F.col(dead_key), "left"
     )
     counts = [spare_name(docs, name) for name in ("_lines", "_lines_removed")]
@@ -140,7 +158,17 @@ def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
             names = [*batch.schema.names[:kept], *counts]
             yield pa.record_batch([*arrays, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=names)
 
-    return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in counts)]))
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(~in_bits(dead_keys.value, key_bits(batch.column(kept)))))
+            breaks = pc.fill_null(pc.count_substring(batch.column(place), "\n"), 0).to_numpy(zero_copy_only=False)
+            filled = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False) > 0
+            lines = pa.array(np.where(filled, breaks + 1, 0).astype(np.int64))
+            names = [*batch.schema.names[:kept], *counts]
+            yield pa.record_batch([*batch.columns[:kept], lines, pa.array(np.zeros(len(batch), np.int64))], names=names)
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in counts)])
+    return keyed.mapInArrow(untouched, schema).union(joined.mapInArrow(run, schema))
 
 
 def line_report(cleaned: DataFrame) -> DataFrame:

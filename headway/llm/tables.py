@@ -64,6 +64,21 @@ def bit_set(numbers: DataFrame, bits: int) -> np.ndarray:
     return table.view(np.uint8)
 
 
+def key_bit(key: str) -> Column:
+    """The first 24 bits of a binary key, as a number below ``TEXT_BITS``."""
+    return F.conv(F.hex(F.substring(F.col(key), 1, 3)), 16, 10).cast("bigint")
+
+
+def key_bits(keys: pa.Array) -> np.ndarray:
+    """``key_bit`` of an Arrow array of keys without nulls."""
+    return np.array([int.from_bytes(key[:3], "big") for key in keys.to_pylist()], np.int64)
+
+
+def in_bits(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Which numbers are in a bit set."""
+    return (bits[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted (text_id, ...)`` with the ``text`` of each id.
 
@@ -75,8 +90,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def maybe_wanted(ids: pd.Series) -> pd.Series:
-        bit = ids.to_numpy() % TEXT_BITS
-        return pd.Series((bits.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)
+        return pd.Series(in_bits(bits.value, ids.to_numpy() % TEXT_BITS))
 
     texts = docs.select(text_id().alias("text_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.filter(maybe_wanted("text_id")).join(wanted, "text_id")
