@@ -1,14 +1,19 @@
-"""Removal of repeated runs of lines, cut at boundaries that the lines' content defines.
+"""Removal of repeated runs of lines.
 
-A hash rolls over the hashes of the last ``ROLL_LINES`` lines, and a chunk ends where it is
-divisible by ``DIVISOR``. Lines put in front of a passage shift nothing: the same lines end the
-same chunks again. A chunk of two or more lines that has occurred before, byte for byte, is
-removed; the first occurrence (by document id, then place) stays.
+A piece of two or more lines that has occurred before, byte for byte, is removed; the first
+occurrence (by document id, then place) stays. Two ways to cut a text into pieces:
+
+- ``line_pairs``: any two neighbouring lines. Every run of two or more lines that occurred before
+  is made of such pairs, so it goes whole, whatever stands around it.
+- ``cut_chunks``: a hash rolls over the hashes of the last ``ROLL_LINES`` lines, and a chunk ends
+  where it is divisible by ``DIVISOR``. Lines put in front of a passage shift nothing: the same
+  lines end the same chunks again. The lines of a run before its first boundary and after its
+  last one stay, and so do chunks of one line.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,6 +33,12 @@ ROLL_LINES = 2
 DIVISOR = 3
 LEAST_LINES = 2
 
+# Bytes of the digest that names a piece.
+KEY_BYTES = 16
+
+# Bytes of pieces that are handed on together.
+PART_BYTES = 1 << 24
+
 
 def cut_chunks(text: bytes) -> list[tuple[int, int, int]]:
     """``(start, end, lines)`` of the chunks of a text, ends before the chunk's last line break.
@@ -52,6 +63,29 @@ def cut_chunks(text: bytes) -> list[tuple[int, int, int]]:
     return [(int(starts[a]), int(ends[b - 1]), int(b - a)) for a, b in zip(firsts, stops, strict=True)]
 
 
+def line_pairs(text: bytes) -> list[tuple[int, int, int]]:
+    """``(start, end, 2)`` of any two neighbouring lines of a text, as ``cut_chunks`` has its chunks."""
+    if not text:
+        return []
+    breaks = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x0A)
+    starts = np.concatenate([[0], breaks + 1]).tolist()
+    ends = np.append(breaks, len(text)).tolist()
+    return [(a, b, 2) for a, b in zip(starts, ends[1:], strict=False)]
+
+
+Cut = Callable[[bytes], list[tuple[int, int, int]]]
+
+
+def _without(body: bytes, pieces: list[tuple[int, int, int]]) -> tuple[bytes, int]:
+    """The text without the lines of the pieces, and how many lines they have."""
+    lines = body.split(b"\n")
+    breaks = np.flatnonzero(np.frombuffer(body, np.uint8) == 0x0A)
+    gone = set()
+    for first, (_, _, count) in zip(np.searchsorted(breaks, [start for start, _, _ in pieces]).tolist(), pieces, strict=True):
+        gone.update(range(first, first + count))
+    return b"\n".join(line for k, line in enumerate(lines) if k not in gone), len(gone)
+
+
 _CHUNKS = "doc_key binary, place struct<no_id:boolean,doc_id:bigint,doc_key:binary,chunk:int>, chunk_key binary"
 _PLACE = pa.struct([("no_id", pa.bool_()), ("doc_id", pa.int64()), ("doc_key", pa.binary()), ("chunk", pa.int32())])
 
@@ -61,61 +95,85 @@ def _key_set(keys: DataFrame, key: str) -> Broadcast:
     return keys.sparkSession.sparkContext.broadcast(bit_set(keys.select(key_bit(key).alias("bit")), TEXT_BITS))
 
 
-def _chunk_rows(docs: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
-    """One row per chunk of at least ``LEAST_LINES`` lines; with its ``body``, and only if its key may be wanted."""
+def _chunk_rows(
+    docs: DataFrame, cut: Cut, key_bytes: int, exact: frozenset[bytes] = frozenset(), wanted: Broadcast | None = None, body: bool = False
+) -> DataFrame:
+    """One row per piece of at least ``LEAST_LINES`` lines, if its key may be wanted; with its ``body`` if asked for.
+
+    A piece is named by a digest of its bytes, or by the bytes themselves if the digest is in ``exact``.
+    """
+
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if wanted is None else wanted.value
+        rows: tuple[list, ...] = ([], [], [], [])
+        held = 0
+
+        def made() -> pa.RecordBatch:
+            kinds = (pa.binary(), _PLACE, pa.binary(), pa.binary())[: 3 + body]
+            return pa.record_batch([pa.array(r, k) for r, k in zip(rows, kinds, strict=False)], names=["doc_key", "place", "chunk_key", "body"][: 3 + body])
+
         for batch in batches:
-            keys, places, names, bodies = [], [], [], []
             columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()))
             for key, doc_id, text in zip(columns[0], columns[1], columns[2], strict=True):
-                body = text.as_py() or b""
-                for number, (start, end, lines) in enumerate(cut_chunks(body)):
-                    if lines >= LEAST_LINES:
-                        chunk = body[start:end]
-                        keys.append(key)
-                        places.append({"no_id": doc_id is None, "doc_id": doc_id, "doc_key": key, "chunk": number})
-                        names.append(xxhash.xxh3_128_digest(chunk))
-                        bodies.append(chunk)
-            arrays = [pa.array(keys, pa.binary()), pa.array(places, _PLACE), pa.array(names, pa.binary())]
-            if wanted is not None:
-                arrays.append(pa.array(bodies, pa.binary()))
-            made = pa.record_batch(arrays, names=["doc_key", "place", "chunk_key", "body"][: len(arrays)])
-            yield made if wanted is None else made.filter(pa.array(in_bits(wanted.value, key_bits(made.column(2)))))
+                whole = text.as_py() or b""
+                for number, (start, end, lines) in enumerate(cut(whole)):
+                    if lines < LEAST_LINES:
+                        continue
+                    chunk = whole[start:end]
+                    name = xxhash.xxh3_128_digest(chunk)[:key_bytes]
+                    name = chunk + name if name in exact else name
+                    bit = int.from_bytes(name[:3], "big")
+                    if bits is not None and not bits[bit >> 3] >> (bit & 7) & 1:
+                        continue
+                    place = {"no_id": doc_id is None, "doc_id": doc_id, "doc_key": key, "chunk": number}
+                    for values, value in zip(rows, (key, place, name, chunk if body else None), strict=True):
+                        values.append(value)
+                    held += 100 + len(name) + len(chunk) * body
+                    if held > PART_BYTES:
+                        yield made()
+                        rows, held = ([], [], [], []), 0
+        if rows[0]:
+            yield made()
 
     read = docs.select(document_key().alias("doc_key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return read.mapInArrow(run, _CHUNKS + ", body binary" * (wanted is not None))
+    return read.mapInArrow(run, _CHUNKS + ", body binary" * body)
 
 
-def repeated_chunks(ws: Workspace, docs: DataFrame) -> DataFrame:
-    """``(doc_key, chunks)``: the numbers of the chunks to remove, for documents that have some.
+def repeated_chunks(ws: Workspace, docs: DataFrame, cut: Cut, key_bytes: int) -> DataFrame:
+    """``(doc_key, chunks)``: the numbers of the pieces to remove, for documents that have some.
 
-    Only digests are gathered first, combined before the shuffle. The bytes of chunks whose
-    digest has several places are then joined to it, a join that Spark can split where one
-    chunk is very common, and compared with the bytes of the first place. A bit set keeps most
-    other chunks from being shuffled for it.
+    Only digests are gathered first, combined before the shuffle. Of each digest that has several
+    places the least and the greatest bytes are taken, combined before the shuffle too; where
+    they differ, its pieces are named by their bytes instead. A bit set keeps most other pieces
+    from being shuffled.
     """
-    places = (
-        _chunk_rows(docs)
-        .groupBy("chunk_key")
-        .agg(F.min("place").alias("first"), F.max("place").alias("last"))
-        .filter("first <> last")
-        .select("chunk_key", "first")
-    )
-    places = ws.save(places, "chunk_keys")
-    repeated = ws.save(_chunk_rows(docs, _key_set(places, "chunk_key")).join(places, "chunk_key"), "chunks")
-    firsts = repeated.filter("place = first").groupBy("chunk_key").agg(F.min("body").alias("first_body"))
+
+    def first_places(exact: frozenset[bytes], name: str) -> DataFrame:
+        places = _chunk_rows(docs, cut, key_bytes, exact).groupBy("chunk_key")
+        places = places.agg(F.min("place").alias("first"), F.max("place").alias("last")).filter("first <> last")
+        return ws.save(places.select("chunk_key", "first"), name)
+
+    exact: frozenset[bytes] = frozenset()
+    places = first_places(exact, "chunk_keys")
+    wanted = _key_set(places, "chunk_key")
+    bodies = _chunk_rows(docs, cut, key_bytes, wanted=wanted, body=True).groupBy("chunk_key")
+    clashing = bodies.agg(F.min("body").alias("least"), F.max("body").alias("most")).filter("least <> most").select("chunk_key")
+    exact = frozenset(bytes(row["chunk_key"]) for row in clashing.collect())
+    if exact:
+        places = first_places(exact, "exact_keys")
+        wanted = _key_set(places, "chunk_key")
     return (
-        repeated.filter("place <> first")
-        .join(firsts, "chunk_key")
-        .filter("body = first_body")
+        _chunk_rows(docs, cut, key_bytes, exact, wanted)
+        .join(places, "chunk_key")
+        .filter("place <> first")
         .groupBy("doc_key")
         .agg(F.collect_set("place.chunk").alias("chunks"))
     )
 
 
-def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
-    """``docs`` with all its columns, ``text`` without repeated chunks, and two columns more at the
+def without_repeats(ws: Workspace, docs: DataFrame, cut: Cut = cut_chunks, key_bytes: int = KEY_BYTES) -> DataFrame:
+    """``docs`` with all its columns, ``text`` without repeated pieces of ``cut``, and two columns more at the
     end: ``_lines`` before and ``_lines_removed``, or longer names where those are taken.
 
     ``docs`` needs ``doc_id`` and ``text``. The lines that stay are joined by line breaks. A
@@ -124,7 +182,7 @@ def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
     repeat each other and lose the same lines; rows of one id with other texts are documents of
     their own. An empty table gives none.
     """
-    dead = ws.save(repeated_chunks(ws, docs), "dead_chunks")
+    dead = ws.save(repeated_chunks(ws, docs, cut, key_bytes), "dead_chunks")
     key, dead_key, chunks, bit = (spare_name(docs, name) for name in ("_key", "_dead_key", "_chunks", "_bit"))
     keyed = docs.withColumn(key, document_key())
     dead_keys = _key_set(dead, "doc_key")
@@ -147,11 +205,11 @@ def without_repeats(ws: Workspace, docs: DataFrame) -> DataFrame:
             for text, dead in zip(batch.column(place).cast(pa.binary()), dead_of, strict=True):
                 body = text.as_py()
                 lines.append(body.count(b"\n") + 1 if body else 0)
-                chunks = cut_chunks(body) if dead else []
-                removed.append(sum(chunks[k][2] for k in dead or ()))
+                gone = 0
                 if dead:
-                    gone = set(dead)
-                    body = b"\n".join(body[a:b] for k, (a, b, _) in enumerate(chunks) if k not in gone)
+                    chunks = cut(body)
+                    body, gone = _without(body, [chunks[k] for k in dead])
+                removed.append(gone)
                 texts.append(body)
             arrays = batch.columns[:kept]
             arrays[place] = pc.cast(pa.array(texts, pa.binary()), pa.string())

@@ -63,7 +63,7 @@ def op4_language_id(t: Tables) -> DataFrame:
 
 @_query
 def op5_line_dedup(t: Tables) -> DataFrame:
-    return line_chunks.line_report(line_chunks.without_repeats(t.ws, t.documents))
+    return line_chunks.line_report(line_chunks.without_repeats(t.ws, t.documents, line_chunks.line_pairs))
 
 
 @_query

@@ -216,6 +216,52 @@ def test_line_chunks(spark, ws):
     assert line_chunks.without_repeats(ws, table(spark, [])).count() == 0
 
 
+def without_repeated_pairs(rows):
+    """``(doc_id, lines, removed, text)`` by row: lines that are in a pair of neighbours that stood before."""
+    seen, wanted = set(), {}
+    for doc_id, text in sorted(set(rows), key=lambda d: (d[0] is None, d[0] or 0, hashlib.md5(repr(d).encode()).digest())):
+        lines, gone = (text.split("\n") if text else []), set()
+        for k, pair in enumerate(zip(lines, lines[1:])):
+            gone |= {k, k + 1} if pair in seen else set()
+            seen.add(pair)
+        left = "\n".join(line for k, line in enumerate(lines) if k not in gone)
+        wanted[(doc_id, text)] = (doc_id, len(lines), len(gone), left if text else text)
+    return wanted
+
+
+@pytest.mark.parametrize("key_bytes", [16, 1])
+def test_every_repeated_run_of_lines_goes(spark, ws, key_bytes):
+    rng = random.Random(9)
+    rows, runs = [], [[f"run {r} line {k} é" for k in range(rng.randint(2, 6))] for r in range(12)]
+    for i in range(80):
+        lines = []
+        for n in range(rng.randint(1, 4)):
+            lines += [f"own {i} {n} {k}" for k in range(rng.randint(0, 2))] + rng.choice(runs)
+        rows.append((i * 37 % 101, "\n".join(lines)))
+    rows += [(200, "one\n" * 9), (201, "x\none\none"), (202, rows[0][1]), (203, "one"), (204, None), (205, ""), (None, rows[1][1]), rows[2]]
+    wanted = without_repeated_pairs(rows)
+    cleaned = line_chunks.without_repeats(ws, table(spark, rows), line_chunks.line_pairs, key_bytes)
+    got = cleaned.select("doc_id", cleaned.columns[-2], cleaned.columns[-1], "text")
+    assert counted(got) == Counter(wanted[row] for row in rows)
+    kept = Counter(tuple(run) for row in set(rows) for run in runs if "\n".join(run) in (wanted[row][3] or ""))
+    assert set(kept.values()) == {1}
+
+
+def test_line_query_and_stage_remove_every_repeated_run(spark, ws, tmp_path):
+    import corpus_pipeline
+    from headway.llm import queries
+
+    rows = [(1, "a\nfirst\nsecond\nb"), (2, "c\nfirst\nsecond\nd"), (3, "first\nsecond"), (4, "é\nc\nfirst")]
+    rows += [(i, f"p{i}\nleft {i % 5}\nright {i % 5}\nq{i}") for i in range(10, 40)]
+    wanted = without_repeated_pairs(rows)
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in queries.queries()["op5_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {i: (n, gone, digest(left.encode())) for i, n, gone, left in wanted.values()}
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    stage = corpus_pipeline.remove_repeated_lines(spark, docs, str(tmp_path))
+    assert counted(stage) == Counter((i, left, len(left)) for i, _, _, left in wanted.values())
+
+
 def test_repeated_bytes(spark, ws, documents):
     seen, wanted = set(), {}
     for doc_id, text in sorted(set(documents), key=lambda d: (d[0] is None, d[0] or 0)):
