@@ -4,7 +4,8 @@ A text is a vector of hashed byte n-grams (one to three bytes, lower case, runs
 as a space), with logarithmic term counts and inverse document frequencies, scaled to length
 one. The labelled texts of a language are clustered, each cluster's mean direction is a
 centroid, and a text takes the language of the centroid of greatest cosine. A text that is far
-from all of them is rejected.
+from all of them is rejected: farther than nearly all pieces of its length of the labelled texts
+are from that centroid, each measured without its own share in it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.words import pieces
+from headway.llm.words import PIECE_BYTES, pieces
 from headway.sources.workspace import Workspace
 
 UNKNOWN = "und"
@@ -30,9 +31,17 @@ FEATURES = 1 << _BITS
 SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
 
-# A text whose best cosine is below this is far from every language.
+# A text whose best cosine is below this is far from every language, whatever its length.
 REJECT_BELOW = 0.03
 
+# A text is also far if its cosine is below this share of the quantile of the labelled pieces of
+# its length at its nearest centroid. Of fewer pieces those of the language count, then all.
+LOW_QUANTILE = 0.01
+LOW_SHARE = 0.75
+LEAST_PIECES = 50
+# Lengths are classes of doubling numbers of different n-grams: what a text repeats says nothing new.
+_CLASSES = _BITS + 1
+
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _FOLD = np.where(_LETTER, np.arange(256), 0x20).astype(np.uint32)
@@ -41,11 +50,25 @@ _FOLD[0x80:] = np.arange(0x80, 0x100)
 
 @dataclass(frozen=True)
 class Centroids:
-    """Unit centroids, one per row of ``vectors``, with their languages, and the n-grams' weights."""
+    """Unit centroids, one per row of ``vectors``, with their languages, and the n-grams' weights.
+
+    ``limits`` has the least cosine of a text per centroid and class of length.
+    """
 
     languages: list[str]
     vectors: np.ndarray
     weights: np.ndarray
+    limits: np.ndarray
+
+    def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(centroid, cosine, limit)`` of every row of n-gram counts."""
+        cosines = unit_vectors(counts, self.weights) @ self.vectors.T
+        nearest = np.argmax(cosines, axis=1)
+        return nearest, cosines.max(axis=1), self.limits[nearest, length_class(counts)]
+
+
+def length_class(counts: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(np.count_nonzero(counts, axis=1), 1)).astype(int)
 
 
 def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -81,17 +104,63 @@ def have_letters(texts: list[str | None], data: np.ndarray, offsets: np.ndarray)
     return found
 
 
-def cluster(vectors: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
-    """Unit mean directions of up to ``count`` clusters: far-apart first members, then means."""
+def cluster(vectors: np.ndarray, count: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(means, owner, lengths)``: unit mean directions of up to ``count`` clusters (far-apart first
+    members, then means), the cluster of each vector, and the lengths of the clusters' sums.
+    """
     means = [vectors.mean(axis=0)]
     while len(means) < min(count, len(vectors)):
         means.append(vectors[np.argmin((vectors @ np.array(means).T).max(axis=1))])
     means = np.array(means)
     for _ in range(rounds):
-        nearest = np.argmax(vectors @ means.T, axis=1)
-        means = np.array([vectors[nearest == k].sum(axis=0) for k in range(len(means)) if (nearest == k).any()])
-        means /= np.maximum(np.linalg.norm(means, axis=1), 1e-12)[:, None]
-    return means
+        _, nearest = np.unique(np.argmax(vectors @ means.T, axis=1), return_inverse=True)
+        means = np.array([vectors[nearest == k].sum(axis=0) for k in range(nearest.max() + 1)])
+        lengths = np.maximum(np.linalg.norm(means, axis=1), 1e-12)
+        means /= lengths[:, None]
+    return means, nearest, lengths
+
+
+def text_pieces(text: str) -> list[str]:
+    """The text, and its start, middle and end at all lengths of a power of two."""
+    cut = [text]
+    length = 2
+    while length < len(text):
+        cut += [text[at : at + length] for at in sorted({0, (len(text) - length) // 2, len(text) - length})]
+        length *= 2
+    return cut
+
+
+def piece_cosines(text: str, unit: np.ndarray, owner: int, lengths: np.ndarray, own: int, centroids: np.ndarray, weights: np.ndarray):
+    """``(centroid, class, cosine)`` of the pieces with a letter of a fitted text, at their nearest centroid.
+
+    ``unit`` is the text's vector, ``own`` the first centroid of its language and ``lengths`` those of
+    the sums. Its own cluster is taken without it; one that has no other text does not count.
+    """
+    centroids = centroids.copy()
+    rest = centroids[own + owner] * lengths[owner] - unit
+    length = np.linalg.norm(rest)
+    centroids[own + owner] = rest / length if length > 1e-3 else 0
+    for first, data, offsets in pieces(pa.array([t for t in text_pieces(text) if any(c.isalpha() for c in t)], pa.string()), PIECE_BYTES // 4):
+        counts = term_counts(data, offsets)
+        cosines = unit_vectors(counts, weights) @ centroids.T
+        yield from zip(np.argmax(cosines, axis=1).tolist(), length_class(counts).tolist(), cosines.max(axis=1).tolist(), strict=True)
+
+
+def length_limits(found: pd.DataFrame, languages: list[str]) -> np.ndarray:
+    """Least cosines by centroid and class of ``found (centroid, class, cosine)``.
+
+    Cosines rise with the length, so a text is held to the limit of the class below its own if that
+    is less, and one longer than all pieces to that of the longest.
+    """
+    kind, size, cosine = (found[c].to_numpy() for c in ("centroid", "class", "cosine"))
+    names = np.array(languages, object)
+    limits = np.zeros((len(languages), _CLASSES))
+    for k, name in enumerate(languages):
+        for at in range(_CLASSES):
+            groups = (cosine[(size == at) & (kind == k)], cosine[(size == at) & (names[kind] == name)], cosine[size == at])
+            enough = next((g for g in groups if len(g) >= LEAST_PIECES), None)
+            limits[k, at] = limits[k, max(at - 1, 0)] if enough is None else LOW_SHARE * np.quantile(enough, LOW_QUANTILE)
+    return np.minimum(limits, np.concatenate([limits[:, :1], limits[:, :-1]], axis=1))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -115,11 +184,12 @@ def fit(
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in pieces(batch.column(1)):
+            for first, data, offsets in pieces(pc.utf8_lower(batch.column(1))):
                 rows = [row.tobytes() for row in term_counts(data, offsets).astype(np.float32)]
-                yield pa.record_batch([batch.column(0).slice(first, len(rows)), pa.array(rows, pa.binary())], names=["lang", "counts"])
+                cut = [batch.column(c).slice(first, len(rows)) for c in (0, 1)]
+                yield pa.record_batch([*cut, pa.array(rows, pa.binary())], names=["lang", "text", "counts"])
 
-    counted = ws.save(sample.mapInArrow(count_terms, "lang string, counts binary"), "language_terms")
+    counted = ws.save(sample.mapInArrow(count_terms, "lang string, text string, counts binary"), "language_terms")
 
     def matrix(group: pd.DataFrame) -> np.ndarray:
         # Rows come in no particular order; the clusters must not depend on it.
@@ -137,13 +207,32 @@ def fit(
     weights = np.log((1 + texts) / (1 + found)).astype(np.float32) + np.float32(1)
 
     def clusters(group: pd.DataFrame) -> pd.DataFrame:
-        means = cluster(unit_vectors(matrix(group), weights), count)
+        means, _, _ = cluster(unit_vectors(matrix(group), weights), count)
         return pd.DataFrame({"lang": group["lang"].iloc[0], "vector": [m.astype(np.float32).tobytes() for m in means]})
 
     made = counted.groupBy("lang").applyInPandas(clusters, "lang string, vector binary").collect()
     made = sorted((row["lang"], bytes(row["vector"])) for row in made)
     vectors = np.array([np.frombuffer(vector, np.float32) for _, vector in made])
-    return Centroids([lang for lang, _ in made], vectors, weights)
+    languages = [lang for lang, _ in made]
+
+    def distances(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["counts", "text"])
+        units = unit_vectors(matrix(group), weights)
+        means, owner, lengths = cluster(units, count)
+        name = group["lang"].iloc[0]
+        # The centroids of a language stand by their bytes.
+        stand = sorted(range(len(means)), key=lambda k: means[k].astype(np.float32).tobytes())
+        place = np.argsort(stand)
+        found = [
+            row
+            for text, unit, k in zip(group["text"], units, owner, strict=True)
+            for row in piece_cosines(text.lower(), unit, place[k], lengths[stand], languages.index(name), vectors, weights)
+        ]
+        return pd.DataFrame(found, columns=["centroid", "class", "cosine"])
+
+    # A fixed number of texts has so many pieces at most: three a doubling of their lengths.
+    near = counted.groupBy("lang").applyInPandas(distances, "centroid int, class int, cosine double").toPandas()
+    return Centroids(languages, vectors, weights, length_limits(near, languages))
 
 
 def predict(docs: DataFrame, centroids: Centroids | None, reject_below: float = REJECT_BELOW) -> DataFrame:
@@ -151,7 +240,8 @@ def predict(docs: DataFrame, centroids: Centroids | None, reject_below: float =
 
     ``score`` is the cosine to the nearest centroid. A text that is null or has no letter, or
     any text if nothing could be fitted, gets ``und`` with score 0 and is rejected; a text with
-    a score below ``reject_below`` is rejected and keeps its nearest language. Repeated rows get
+    a score below ``reject_below`` or the limit of its centroid and length is rejected and keeps
+    its nearest language. Repeated rows get
     equal results, an empty table none, and other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(centroids)
@@ -159,7 +249,7 @@ def predict(docs: DataFrame, centroids: Centroids | None, reject_below: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            names, scores = [], []
+            names, scores, far = [], [], [np.zeros(0, bool)]
             lowered = pc.utf8_lower(batch.column(1))
             for first, data, offsets in pieces(lowered):
                 size = len(offsets) - 1
@@ -168,13 +258,14 @@ def predict(docs: DataFrame, centroids: Centroids | None, reject_below: float =
                     known[:] = False
                     names.extend([UNKNOWN] * size)
                     scores.append(np.zeros(size))
+                    far.append(~known)
                     continue
-                cosines = unit_vectors(term_counts(data, offsets), model.weights) @ model.vectors.T
-                nearest = np.argmax(cosines, axis=1)
+                nearest, cosines, limits = model.nearest(term_counts(data, offsets))
+                far.append(~known | (cosines < np.maximum(limits, reject_below)))
                 names.extend(model.languages[k] if ok else UNKNOWN for k, ok in zip(nearest, known, strict=True))
-                scores.append(np.where(known, np.clip(cosines.max(axis=1), 0, 1), 0).astype(np.float64))
+                scores.append(np.where(known, np.clip(cosines, 0, 1), 0).astype(np.float64))
             score = np.concatenate(scores) if scores else np.zeros(0)
-            rejected = [name == UNKNOWN or low for name, low in zip(names, score < reject_below, strict=True)]
+            rejected = np.concatenate(far)
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score), pa.array(rejected, pa.bool_())],
                 names=["doc_id", "text", "lang_pred", "score", "rejected"],
@@ -200,7 +291,8 @@ def keep_known(docs: DataFrame, centroids: Centroids | None, reject_below: float
                 if model is None:
                     known[:] = False
                 else:
-                    known &= (unit_vectors(term_counts(data, offsets), model.weights) @ model.vectors.T).max(axis=1) >= reject_below
+                    _, cosines, limits = model.nearest(term_counts(data, offsets))
+                    known &= cosines >= np.maximum(limits, reject_below)
                 kept.append(known)
             yield batch.filter(pa.array(np.concatenate(kept)))
 

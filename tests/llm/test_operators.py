@@ -190,6 +190,22 @@ def test_language(spark, ws):
     assert language.predict(docs.filter("false"), model).count() == 0
 
 
+def test_far_texts_are_rejected(spark, ws):
+    rng = random.Random(8)
+    sounds = {"aa": ["ba", "lo", "mi", "ke"], "bb": ["ché", "rö", "ßu", "wä"], "cc": ["str", "ing", "th", "ou"]}
+    word = lambda lang: "".join(rng.choices(sounds[lang], k=rng.randint(1, 4)))
+    learned = [(i, " ".join(word(list(sounds)[i % 3]) for _ in range(rng.randint(1, 60))), list(sounds)[i % 3]) for i in range(600)]
+    learned += [(600 + i, f"{word(lang)} " * 400, lang) for i, lang in enumerate(sounds)]
+    far = ["".join(rng.choices("абвгдежзиклмн  ", k=n)) for n in (60, 200, 2000)]
+    far += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz  ", k=n)) for n in (100, 300, 2000)]
+    far += ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n)) for n in (20, 400)]
+    docs = spark.createDataFrame(learned + [(1000 + i, t, None) for i, t in enumerate(far)], "doc_id long, text string, lang string")
+    for count in (1, language.CENTROIDS):
+        model = language.fit(ws, docs, per_language=150, count=count)
+        assert {r.doc_id for r in language.predict(docs, model).filter("rejected").collect()} == set(range(1000, 1000 + len(far)))
+        assert {r.doc_id for r in language.keep_known(docs, model).collect()} == {i for i, _, _ in learned}
+
+
 def test_line_chunks(spark, ws):
     rng = random.Random(4)
     lines = [f"line {i} é" for i in range(12)] + ["", ""]
