@@ -368,6 +368,21 @@ def test_identifiers_by_context(spark, ws):
     assert identifiers.find_identifiers(ws, table(spark, [])).count() == 0
 
 
+def added_by_context(spark, ws, texts):
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.added for r in identifiers.find_identifiers(ws, table(spark, rows)).collect()}
+    return {(texts[i][s.start : s.end], s.kind) for i in got for s in got[i]}
+
+
+def test_any_word_or_run_of_numbers_may_be_an_identifier(spark, ws):
+    texts = [f"my phone : +1 555 000 {i}234 please" for i in range(20)]
+    texts += ["my phone : 555-123-4567 please", "my phone (017) 555-7713 please", "My PHONE ... 99 12 34"]
+    texts += [f"write É to u{i}@mail.com now" for i in range(9)] + ["so write é to johnsmith, now", "my phone fell"]
+    assert added_by_context(spark, ws, texts) == {
+        ("555-123-4567", "phone"), ("017) 555-7713", "phone"), ("99 12 34", "phone"), ("johnsmith", "email")
+    }
+
+
 def test_mixing(spark, ws):
     rng = random.Random(7)
     rows = [(i, "w " * rng.randint(0, 300), rng.choice(["hot", "hot", "b", "c", None, "é"])) for i in range(300)]
