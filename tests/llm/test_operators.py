@@ -383,6 +383,15 @@ def test_any_word_or_run_of_numbers_may_be_an_identifier(spark, ws):
     }
 
 
+def test_identifiers_two_hops_away_and_patterns_of_few_seeds(spark, ws):
+    texts = [f"please contact via u{i}@mail.com now" for i in range(20)] + [f"please contact via nick{i} now" for i in range(4)]
+    # Only found values stand in the second context, and something new.
+    texts += [f"he is known as nick{i} here" for i in range(4)] + ["he is known as faraway here"]
+    # Three seeds among seven values.
+    texts += [f"they saw near v{i}@mail.com again" for i in range(3)] + [f"they saw near {w} again" for w in ("tree", "house", "town", "river")]
+    assert added_by_context(spark, ws, texts) == {*((f"nick{i}", "email") for i in range(4)), ("faraway", "email")}
+
+
 def test_mixing(spark, ws):
     rng = random.Random(7)
     rows = [(i, "w " * rng.randint(0, 300), rng.choice(["hot", "hot", "b", "c", None, "é"])) for i in range(300)]
