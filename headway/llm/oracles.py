@@ -139,3 +139,63 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
   sha256(coalesce(words, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+# The checksum of a decimal number, bit by bit: an odd remainder is shifted and combined with a fixed value.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+    range(1, length(CAST({0} AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST({0} AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)))"""
+
+
+def _hashed(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+_LEAF = " || ".join(_hashed(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+_ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS size
+  FROM (SELECT doc_id, source, sha256({_LEAF} || {_hashed('text')}) AS leaf,
+          sha256({_LEAF} || {_hashed("replace(text, chr(10), '')")}) AS other, {_CRC32.format('doc_id')} % 2 = 0 AS chosen FROM documents)
+),
+nodes AS (
+  SELECT source, 0 AS level, place, size, leaf AS h FROM leaves
+  UNION ALL
+  SELECT source, level + 1, place // 3, (size + 2) // 3, sha256(string_agg(h, '' ORDER BY place)) FROM nodes
+  WHERE size > 1 GROUP BY source, level, place // 3, size
+),
+subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS size
+  FROM nodes WHERE size = 1
+),
+tops AS (
+  SELECT 0 AS level, place, size, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, (size + 2) // 3, sha256(string_agg(h, '' ORDER BY place)) FROM tops
+  WHERE size > 1 GROUP BY level, place // 3, size
+),
+roots AS (SELECT h AS root FROM tops WHERE size = 1),
+runs AS (
+  SELECT source, level, place // 3 AS run, list(h ORDER BY place) AS hs FROM nodes WHERE size > 1 GROUP BY ALL
+),
+top_runs AS (SELECT level, place // 3 AS run, list(h ORDER BY place) AS hs FROM tops WHERE size > 1 GROUP BY ALL),
+climb AS (
+  SELECT row_number() OVER () AS id, doc_id, source, leaf, 0 AS level, place, size, false AS upper, '' AS proof,
+    CASE WHEN chosen THEN other ELSE leaf END AS folded FROM leaves
+  UNION ALL
+  SELECT c.id, c.doc_id, c.source, c.leaf, CASE WHEN c.size = 1 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.size = 1 THEN s.place ELSE c.place // 3 END, CASE WHEN c.size = 1 THEN s.size ELSE (c.size + 2) // 3 END,
+    c.size = 1 OR c.upper,
+    proof || coalesce(array_to_string(list_filter(coalesce(r.hs, t.hs), lambda x, i: i <> c.place % 3 + 1), ''), ''),
+    CASE WHEN c.size = 1 THEN folded ELSE sha256(array_to_string(
+      list_transform(coalesce(r.hs, t.hs), lambda x, i: CASE WHEN i = c.place % 3 + 1 THEN folded ELSE x END), '')) END
+  FROM climb c
+  LEFT JOIN runs r ON NOT c.upper AND c.size > 1 AND r.source IS NOT DISTINCT FROM c.source AND r.level = c.level AND r.run = c.place // 3
+  LEFT JOIN top_runs t ON c.upper AND c.size > 1 AND t.level = c.level AND t.run = c.place // 3
+  LEFT JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source
+  WHERE NOT (c.upper AND c.size = 1)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM climb JOIN subroots s ON s.source IS NOT DISTINCT FROM climb.source CROSS JOIN roots WHERE upper AND climb.size = 1
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import headway
-from headway.llm import decontamination, doubling, identifiers, jaccard, language, line_chunks, mixing, phrases, suffixes, warc
+from headway.llm import decontamination, doubling, identifiers, jaccard, language, line_chunks, merkle, mixing, phrases, suffixes, warc
 from headway.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,8 @@ def op3_phrase_fingerprints(t: Tables) -> DataFrame:
 @_query
 def op8_identifiers(t: Tables) -> DataFrame:
     return identifiers.identifier_report(identifiers.find_identifiers(t.ws, t.documents))
+
+
+@_query
+def op12_merkle_manifest(t: Tables) -> DataFrame:
+    return merkle.proof_report(merkle.manifest(t.ws, t.documents))
