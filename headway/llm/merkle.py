@@ -55,25 +55,25 @@ def _tampered(fields: dict[str, Column]) -> Column:
     return F.when(chosen, leaf_digest(fields | {"text": F.translate(fields["text"], "\n", "")}))
 
 
-def _slot_names(column: str, fanout: int) -> list[str]:
-    return [f"{column}_{slot}" for slot in range(fanout)]
-
-
 def _pivot(nodes: DataFrame, carried: tuple[str, ...], fanout: int) -> DataFrame:
     """The parents of ``nodes (tree, place, size, ...)``: every child's columns in those of its slot.
 
     ``size`` is the number of nodes of the tree on this level.
     """
-    slot = F.col("place") % fanout
     spread = [
-        F.max(F.when(slot == number, F.col(column))).alias(f"{column}_{number}")
+        F.expr(f"max(CASE WHEN place % {fanout} = {slot} THEN {column} END) AS {column}_{slot}")
         for column in carried
-        for number in range(fanout)
+        for slot in range(fanout)
     ]
-    children = F.col("place") - slot
-    parents = nodes.groupBy("tree", "size", (children / fanout).cast("bigint").alias("place")).agg(*spread)
-    whole = F.concat_ws("", *[_hex(F.col(name)) for name in _slot_names("digest", fanout)])
-    return parents.withColumn("digest", _hash(whole)).withColumn("size", F.ceil(F.col("size") / fanout).cast("bigint"))
+    parents = nodes.groupBy("tree", "size", F.expr(f"place DIV {fanout} AS place")).agg(*spread)
+    return parents.withColumns(
+        {"digest": _hash(F.expr(f"lower(hex({_joined(range(fanout))}))")), "size": F.expr(f"(size + {fanout - 1}) DIV {fanout}")}
+    )
+
+
+def _joined(slots: range) -> str:
+    """The digests of some slots one after the other; those of slots that are not taken are left out."""
+    return f"concat({', '.join(["X''", *(f"coalesce(digest_{slot}, X'')" for slot in slots)])})"
 
 
 def _levels(ws: Workspace, nodes: DataFrame, carried: tuple[str, ...], fanout: int, name: str) -> list[DataFrame]:
@@ -96,29 +96,21 @@ def _roots(nodes: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return roots
 
 
-def _joined(digests: list[Column]) -> Column:
-    """Digests one after the other; those of slots that are not taken are left out."""
-    return F.concat(F.lit(b""), *[F.coalesce(digest, F.lit(b"")) for digest in digests])
-
-
 def _children(level: DataFrame, carried: tuple[str, ...], kept: list[str], fanout: int) -> DataFrame:
     """Every child of a level's nodes with its place, its ``carried`` columns and its way to the root.
 
     The way is a list of what stands before and after a node among the children of its parent: the
     columns of the slots other than its own.
     """
-    columns = [F.col(name) for name in _slot_names("digest", fanout)]
-    rows = []
-    for slot, own in enumerate(columns):
-        step = F.struct(_joined(columns[:slot]).alias("before"), _joined(columns[slot + 1 :]).alias("after"))
-        child = F.struct(
-            (F.col("place") * fanout + slot).alias("place"),
-            *[F.col(f"{column}_{slot}").alias(column) for column in carried],
-            F.concat(F.array(step), F.col("way")).alias("way"),
-        )
-        rows.append(F.when(own.isNotNull(), child))
-    children = level.select("tree", *kept, F.explode(F.array_compact(F.array(*rows))).alias("child"))
-    return children.select("tree", *kept, "child.*")
+    children = []
+    for slot in range(fanout):
+        step = f"named_struct('before', {_joined(range(slot))}, 'after', {_joined(range(slot + 1, fanout))})"
+        own = "".join(f"'{column}', {column}_{slot}, " for column in carried)
+        child = f"named_struct('place', place * {fanout} + {slot}, {own}'way', concat(array({step}), way))"
+        children.append(f"CASE WHEN digest_{slot} IS NOT NULL THEN {child} END")
+    return level.select("tree", *kept, F.expr(f"explode(array_compact(array({', '.join(children)}))) AS child")).select(
+        "tree", *kept, "child.*"
+    )
 
 
 def _ways(tops: DataFrame, nodes: DataFrame, levels: list[DataFrame], carried: tuple[str, ...], fanout: int) -> DataFrame:
