@@ -199,3 +199,54 @@ climb AS (
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
 FROM climb JOIN subroots s ON s.source IS NOT DISTINCT FROM climb.source CROSS JOIN roots WHERE upper AND climb.size = 1
 """
+
+_ORACLES["op11_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT c, {_CRC32.format('c')} % 6 AS h FROM (SELECT DISTINCT c FROM turns)),
+rebuilt AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, role, text FROM (
+    SELECT v.c, 0 AS part, t.p, role, text FROM convs v JOIN turns t ON t.c = v.c - v.c % 100 AND t.p <= v.h
+    UNION ALL SELECT v.c, 1, t.p, role, text FROM convs v JOIN turns t ON t.c = v.c AND t.p > v.h)
+),
+steps AS (
+  SELECT c, 0 AS d, '' AS node, 0 AS chars FROM convs
+  UNION ALL SELECT c, d, md5(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '')
+    OVER (PARTITION BY c ORDER BY d)), length(text) FROM rebuilt
+),
+paths AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent, d = max(d) OVER (PARTITION BY c) AS is_end FROM steps),
+nodes AS (
+  SELECT d, node, any_value(parent) AS parent, min(c) AS c, count(*) AS n, any_value(chars) AS chars,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end) AS ends
+  FROM paths GROUP BY d, node
+),
+families AS (SELECT d - 1 AS d, parent AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+subtrees AS (
+  SELECT a.d, a.node, sum((v.n - 1) * v.chars) AS saved, count(*) FILTER (f.n_children IS NULL) AS leaves
+  FROM nodes v JOIN paths a ON a.c = v.c AND a.d <= v.d LEFT JOIN families f ON f.d = v.d AND f.node = v.node GROUP BY ALL
+)
+SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM nodes x JOIN subtrees s ON s.d = x.d AND s.node = x.node LEFT JOIN families f ON f.d = x.d AND f.node = x.node
+LEFT JOIN nodes p ON p.d = x.d - 1 AND p.node = x.parent
+"""
+
+_ORACLES["op13_superminhash"] = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS gram
+  FROM docs, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS r(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)
+),
+reach AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.seen)
+SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(seen) AS component_id,
+  doc_id = min(seen) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

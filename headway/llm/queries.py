@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import headway
-from headway.llm import decontamination, doubling, identifiers, jaccard, language, line_chunks, merkle, mixing, phrases, suffixes, warc
+from headway.llm import decontamination, doubling, identifiers, jaccard, language, line_chunks, merkle, mixing, phrases, suffixes, superminhash, tries, warc
 from headway.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,13 @@ def op8_identifiers(t: Tables) -> DataFrame:
 @_query
 def op12_merkle_manifest(t: Tables) -> DataFrame:
     return merkle.proof_report(merkle.manifest(t.ws, t.documents))
+
+
+@_query
+def op11_prefix_trie(t: Tables) -> DataFrame:
+    return tries.prefix_trie(t.ws, t.conversations)
+
+
+@_query
+def op13_superminhash(t: Tables) -> DataFrame:
+    return superminhash.near_duplicates(t.ws, t.documents)
