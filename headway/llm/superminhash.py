@@ -53,8 +53,9 @@ BLOCK_ROWS = 128
 CHUNK_ELEMENTS = 1 << 15
 LEAST_ELEMENTS = 16
 
-_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_ALL_BITS = (1 << 64) - 1
+_EMPTY = np.uint64(_ALL_BITS)
+_STEP = 0x9E3779B97F4A7C15
 _FRACTION_BITS = np.uint64(40)
 _FRACTION = np.uint64((1 << 40) - 1)
 
@@ -72,7 +73,7 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> n
     for j in range(slots):
         if not len(elements):
             break
-        draw = mix(elements + np.uint64(j + 1) * _STEP)
+        draw = mix(elements + np.uint64((j + 1) * _STEP & _ALL_BITS))
         chosen = j + (((draw >> _FRACTION_BITS) * np.uint64(slots - j)) >> np.uint64(24)).astype(np.int64)
         if rows is None:
             slot = chosen
@@ -99,7 +100,7 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> n
 def band_hashes(table: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """A hash of every band of every signature, with the number of the band."""
     parts = table.reshape(len(table), bands, -1)
-    hashes = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * _STEP, parts.shape[:2])
+    hashes = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(_STEP), parts.shape[:2])
     for slot in range(parts.shape[2]):
         hashes = mix(hashes ^ parts[:, :, slot])
     return hashes.view(np.int64)
