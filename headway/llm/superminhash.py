@@ -9,8 +9,9 @@ above every slot's has nothing more to say, which ends most elements after a few
 Sets that agree in all slots of a band are candidates. Bands are never spread into pairs: in each
 round the least class of a bucket is compared with those of its bucket that are not in its group
 yet, on the full sets, and leaves the bucket. After a few rounds nearly all that belongs together
-is one group; classes of several groups that are still in one bucket are compared by their
-signatures inside tasks, and on the full sets where those say that a link is possible.
+is one group; classes of several groups that are still in one bucket are compared inside tasks, by
+their signatures and, where those say that a link is possible, on the full sets. A task hands on no
+more links than it takes to join its groups.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from headway.llm.graph import components
 from headway.llm.jaccard import shingle_sets
 from headway.llm.tables import text_id, texts_of
 from headway.llm.words import mix
-from headway.operators.skew import copy_to_salts, key_fanout, spread
+from headway.operators.skew import key_fanout
 from headway.sources.workspace import Workspace
 
 SHINGLE_WORDS = 3
@@ -45,8 +46,8 @@ ROUNDS = 3
 # on their sets: five standard deviations of independent slots, and these vary less.
 MARGIN = 0.10
 
-# Rows of a bucket that one task compares with the whole bucket, and rows compared at once.
-BUCKET_ROWS = 4096
+# Rows of a bucket that one task compares with as many others of it, and rows compared at once.
+BUCKET_ROWS = 1024
 BLOCK_ROWS = 128
 
 # Elements whose permutations are kept at once; a small set counts as this many.
@@ -168,8 +169,8 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _crowded(sets: DataFrame) -> DataFrame:
-    """``(bucket, class, size)`` of the buckets with several classes."""
-    rows = sets.select(F.explode("bands").alias("bucket"), "class", "size")
+    """``(band, bucket, class, size)`` of the buckets with several classes."""
+    rows = sets.select(F.posexplode("bands").alias("band", "bucket"), "class", "size")
     several = rows.groupBy("bucket").agg(F.min("class").alias("_a"), F.max("class").alias("_b")).filter("_a <> _b")
     return rows.join(several.select("bucket"), "bucket").distinct()
 
@@ -244,55 +245,107 @@ def _several_groups(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return grouped.join(mixed.select("bucket"), "bucket")
 
 
-def _similar_sketches(rows: DataFrame, percent: int, bucket_rows: int) -> DataFrame:
-    """``(a, b)`` of different groups in one bucket whose sketches allow a link, ``a`` being the larger set.
+def _overlaps(first: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements a sorted set shares with each of some sets, none of which is empty."""
+    joined = np.concatenate(others)
+    place = np.minimum(np.searchsorted(first, joined), len(first) - 1)
+    starts = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
+    return np.add.reduceat((first[place] == joined).astype(np.int64), starts)
+
+
+class _Block:
+    """Some rows of a bucket, ordered by size: two parts of it, or one that is compared with itself."""
+
+    def __init__(self, rows: list[tuple], low: int, high: int) -> None:
+        part, band, name, size, group, sketch, elements = zip(*sorted(rows, key=lambda r: (r[3], r[2])), strict=True)
+        self.band, self.name, self.group, self.elements = band[0], np.array(name), group, elements
+        self.size = np.array(size)
+        self.sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), SLOTS)
+        self.same = low == high
+        self.x, self.y = np.flatnonzero(np.array(part) == low), np.flatnonzero(np.array(part) == high)
+
+    def candidates(self, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """``(row, other rows)`` that the sketches allow to be linked and that met in no earlier band."""
+        least = (percent / 100 - MARGIN) * SLOTS
+        group = np.array(self.group)
+        for first in range(0, len(self.x), BLOCK_ROWS):
+            rows = self.x[first : first + BLOCK_ROWS]
+            sizes = self.size[self.y]
+            low = np.searchsorted(sizes, -(-percent * self.size[rows[0]] // 100))
+            high = np.searchsorted(sizes, 100 * self.size[rows[-1]] // percent, "right")
+            for second in range(low, high, BLOCK_ROWS):
+                others = self.y[second : min(second + BLOCK_ROWS, high)]
+                apart = group[rows][:, None] != group[others]
+                if self.same:
+                    apart &= rows[:, None] < others
+                if not apart.any():
+                    continue
+                a, b = self.sketch[rows][:, None, :], self.sketch[others][None, :, :]
+                equal = a == b
+                shared = equal.reshape(*equal.shape[:2], BANDS, BAND_SLOTS).all(axis=3)
+                met_here = shared.argmax(axis=2) == self.band
+                near = apart & met_here & (np.count_nonzero(equal, axis=2) >= least)
+                for i in np.flatnonzero(near.any(axis=1)):
+                    yield int(rows[i]), others[near[i]]
+
+    def links(self, percent: int) -> list[tuple[int, int]]:
+        """Links that join the groups of the rows, each found on the full sets."""
+        parent: dict[int, int] = {}
+
+        def root(node: int) -> int:
+            while (above := parent.get(node, node)) != node:
+                parent[node] = node = parent.get(above, above)
+            return node
 
-    Buckets of more than ``bucket_rows`` rows are dealt to several tasks, each of which compares its
-    share with the whole bucket, block by block.
+        found = []
+        for row, others in self.candidates(percent):
+            others = [j for j in others.tolist() if root(self.group[j]) != root(self.group[row])]
+            if not others:
+                continue
+            first = np.frombuffer(self.elements[row], np.uint64)
+            overlap = _overlaps(first, [np.frombuffer(self.elements[j], np.uint64) for j in others])
+            linked = 100 * overlap >= percent * (self.size[row] + self.size[others] - overlap)
+            for j in np.array(others)[linked].tolist():
+                if root(self.group[j]) != root(self.group[row]):
+                    parent[root(self.group[j])] = root(self.group[row])
+                    found.append((int(self.name[row]), int(self.name[j])))
+        return found
+
+
+def _links_in_buckets(rows: DataFrame, percent: int, bucket_rows: int) -> DataFrame:
+    """``(a, b)``: links between the groups of ``rows (band, bucket, class, size, grp, sketch, elements)``.
+
+    A bucket of more than ``bucket_rows`` rows is cut into parts, and each two parts meet in a task of
+    their own. Two classes are compared in the first band they share: if they aren't both in that
+    bucket any more, one of them was compared with the other, or they are in one group.
     """
     fanout = key_fanout(rows, ["bucket"], bucket_rows)
-    asking = spread(rows, ["bucket"], fanout, ["class"]).withColumn("asks", F.lit(True))
-    asked = copy_to_salts(rows, ["bucket"], fanout).withColumn("asks", F.lit(False))
-    columns = ["bucket", "salt", "asks", "class", "size", "grp", "sketch"]
-    dealt = asking.select(*columns).unionByName(asked.select(*columns))
-    dealt = dealt.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt")
-    least = percent / 100 - MARGIN
-
-    def partners(held: list) -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        asks, name, size, group, sketch = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((name, size))
-        asks, name, size, group, sketch = (c[order] for c in (asks.astype(bool), name, size, group, sketch))
-        x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
-        for first in range(0, len(x), BLOCK_ROWS):
-            block = x[first : first + BLOCK_ROWS]
-            # Partners are smaller, by size and name, and large enough for the smallest of the block.
-            from_, to = np.searchsorted(size[y], -(-percent * size[block[0]] // 100)), np.searchsorted(size[y], size[block[-1]], "right")
-            for second in range(from_, to, BLOCK_ROWS):
-                others = y[second : min(second + BLOCK_ROWS, to)]
-                equal = (sketch[block][:, None, :] == sketch[others][None, :, :]).mean(axis=2)
-                a, b = size[block][:, None], size[others]
-                smaller = (b < a) | ((b == a) & (name[others] < name[block][:, None]))
-                i, j = np.nonzero((equal >= least) & smaller & (100 * b >= percent * a) & (group[block][:, None] != group[others]))
-                if len(i):
-                    yield pa.record_batch([pa.array(name[block[i]]), pa.array(name[others[j]])], names=["a", "b"])
+    parts = F.coalesce("fanout", F.lit(1))
+    cut = rows.join(fanout, "bucket", "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    key = ["bucket", "low", "high"]
+    columns = [*key, "part", "band", "class", "size", "grp", "sketch", "elements"]
+    dealt = met.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).select(*columns)
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links_of(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            found = _Block(held, *key[1:]).links(percent) if len(held) > 1 else []
+            if found:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
         key, held = None, []
         for batch in batches:
-            data = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) - 1)]
-            data.append(np.frombuffer(b"".join(batch.column(len(columns) - 1).to_pylist()), np.uint8).reshape(-1, SLOTS))
-            changes = (data[0][1:] != data[0][:-1]) | (data[1][1:] != data[1][:-1])
-            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(batch)]
-            for start, end in zip(edges, edges[1:], strict=False):
-                if (data[0][start], data[1][start]) != key:
-                    yield from partners(held)
-                    key, held = (data[0][start], data[1][start]), []
-                held.append([column[start:end] for column in data[2:]])
-        yield from partners(held)
+            for row in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+                if row[:3] != key:
+                    if held:
+                        yield from links_of(key, held)
+                    key, held = row[:3], []
+                held.append(row[3:])
+        if held:
+            yield from links_of(key, held)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def _groups(ws: Workspace, docs: DataFrame, sets: DataFrame, percent: int, words: int, rounds: int, bucket_rows: int) -> DataFrame | None:
@@ -311,13 +364,14 @@ def _groups(ws: Workspace, docs: DataFrame, sets: DataFrame, percent: int, words
         links = _links(ws, ws.save(pairs, "pivot_pairs"), full, percent)
         if not links.isEmpty():
             labels = _merge_groups(ws, labels, links)
-        left = ws.save(_several_groups(met.select("bucket", "class", "size"), labels), "crowded_buckets")
+        left = ws.save(_several_groups(met.select("band", "bucket", "class", "size"), labels), "crowded_buckets")
         if left.isEmpty():
             return labels
-    sketches = sets.filter("sketch is not null").join(left.select("class").distinct(), "class", "left_semi")
+    wanted = left.select("class").distinct()
+    sketches = sets.filter("sketch is not null").join(wanted, "class", "left_semi")
     sketches = ws.save(sketches.groupBy("class").agg(F.any_value("sketch").alias("sketch")), "sketches")
-    pairs = ws.save(_similar_sketches(left.join(sketches, "class"), percent, bucket_rows), "sketch_pairs")
-    links = _links(ws, pairs, full, percent)
+    whole = left.join(sketches, "class").join(full, "class")
+    links = ws.save(_links_in_buckets(whole, percent, bucket_rows), "links")
     return labels if links.isEmpty() else _merge_groups(ws, labels, links)
 
 

@@ -22,5 +22,5 @@ def test_stages_keep_columns_and_clean_documents(spark, ws):
 
 def test_registered_queries():
     names = entries.queries()
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
     assert set(entries.oracle_sql()) <= set(names)
