@@ -29,6 +29,14 @@ _VIEWS: dict[str, str] = {
                start_date AS service_date, n % 2 + 1 AS kind
         FROM (SELECT service_id, start_date, count(*) AS n FROM trips GROUP BY service_id, start_date)
         WHERE n % 5 = 0""",
+    "service_dates": """
+        SELECT strftime(d, '%Y%m%d') AS service_date, service_id FROM (
+            SELECT service_id, unnest(generate_series(min(strptime(start_date, '%Y%m%d')),
+                                                      max(strptime(start_date, '%Y%m%d')), INTERVAL 1 DAY)) AS d
+            FROM trips GROUP BY service_id)
+        WHERE service_id = CASE isodow(d) WHEN 6 THEN '2' WHEN 7 THEN '3' ELSE '1' END
+        EXCEPT SELECT service_date, service_id FROM exceptions WHERE kind = 2
+        UNION SELECT service_date, service_id FROM exceptions WHERE kind = 1""",
     "calls": """
         SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_suppkey AS VARCHAR) AS stop_id,
                CAST(seq AS INTEGER) AS stop_sequence,
@@ -112,14 +120,6 @@ _VIEWS: dict[str, str] = {
         SELECT from_stop_id, to_stop_id, CAST(ceil(distance / 1.4) AS INTEGER) AS walk_secs FROM all_transfers
         WHERE from_stop_id IN (SELECT stop_id FROM served) AND to_stop_id IN (SELECT stop_id FROM served)
         UNION ALL SELECT stop_id, stop_id, 0 FROM served""",
-    # Rounds of the journey search.
-    "labels_0": """
-        SELECT query_id, origin AS stop_id, 0 AS round, departure_secs AS arrival_secs, CAST(NULL AS VARCHAR) AS mode,
-               CAST(NULL AS VARCHAR) AS trip_id, CAST(NULL AS VARCHAR) AS board_stop,
-               CAST(NULL AS INTEGER) AS board_dep_secs, CAST(NULL AS VARCHAR) AS alight_stop,
-               CAST(NULL AS INTEGER) AS alight_secs
-        FROM searches WHERE origin IN (SELECT stop_id FROM served)""",
-    "known_0": "SELECT query_id, stop_id, arrival_secs FROM labels_0",
     # Fusion and features.
     "schedule": """
         SELECT c.trip_id, t.route_id, t.service_id, t.direction_id, c.arr_secs AS sch_arrival_secs,
@@ -173,81 +173,173 @@ _VIEWS["lags"] = _VIEWS["lags"].format(
     )
 )
 
-for _k in range(1, _MAX_ROUNDS + 1):
-    _VIEWS[f"boardable_{_k}"] = f"""
+
+def _rounds(tag: str, searches: str, services: str) -> dict[str, str]:
+    """The rounds of some searches, as views whose names begin with the tag."""
+    views = {
+        f"{tag}labels_0": f"""
+        SELECT query_id, origin AS stop_id, 0 AS round, departure_secs AS arrival_secs, CAST(NULL AS VARCHAR) AS mode,
+               CAST(NULL AS VARCHAR) AS trip_id, CAST(NULL AS VARCHAR) AS board_stop,
+               CAST(NULL AS INTEGER) AS board_dep_secs, CAST(NULL AS VARCHAR) AS alight_stop,
+               CAST(NULL AS INTEGER) AS alight_secs
+        FROM {searches} WHERE origin IN (SELECT stop_id FROM served)""",
+        f"{tag}known_0": f"SELECT query_id, stop_id, arrival_secs FROM {tag}labels_0",
+    }
+    for k in range(1, _MAX_ROUNDS + 1):
+        views[f"{tag}boardable_{k}"] = f"""
         SELECT f.query_id, c.trip_id, c.stop_id, c.stop_sequence, c.dep_secs, c.pattern,
                s.departure_secs + 3600 AS horizon_secs
-        FROM labels_{_k - 1} f
-        JOIN searches s ON s.query_id = f.query_id
-        JOIN services v ON v.day = s.day
+        FROM {tag}labels_{k - 1} f
+        JOIN {searches} s ON s.query_id = f.query_id
+        JOIN {services} v ON v.day = s.day
         JOIN dated c ON c.stop_id = f.stop_id AND c.service_id = v.service_id
         WHERE c.dep_secs >= f.arrival_secs AND c.arr_secs >= s.departure_secs
           AND c.arr_secs < s.departure_secs + 3600"""
-    _VIEWS[f"onward_{_k}"] = f"""
+        views[f"{tag}onward_{k}"] = f"""
         SELECT b.query_id, c.stop_id, c.arr_secs AS arrival_secs, 'R' AS mode, b.trip_id,
                b.stop_id AS board_stop, b.dep_secs AS board_dep_secs, c.stop_id AS alight_stop,
                c.arr_secs AS alight_secs
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id, trip_id ORDER BY stop_sequence) AS place
-              FROM boardable_{_k}) b
+              FROM {tag}boardable_{k}) b
         JOIN dated c ON c.trip_id = b.trip_id AND c.stop_sequence > b.stop_sequence AND c.arr_secs < b.horizon_secs
         WHERE place = 1"""
-    _VIEWS[f"rides_{_k}"] = f"""
+        views[f"{tag}rides_{k}"] = f"""
         SELECT r.* EXCLUDE (place) FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id, stop_id
                                          ORDER BY arrival_secs, trip_id) AS place
-            FROM onward_{_k}) r
-        LEFT JOIN known_{_k - 1} n ON n.query_id = r.query_id AND n.stop_id = r.stop_id
+            FROM {tag}onward_{k}) r
+        LEFT JOIN {tag}known_{k - 1} n ON n.query_id = r.query_id AND n.stop_id = r.stop_id
         WHERE place = 1 AND (n.arrival_secs IS NULL OR r.arrival_secs < n.arrival_secs)"""
-    _VIEWS[f"candidates_{_k}"] = f"""
+        views[f"{tag}candidates_{k}"] = f"""
         SELECT query_id, stop_id, arrival_secs, mode, trip_id, board_stop, board_dep_secs, alight_stop, alight_secs
-        FROM rides_{_k}
+        FROM {tag}rides_{k}
         UNION ALL
         SELECT r.query_id, m.to_stop_id, r.arrival_secs + m.walk_secs, 'RW', r.trip_id, r.board_stop,
                r.board_dep_secs, r.alight_stop, r.alight_secs
-        FROM rides_{_k} r JOIN moves m ON m.from_stop_id = r.stop_id AND m.to_stop_id <> r.stop_id
+        FROM {tag}rides_{k} r JOIN moves m ON m.from_stop_id = r.stop_id AND m.to_stop_id <> r.stop_id
         UNION ALL
         SELECT f.query_id, m.to_stop_id, f.arrival_secs + m.walk_secs, 'W', '', f.stop_id, f.arrival_secs,
                f.stop_id, f.arrival_secs
-        FROM labels_{_k - 1} f JOIN moves m ON m.from_stop_id = f.stop_id AND m.to_stop_id <> f.stop_id"""
-    _VIEWS[f"labels_{_k}"] = f"""
-        SELECT c.query_id, c.stop_id, {_k} AS round, c.arrival_secs, c.mode, c.trip_id, c.board_stop,
+        FROM {tag}labels_{k - 1} f JOIN moves m ON m.from_stop_id = f.stop_id AND m.to_stop_id <> f.stop_id"""
+        views[f"{tag}labels_{k}"] = f"""
+        SELECT c.query_id, c.stop_id, {k} AS round, c.arrival_secs, c.mode, c.trip_id, c.board_stop,
                c.board_dep_secs, c.alight_stop, c.alight_secs
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id, stop_id
                   ORDER BY arrival_secs, mode, alight_stop) AS place
-              FROM candidates_{_k}) c
-        LEFT JOIN known_{_k - 1} n ON n.query_id = c.query_id AND n.stop_id = c.stop_id
+              FROM {tag}candidates_{k}) c
+        LEFT JOIN {tag}known_{k - 1} n ON n.query_id = c.query_id AND n.stop_id = c.stop_id
         WHERE place = 1 AND (n.arrival_secs IS NULL OR c.arrival_secs < n.arrival_secs)"""
-    _VIEWS[f"known_{_k}"] = f"""
+        views[f"{tag}known_{k}"] = f"""
         SELECT query_id, stop_id, min(arrival_secs) AS arrival_secs
-        FROM (SELECT * FROM known_{_k - 1} UNION ALL SELECT query_id, stop_id, arrival_secs FROM labels_{_k})
+        FROM (SELECT * FROM {tag}known_{k - 1} UNION ALL SELECT query_id, stop_id, arrival_secs FROM {tag}labels_{k})
         GROUP BY query_id, stop_id"""
+    views[f"{tag}labels"] = " UNION ALL ".join(f"SELECT * FROM {tag}labels_{k}" for k in range(_MAX_ROUNDS + 1))
+    return views
 
-_VIEWS["labels"] = " UNION ALL ".join(f"SELECT * FROM labels_{k}" for k in range(_MAX_ROUNDS + 1))
-_VIEWS["final"] = """
-    SELECT l.* FROM labels l JOIN destinations d ON d.query_id = l.query_id AND d.stop_id = l.stop_id
-    WHERE l.round = (SELECT max(m.round) FROM labels m WHERE m.query_id = l.query_id AND m.stop_id = l.stop_id)"""
-_VIEWS["hop_1"] = "SELECT stop_id AS destination, * FROM final WHERE round > 0"
-for _k in range(2, _MAX_ROUNDS + 1):
-    _VIEWS[f"hop_{_k}"] = f"""
-        SELECT h.destination, l.* FROM hop_{_k - 1} h
-        JOIN labels l ON l.query_id = h.query_id AND l.stop_id = h.board_stop AND l.round = h.round - 1
+
+def _ways(tag: str, destinations: str) -> dict[str, str]:
+    """The hops and legs of the journeys to some destinations."""
+    views = {
+        f"{tag}final": f"""
+    SELECT l.* FROM {tag}labels l JOIN {destinations} d ON d.query_id = l.query_id AND d.stop_id = l.stop_id
+    WHERE l.round = (SELECT max(m.round) FROM {tag}labels m WHERE m.query_id = l.query_id AND m.stop_id = l.stop_id)""",
+        f"{tag}hop_1": f"SELECT stop_id AS destination, * FROM {tag}final WHERE round > 0",
+    }
+    for k in range(2, _MAX_ROUNDS + 1):
+        views[f"{tag}hop_{k}"] = f"""
+        SELECT h.destination, l.* FROM {tag}hop_{k - 1} h
+        JOIN {tag}labels l ON l.query_id = h.query_id AND l.stop_id = h.board_stop AND l.round = h.round - 1
         WHERE l.round > 0"""
-_VIEWS["hops"] = " UNION ALL ".join(f"SELECT * FROM hop_{k}" for k in range(1, _MAX_ROUNDS + 1))
-_VIEWS["legs"] = """
+    views[f"{tag}hops"] = " UNION ALL ".join(f"SELECT * FROM {tag}hop_{k}" for k in range(1, _MAX_ROUNDS + 1))
+    views[f"{tag}legs"] = f"""
     SELECT query_id, destination,
            CAST(row_number() OVER (PARTITION BY query_id, destination ORDER BY round, part) AS INTEGER) AS leg_no,
            mode, trip_id, from_stop, to_stop, depart_secs, arrive_secs
     FROM (SELECT query_id, destination, round, 1 AS part, 'ride' AS mode, trip_id, board_stop AS from_stop,
                  alight_stop AS to_stop, board_dep_secs AS depart_secs, alight_secs AS arrive_secs
-          FROM hops WHERE mode <> 'W'
+          FROM {tag}hops WHERE mode <> 'W'
           UNION ALL
           SELECT query_id, destination, round, 2, 'walk', trip_id, alight_stop, stop_id, alight_secs, arrival_secs
-          FROM hops WHERE mode <> 'R')"""
+          FROM {tag}hops WHERE mode <> 'R')"""
+    return views
+
+
+def _arrivals(tag: str) -> str:
+    return f"""
+        SELECT query_id, stop_id, min(arrival_secs) AS arrival_secs, max(round) AS round FROM {tag}labels
+        GROUP BY query_id, stop_id"""
+
+
+def _best(tag: str, searches: str) -> str:
+    """The legs of the three quickest journeys of each search."""
+    return f"""
+        SELECT l.query_id, CAST(r.rank AS INTEGER) AS rank, l.destination, r.minutes,
+               CAST(r.rides AS INTEGER) AS rides, l.leg_no,
+               CASE WHEN l.mode = 'walk' THEN 'Walk' ELSE t.trip_headsign END AS method,
+               a.stop_name AS from_name, b.stop_name AS to_name
+        FROM (SELECT f.query_id, f.stop_id, CAST((f.arrival_secs - s.departure_secs) // 60 AS INTEGER) AS minutes,
+                     (SELECT count(*) FROM {tag}legs g WHERE g.query_id = f.query_id AND g.destination = f.stop_id
+                      AND g.mode = 'ride') AS rides,
+                     row_number() OVER (PARTITION BY f.query_id ORDER BY f.arrival_secs, f.stop_id) AS rank
+              FROM {tag}final f JOIN {searches} s ON s.query_id = f.query_id WHERE f.round > 0) r
+        JOIN {tag}legs l ON l.query_id = r.query_id AND l.destination = r.stop_id
+        LEFT JOIN trips t ON t.trip_id = l.trip_id
+        JOIN stops a ON a.stop_id = l.from_stop
+        JOIN stops b ON b.stop_id = l.to_stop
+        WHERE r.rank <= 3"""
+
+
+def _matches(column: str, limit: int) -> str:
+    """Stops whose name has the requested part, the shortest names first."""
+    return f"""
+        SELECT term, stop_id, stop_name FROM (
+            SELECT t.term, s.stop_id, s.stop_name,
+                   row_number() OVER (PARTITION BY t.term ORDER BY length(s.stop_name), s.stop_name) AS rank
+            FROM (SELECT DISTINCT {column} AS term FROM requests) t
+            JOIN served s ON contains(lower(s.stop_name), lower(t.term)))
+        WHERE rank <= {limit}"""
+
+
+_DAY = """CASE s_suppkey % 7 WHEN 0 THEN 'monday' WHEN 1 THEN 'tuesday' WHEN 2 THEN 'wednesday'
+                    WHEN 3 THEN 'thursday' WHEN 4 THEN 'friday' WHEN 5 THEN 'saturday' ELSE 'sunday' END"""
+_VIEWS |= _rounds("", "searches", "services") | _ways("", "destinations")
+_VIEWS |= {
+    "customer_searches": f"""
+        SELECT s_suppkey AS query_id, CAST(s_suppkey % n AS VARCHAR) AS origin,
+               CAST(21600 + (s_suppkey * 977) % 54000 AS INTEGER) AS departure_secs, {_DAY} AS day
+        FROM (SELECT c_custkey AS s_suppkey FROM customer), (SELECT count(*) AS n FROM supplier)""",
+    "customer_destinations": """
+        SELECT c_custkey AS query_id, CAST((c_custkey * 31 + c_nationkey) % n AS VARCHAR) AS stop_id
+        FROM customer, (SELECT count(*) AS n FROM supplier)
+        UNION SELECT c_custkey, CAST((c_custkey * 7 + 3) % n AS VARCHAR)
+        FROM customer, (SELECT count(*) AS n FROM supplier)""",
+    "dated_searches": """
+        SELECT s.query_id, s.origin, s.departure_secs, d.day FROM searches s
+        JOIN (SELECT o_custkey % n AS query_id, strftime(max(o_orderdate), '%Y%m%d') AS day
+              FROM orders, (SELECT count(*) AS n FROM supplier) GROUP BY 1) d ON d.query_id = s.query_id""",
+    "dated_services": "SELECT service_date AS day, service_id FROM service_dates",
+    "requests": f"""
+        SELECT s_suppkey AS request_id, {_DAY} AS day, CAST(21600 + (s_suppkey * 977) % 54000 AS INTEGER) AS departure_secs,
+               right(s_name, 4) AS origin, lpad(CAST((s_suppkey * 31 + 7) % n AS VARCHAR), 4, '0') AS destination
+        FROM supplier, (SELECT count(*) AS n FROM supplier)""",
+    "start_matches": _matches("origin", 3),
+    "end_matches": _matches("destination", 10),
+    "named_searches": """
+        SELECT r.request_id || ' ' || m.stop_id AS query_id, r.request_id, m.stop_name AS origin_name, m.stop_id AS origin,
+               r.departure_secs, r.day, r.destination
+        FROM requests r JOIN start_matches m ON m.term = r.origin""",
+    "named_destinations": """
+        SELECT DISTINCT s.query_id, m.stop_id FROM named_searches s JOIN end_matches m ON m.term = s.destination""",
+}
+_VIEWS |= _rounds("customer_", "customer_searches", "services")
+_VIEWS |= _rounds("dated_", "dated_searches", "dated_services")
+_VIEWS |= _rounds("named_", "named_searches", "services") | _ways("named_", "named_destinations")
 
 # Computed once although several later views read them.
 _MATERIALIZED = re.compile(
-    r"trips|exceptions|calls|kept|patterns|dated|served|all_transfers|moves|searches|destinations|rides_\d|labels_\d|known_\d|"
-    r"labels|hops|legs|fused|records|spread|timed|series|lags|supervised"
+    r"trips|exceptions|calls|kept|patterns|dated|served|all_transfers|moves|requests|service_dates|\w+_matches|"
+    r"(\w+_)?(searches|destinations|rides_\d|labels_\d|known_\d|labels|hops|legs)|"
+    r"fused|records|spread|timed|series|lags|supervised|ordinals|ranges|tails"
 )
 
 _FUSED = (
@@ -279,14 +371,7 @@ _BODIES: dict[str, str] = {
     "services_by_day": """
         SELECT v.day, v.service_id, count(*) AS trips FROM services v JOIN trips t ON t.service_id = v.service_id
         GROUP BY v.day, v.service_id""",
-    "services_by_date": """
-        SELECT strftime(d, '%Y%m%d') AS service_date, service_id FROM (
-            SELECT service_id, unnest(generate_series(min(strptime(start_date, '%Y%m%d')),
-                                                      max(strptime(start_date, '%Y%m%d')), INTERVAL 1 DAY)) AS d
-            FROM trips GROUP BY service_id)
-        WHERE service_id = CASE isodow(d) WHEN 6 THEN '2' WHEN 7 THEN '3' ELSE '1' END
-        EXCEPT SELECT service_date, service_id FROM exceptions WHERE kind = 2
-        UNION SELECT service_date, service_id FROM exceptions WHERE kind = 1""",
+    "services_by_date": "SELECT * FROM service_dates",
     "calendar_days": """
         SELECT strftime(d, '%Y%m%d') AS sch_date FROM (
             SELECT unnest(generate_series(min(strptime(start_date, '%Y%m%d')), max(strptime(start_date, '%Y%m%d')),
@@ -310,6 +395,11 @@ _BODIES: dict[str, str] = {
     "route_direction_trips": """
         SELECT trip_id, route_id, direction_id, service_id FROM trips WHERE route_id = 'R7' AND direction_id = 1""",
     "static_schedule": "SELECT * FROM schedule",
+    "schedule_round_trip": "SELECT * FROM schedule",
+    "stored_days": """
+        SELECT v.day, CAST(c.arr_secs // 3600 AS INTEGER) AS hour, count(*) AS calls, count(DISTINCT c.trip_id) AS trips,
+               count(DISTINCT c.stop_id) AS stops
+        FROM dated c JOIN services v ON v.service_id = c.service_id GROUP BY ALL""",
     "distinct_sequences": "SELECT DISTINCT stop_sequence FROM calls",
     "walking_transfers": """
         SELECT from_stop_id, to_stop_id, round(distance, 6) AS distance, round(distance / 1.4, 6) AS transfer_time
@@ -339,9 +429,11 @@ _BODIES: dict[str, str] = {
         WHERE mode <> 'R'""",
     "candidate_union": """
         SELECT query_id, stop_id, arrival_secs, mode, trip_id, board_stop, alight_stop FROM first_moves""",
-    "earliest_arrivals": """
-        SELECT query_id, stop_id, min(arrival_secs) AS arrival_secs, max(round) AS round FROM labels
-        GROUP BY query_id, stop_id""",
+    "earliest_arrivals": _arrivals(""),
+    "arrivals_at_destinations": f"""
+        SELECT a.* FROM ({_arrivals("customer_")}) a
+        JOIN customer_destinations d ON d.query_id = a.query_id AND d.stop_id = a.stop_id""",
+    "arrivals_by_date": _arrivals("dated_"),
     "reachable_by_round": "SELECT query_id, round, count(*) AS stops FROM labels GROUP BY query_id, round",
     "journey_legs": """
         SELECT query_id, destination AS stop_id, leg_no, mode, trip_id, from_stop, to_stop, depart_secs, arrive_secs
@@ -360,21 +452,10 @@ _BODIES: dict[str, str] = {
                    FROM legs l JOIN stops p ON p.stop_id = l.to_stop
                    GROUP BY l.query_id, l.destination) g
           ON g.query_id = f.query_id AND g.destination = f.stop_id""",
-    "best_journeys": """
-        SELECT l.query_id, CAST(r.rank AS INTEGER) AS rank, l.destination, r.minutes,
-               CAST(r.rides AS INTEGER) AS rides, l.leg_no,
-               CASE WHEN l.mode = 'walk' THEN 'Walk' ELSE t.trip_headsign END AS method,
-               a.stop_name AS from_name, b.stop_name AS to_name
-        FROM (SELECT f.query_id, f.stop_id, CAST((f.arrival_secs - s.departure_secs) // 60 AS INTEGER) AS minutes,
-                     (SELECT count(*) FROM legs g WHERE g.query_id = f.query_id AND g.destination = f.stop_id
-                      AND g.mode = 'ride') AS rides,
-                     row_number() OVER (PARTITION BY f.query_id ORDER BY f.arrival_secs, f.stop_id) AS rank
-              FROM final f JOIN searches s ON s.query_id = f.query_id WHERE f.round > 0) r
-        JOIN legs l ON l.query_id = r.query_id AND l.destination = r.stop_id
-        LEFT JOIN trips t ON t.trip_id = l.trip_id
-        JOIN stops a ON a.stop_id = l.from_stop
-        JOIN stops b ON b.stop_id = l.to_stop
-        WHERE r.rank <= 3""",
+    "best_journeys": _best("", "searches"),
+    "journeys_by_name": f"""
+        SELECT s.request_id, s.origin_name, b.* EXCLUDE (query_id) FROM ({_best("named_", "named_searches")}) b
+        JOIN named_searches s ON s.query_id = b.query_id""",
     "stop_search": """
         SELECT term_id, CAST(rank AS INTEGER) AS rank, stop_id, stop_name FROM (
             SELECT t.term_id, s.stop_id, s.stop_name,
@@ -398,7 +479,17 @@ _BODIES: dict[str, str] = {
     ),
     "rt_upsert_vehicles": _latest("rt_vehicles", "vehicle_id, trip_id, snapshot_ts", "vehicle_label"),
     "alerts_upsert": _LATEST_ALERTS,
-    "rt_dedup_batch": "SELECT DISTINCT stop_id, trip_id, stop_sequence, snapshot_ts FROM rt_stops",
+    "rt_upsert_batches": """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, row_number() OVER (PARTITION BY alert_id, stop_id, route_id
+                ORDER BY snapshot_ts DESC, snapshot_ts % 86400 // 21600 DESC, active_period_start DESC, active_period_end DESC,
+                         route_type DESC, cause DESC, effect DESC, severity_level DESC) AS place FROM alerts)
+        WHERE place = 1""",
+    "rt_dedup_batch": """
+        SELECT * EXCLUDE (place) FROM (
+            SELECT *, row_number() OVER (PARTITION BY stop_id, trip_id, stop_sequence, snapshot_ts
+                ORDER BY arrival_delay, arrival_time, departure_delay, departure_time) AS place FROM rt_stops)
+        WHERE place = 1""",
     "key_violations": " UNION ALL ".join(
         f"""SELECT '{name}' AS table_name, count(*) AS repeated_keys, CAST(coalesce(sum(copies), 0) AS BIGINT) AS row_count
         FROM (SELECT count(*) AS copies FROM {view} GROUP BY {keys} HAVING count(*) > 1)"""
@@ -465,6 +556,72 @@ _BODIES: dict[str, str] = {
         WINDOW w AS (PARTITION BY route_id, direction_id ORDER BY CAST(trip_id AS BIGINT), stop_sequence)""",
 }
 _VIEWS["first_moves"] = "SELECT * FROM candidates_1"
+
+# The given model of the forecast: weights of the oldest row first; delay, arrival time and running time of each.
+_WEIGHTS = [w for step in range(_STEPS, 0, -1) for w in (0.5**step, 0.002, 0.05 / step)]
+_LAGS = [f"{f}_{step}" for step in range(_STEPS, 0, -1) for f in ("arrival_delay", "arrival_time", "running_time")]
+
+
+def _scale(value: str, feature: str) -> str:
+    return f"(CAST({value} AS DOUBLE) - {feature}_lo) / ({feature}_hi - {feature}_lo)"
+
+
+def _minutes(inputs: str) -> str:
+    """The forecast of a list of scaled values."""
+    weights = ", ".join(f"CAST({w!r} AS DOUBLE)" for w in _WEIGHTS)
+    return (
+        f"arrival_delay_lo + (0.01 + list_dot_product({inputs}, [{weights}])) * (arrival_delay_hi - arrival_delay_lo)"
+    )
+
+
+_VIEWS |= {
+    "ranges": "SELECT "
+    + ", ".join(
+        f"CAST(min({f}) AS DOUBLE) AS {f}_lo, CAST(max({f}) AS DOUBLE) AS {f}_hi"
+        for f in ("arrival_delay", "arrival_time", "running_time")
+    )
+    + " FROM supervised WHERE NOT is_test",
+    "predicted": f"""
+        SELECT s.*, {_minutes("[" + ", ".join(_scale(c, c.rsplit("_", 1)[0]) for c in _LAGS) + "]")} AS predicted
+        FROM supervised s, ranges""",
+    "ordinals": """
+        SELECT *, row_number() OVER (PARTITION BY route_id, direction_id
+                   ORDER BY CAST(trip_id AS BIGINT), stop_sequence, stop_id) AS ordinal,
+               count(*) OVER (PARTITION BY route_id, direction_id) AS series_calls
+        FROM schedule""",
+    "tails": f"""
+        SELECT route_id, direction_id, flatten(list([{", ".join(_scale(f, f) for f in ("arrival_delay", "arrival_time", "running_time"))}]
+                   ORDER BY position)) AS inputs,
+               arg_max(trip_id, position) AS trip_id, arg_max(stop_sequence, position) AS stop_sequence,
+               arg_max(arrival_time, position) AS arrival_time, arg_max(sch_arrival_time, position) AS sch_arrival_time
+        FROM (SELECT *, max(position) OVER (PARTITION BY route_id, direction_id) AS n FROM lags), ranges
+        WHERE position > n - {_STEPS} GROUP BY route_id, direction_id HAVING count(*) = {_STEPS}""",
+    "rolled": f"""
+        SELECT t.route_id, t.direction_id, 0 AS step, t.inputs, CAST(t.arrival_time AS DOUBLE) AS arrival,
+               o.sch_arrival_secs AS secs, t.sch_arrival_time - o.sch_arrival_secs AS day_start, o.ordinal, o.series_calls,
+               CAST(NULL AS VARCHAR) AS trip_id, CAST(NULL AS VARCHAR) AS stop_name, CAST(NULL AS DOUBLE) AS delay
+        FROM tails t JOIN ordinals o ON o.route_id = t.route_id AND o.direction_id = t.direction_id
+          AND o.trip_id = t.trip_id AND o.stop_sequence = t.stop_sequence
+        UNION ALL
+        SELECT route_id, direction_id, step + 1,
+               list_concat(inputs[4:], [{_scale("minutes", "arrival_delay")}, {_scale("day_start + secs + minutes * 60", "arrival_time")},
+                                        {_scale("day_start + secs + minutes * 60 - arrival", "running_time")}]),
+               day_start + secs + minutes * 60, secs, day_start, ordinal, series_calls, trip_id, stop_name, minutes
+        FROM (SELECT r.route_id, r.direction_id, r.step, r.inputs, r.arrival, n.sch_arrival_secs AS secs,
+                     r.day_start + CASE WHEN n.sch_arrival_secs < r.secs THEN 86400 ELSE 0 END AS day_start,
+                     n.ordinal, r.series_calls, n.trip_id, n.stop_name, {_minutes("r.inputs")} AS minutes
+              FROM rolled r JOIN ordinals n ON n.route_id = r.route_id AND n.direction_id = r.direction_id
+                AND n.ordinal = r.ordinal % r.series_calls + 1, ranges
+              WHERE r.step < 20), ranges""",
+}
+_BODIES["forecast_mae"] = """
+    SELECT count(*) AS rows, round(avg(abs(arrival_delay - predicted)), 6) AS mae,
+           round(avg(abs(arrival_delay - mean)), 6) AS mean_mae
+    FROM predicted, (SELECT avg(arrival_delay) AS mean FROM supervised WHERE NOT is_test) WHERE is_test"""
+_BODIES["forecast_next_stops"] = """
+    SELECT r.route_id, r.direction_id, r.step, r.stop_name, t.trip_headsign AS trip_name, round(r.delay, 4) AS delay,
+           strftime(make_timestamp(CAST((r.day_start + r.secs) * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS scheduled_time
+    FROM rolled r JOIN trips t ON t.trip_id = r.trip_id WHERE r.step > 0"""
 _BODIES["lag_features"] = _BODIES["lag_features"].format(
     columns=", ".join(
         [f"round(arrival_delay_{i}, 6) AS arrival_delay_{i}" for i in range(1, _STEPS + 1)]
@@ -499,7 +656,7 @@ def _with_views(body: str) -> str:
     parts = [
         f"{name} AS {'MATERIALIZED ' if _MATERIALIZED.fullmatch(name) else ''}({_VIEWS[name]})" for name in ordered
     ]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+    return f"WITH RECURSIVE {', '.join(parts)} {body}" if parts else body
 
 
 def oracle_sql() -> dict[str, str]:

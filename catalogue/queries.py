@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.views import Views
+from headway.functions.times import clock_text
 from headway.operators import features, fusion, merge, reports, schedule
 from headway.operators.search import stop_search
 from headway.operators.transfers import walking_transfers
 from headway.plans import forecast, journeys, routing, timetable
+from headway.plans.network import Network
 from headway.schemas import ALERT_FEED, MISSING, REALTIME_TABLES, TRIP_FEED
 from headway.sources import feeds, gtfs
+from headway.sources.keyed import KeyedTable
 from headway.streaming.ingest import suppress_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,7 +69,7 @@ def trips_in_service(v: Views) -> DataFrame:
 
 @_query
 def stops_in_service(v: Views) -> DataFrame:
-    return timetable.stops_by_day(_timetable(v))
+    return timetable.stops_by_day(v.timetable)
 
 
 @_query
@@ -109,6 +112,29 @@ def static_schedule(v: Views) -> DataFrame:
     return _schedule(v).withColumns({"stop_lat": F.round("stop_lat", 6), "stop_lon": F.round("stop_lon", 6)})
 
 
+@_query
+def schedule_round_trip(v: Views) -> DataFrame:
+    """The schedule written as GTFS text and read back with its fixed types."""
+    folder = f"{v.ws.folder}/gtfs"
+    timed = v.calls.withColumns({"arrival_time": clock_text(F.col("arr_secs")), "departure_time": clock_text(F.col("dep_secs"))})
+    for table, rows in (("trips", v.trips), ("stops", v.stops), ("stop_times", timed)):
+        gtfs.write_gtfs(rows, folder, table)
+    trips, stops, times = (gtfs.read_gtfs(v.spark, folder, table) for table in ("trips", "stops", "stop_times"))
+    found = schedule.static_schedule(trips, gtfs.stop_calls(times), stops)
+    return found.withColumns({"stop_lat": F.round("stop_lat", 6), "stop_lon": F.round("stop_lon", 6)})
+
+
+@_query
+def stored_days(v: Views) -> DataFrame:
+    """Sorted files of every day written and read back: the calls and trips of each day and hour."""
+    folder = f"{v.ws.folder}/days/stop_times"
+    gtfs.write_days(timetable.calls_by_day(v.timetable), folder, "trip_id")
+    hour = F.floor(F.col("arr_secs") / 3600).cast("int").alias("hour")
+    return v.spark.read.parquet(folder).groupBy("day", hour).agg(
+        F.count(F.lit(1)).alias("calls"), F.countDistinct("trip_id").alias("trips"), F.countDistinct("stop_id").alias("stops")
+    )
+
+
 @_query
 def distinct_sequences(v: Views) -> DataFrame:
     return _schedule(v).select("stop_sequence").distinct()
@@ -128,18 +154,14 @@ def walking_transfers_between_stops(v: Views) -> DataFrame:
 _QUERIES["walking_transfers"] = _QUERIES.pop("walking_transfers_between_stops")
 
 
-def _timetable(v: Views) -> timetable.Timetable:
-    return timetable.build_timetable(v.ws, v.calendar, v.trips, v.calls, v.stops)
-
-
 @_query
 def timetable_calls(v: Views) -> DataFrame:
-    return timetable.calls_by_day(_timetable(v))
+    return timetable.calls_by_day(v.timetable)
 
 
 @_query
 def timetable_transfers(v: Views) -> DataFrame:
-    return timetable.transfers_by_day(_timetable(v)).select(
+    return timetable.transfers_by_day(v.timetable).select(
         "day", "from_stop_id", "to_stop_id", _rounded("transfer_time")
     )
 
@@ -147,7 +169,7 @@ def timetable_transfers(v: Views) -> DataFrame:
 @_query
 def scan_day_partition(v: Views) -> DataFrame:
     folder = f"{v.ws.folder}/days/stop_times"
-    gtfs.write_days(timetable.calls_by_day(_timetable(v)), folder, "trip_id")
+    gtfs.write_days(timetable.calls_by_day(v.timetable), folder, "trip_id")
     return gtfs.read_day(v.spark, folder, "sunday").select(
         "day", "trip_id", "stop_id", "stop_sequence", "arr_secs", "dep_secs"
     )
@@ -156,94 +178,100 @@ def scan_day_partition(v: Views) -> DataFrame:
 # --- journeys -----------------------------------------------------------------------
 
 
-def _network(v: Views) -> routing.Network:
-    table = _timetable(v)
-    return routing.prepare_network(v.ws, table.calls, table.services, table.stops, table.transfers)
-
-
-def _first_boardable(v: Views, network: routing.Network) -> DataFrame:
-    return routing.boardable_calls(network, v.searches, routing.start_labels(network, v.searches))
+def _first_boardable(v: Views) -> DataFrame:
+    limits = routing.search_limits(v.network, v.searches)
+    return routing.boardable_calls(v.network, limits, routing.start_labels(v.network, v.searches))
 
 
-def _named(network: routing.Network, df: DataFrame, **stops: str) -> DataFrame:
+def _named(network: Network, df: DataFrame, **stops: str) -> DataFrame:
     return routing.name_trips(network, routing.name_stops(network, df, **stops))
 
 
 @_query
 def boardable_calls(v: Views) -> DataFrame:
-    network = _network(v)
-    calls = _first_boardable(v, network).select("query_id", "trip_no", "stop_no", "stop_sequence", "dep_secs")
-    return _named(network, calls, stop_no="stop_id")
+    calls = _first_boardable(v).select("query_id", "trip_no", "stop_no", "stop_sequence", "dep_secs")
+    return _named(v.network, calls, stop_no="stop_id")
 
 
 @_query
 def earliest_trip_per_pattern(v: Views) -> DataFrame:
-    network = _network(v)
-    return _named(network, routing.earliest_trip_per_pattern(_first_boardable(v, network)), stop_no="stop_id")
+    return _named(v.network, routing.earliest_trip_per_pattern(_first_boardable(v)), stop_no="stop_id")
 
 
 @_query
 def downstream_stops(v: Views) -> DataFrame:
-    network = _network(v)
-    onward = routing.downstream_stops(network, routing.boardings(_first_boardable(v, network)))
-    return _named(network, onward.drop("board_dep_secs"), stop_no="stop_id", board_no="board_stop")
+    onward = routing.downstream_stops(v.network, routing.boardings(_first_boardable(v)))
+    return _named(v.network, onward.drop("board_dep_secs"), stop_no="stop_id", board_no="board_stop")
 
 
-def _first_candidates(v: Views, network: routing.Network) -> DataFrame:
-    start = routing.start_labels(network, v.searches)
-    rides = routing.ride_candidates(network, v.searches, start).join(
-        start.select("query_id", "stop_no"), ["query_id", "stop_no"], "left_anti"
-    )
-    return routing.reach_on_foot(network, rides, start).drop("board_dep_secs", "alight_secs")
+def _first_candidates(v: Views) -> DataFrame:
+    start = routing.start_labels(v.network, v.searches)
+    onward = routing.downstream_stops(v.network, routing.boardings(_first_boardable(v)))
+    rides = routing.best_rides(onward).join(start.select("query_id", "stop_no"), ["query_id", "stop_no"], "left_anti")
+    return routing.reach_on_foot(v.network, rides, start).drop("board_dep_secs", "alight_secs")
 
 
-def _named_candidates(network: routing.Network, candidates: DataFrame) -> DataFrame:
+def _named_candidates(network: Network, candidates: DataFrame) -> DataFrame:
     stops = {"stop_no": "stop_id", "board_no": "board_stop", "alight_no": "alight_stop"}
     return routing.name_modes(_named(network, candidates, **stops))
 
 
 @_query
 def footpath_relax(v: Views) -> DataFrame:
-    network = _network(v)
-    return _named_candidates(network, _first_candidates(v, network).filter(F.col("mode") != routing.RIDE))
+    return _named_candidates(v.network, _first_candidates(v).filter(F.col("mode") != routing.RIDE))
 
 
 @_query
 def candidate_union(v: Views) -> DataFrame:
-    network = _network(v)
-    return _named_candidates(network, _first_candidates(v, network))
+    return _named_candidates(v.network, _first_candidates(v))
 
 
 @_query
 def earliest_arrivals(v: Views) -> DataFrame:
-    network = _network(v)
-    return routing.earliest_arrivals(network, routing.label_rounds(v.ws, network, v.searches))
+    return routing.earliest_arrivals(v.network, routing.label_rounds(v.ws, v.network, v.searches))
+
+
+@_query
+def arrivals_at_destinations(v: Views) -> DataFrame:
+    """Searches and destinations of all customers; rows grow with the customers alone."""
+    labels = routing.label_rounds(v.ws, v.network, v.customer_searches, wanted=v.customer_destinations)
+    return routing.earliest_arrivals(v.network, labels, v.customer_destinations)
+
+
+@_query
+def arrivals_by_date(v: Views) -> DataFrame:
+    return routing.earliest_arrivals(v.network, routing.label_rounds(v.ws, v.network, v.dated_searches))
 
 
 @_query
 def reachable_by_round(v: Views) -> DataFrame:
-    return routing.reachable_by_round(routing.label_rounds(v.ws, _network(v), v.searches))
+    return routing.reachable_by_round(routing.label_rounds(v.ws, v.network, v.searches))
+
+
+def _labels_to_destinations(v: Views) -> DataFrame:
+    return routing.label_rounds(v.ws, v.network, v.searches, wanted=v.destinations)
 
 
 @_query
 def journey_legs(v: Views) -> DataFrame:
-    network = _network(v)
-    return journeys.journey_legs(network, routing.label_rounds(v.ws, network, v.searches), v.destinations)
+    return journeys.journey_legs(v.network, _labels_to_destinations(v), v.destinations)
 
 
 @_query
 def journeys_to_destinations(v: Views) -> DataFrame:
-    network = _network(v)
-    labels = routing.label_rounds(v.ws, network, v.searches)
-    found = journeys.journeys(network, labels, v.searches, v.destinations, v.stops)
+    found = journeys.journeys(v.network, _labels_to_destinations(v), v.searches, v.destinations, v.stops)
     return found.withColumns({c: F.concat_ws("|", c) for c in ("trip", "hops", "hop_names")})
 
 
 @_query
 def best_journeys(v: Views) -> DataFrame:
-    network = _network(v)
-    labels = routing.label_rounds(v.ws, network, v.searches)
-    return journeys.best_journeys(network, labels, v.searches, v.destinations, v.stops, v.trips)
+    labels = _labels_to_destinations(v)
+    return journeys.best_journeys(v.network, labels, v.searches, v.destinations, v.network.stops, v.network.trips)
+
+
+@_query
+def journeys_by_name(v: Views) -> DataFrame:
+    return journeys.journeys_by_name(v.ws, v.network, v.named_requests, v.network.stops, v.network.trips)
 
 
 @_query
@@ -359,9 +387,18 @@ def alerts_upsert(v: Views) -> DataFrame:
     return _upserted(v, "alerts")
 
 
+@_query
+def rt_upsert_batches(v: Views) -> DataFrame:
+    """Four batches of alerts merged one after the other, the first one twice."""
+    table = KeyedTable(v.spark, f"{v.ws.folder}/alerts", *REALTIME_TABLES["alerts"], buckets=8)
+    for number in (0, 1, 0, 2, 3):
+        table.merge(v.alert_batches.filter(F.col("batch") == number), number)
+    return table.read()
+
+
 @_query
 def rt_dedup_batch(v: Views) -> DataFrame:
-    return suppress_duplicates(v.rt_stops, "stops").select(*REALTIME_TABLES["stops"][1])
+    return suppress_duplicates(v.rt_stops, "stops")
 
 
 @_query
@@ -497,15 +534,24 @@ def next_calls(v: Views) -> DataFrame:
     return forecast.next_calls(forecast.number_calls(v.ws, _schedule(v)))
 
 
+# A model that is given, so that SQL can follow it: the delay halves from call to call, with a little of
+# the time and the running time. Oldest row first; delay, arrival time and running time of each.
+FORECAST_WEIGHTS = [
+    weight for step in range(features.HISTORY_STEPS, 0, -1) for weight in (0.5**step, 0.002, 0.05 / step)
+]
+FORECAST_INTERCEPT = 0.01
+
+
 @_query
 def forecast_mae(v: Views) -> DataFrame:
     supervised = forecast.supervised_rows(v.ws, _series(v))
-    return forecast.forecast_error(forecast.fit(supervised), supervised)
+    model = forecast.given_model(supervised, FORECAST_WEIGHTS, FORECAST_INTERCEPT)
+    return forecast.forecast_error(model, supervised).select("rows", _rounded("mae"), _rounded("mean_mae"))
 
 
 @_query
 def forecast_next_stops(v: Views) -> DataFrame:
     series = _series(v)
-    model = forecast.fit(forecast.supervised_rows(v.ws, series))
+    model = forecast.given_model(forecast.supervised_rows(v.ws, series), FORECAST_WEIGHTS, FORECAST_INTERCEPT)
     numbered = forecast.number_calls(v.ws, _schedule(v))
-    return forecast.forecast_next_stops(v.ws, model, series, numbered, v.trips)
+    return forecast.forecast_next_stops(model, series, numbered, v.trips).withColumn("delay", F.round("delay", 4))

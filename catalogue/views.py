@@ -1,16 +1,20 @@
 """Transit tables derived from the given test tables.
 
-``calls`` is needed by most queries, so it is stored once per session and folder, as the
-timetable job does with its own calls. Everything else stays lazy.
+``calls`` and the network of journeys are needed by most queries, so they are stored once per
+session and folder, as the timetable job does with its own. Everything else stays lazy.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from headway.operators.schedule import services_by_date
+from headway.plans.network import Network, load_network, publish_network
+from headway.plans.timetable import Timetable, build_timetable
 from headway.schemas import MISSING, WEEKDAYS
 from headway.sources.workspace import Workspace, shared_folder
 
@@ -125,14 +129,39 @@ class Views:
             )
         )
 
-    @cached_property
-    def calls(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, f"{shared_folder(self.spark)}:{self.folder}")
+    def _stored_once(self, name: str, store: Callable[[Workspace], None]) -> str:
+        """The folder of a workspace that ``store`` has filled, in this session or just now."""
+        key = (self.spark.sparkContext.applicationId, f"{shared_folder(self.spark)}:{self.folder}:{name}")
         if key not in _stored or not _stored[key].exists():
             ws = Workspace(self.spark)
-            ws.save(self._derive_calls(), "stop_times")
+            store(ws)
             _stored[key] = ws
-        return self.spark.read.parquet(f"{_stored[key].folder}/001-stop_times")
+        return _stored[key].folder
+
+    @cached_property
+    def calls(self) -> DataFrame:
+        folder = self._stored_once("calls", lambda ws: ws.save(self._derive_calls(), "stop_times"))
+        return self.spark.read.parquet(f"{folder}/001-stop_times")
+
+    @cached_property
+    def timetable(self) -> Timetable:
+        return build_timetable(self.ws, self.calendar, self.trips, self.calls, self.stops)
+
+    def _publish_network(self, ws: Workspace) -> None:
+        """Services are given for weekdays and for dates; trips and stops keep what names results."""
+        table = build_timetable(ws, self.calendar, self.trips, self.calls, self.stops)
+        dated = services_by_date(self.calendar, self.calendar_dates)
+        days = table.services.unionByName(
+            dated.select(F.date_format("service_date", "yyyyMMdd").alias("day"), "service_id")
+        )
+        trips = table.patterns.select("trip_id").join(self.trips.select("trip_id", "trip_headsign"), "trip_id")
+        stops = table.stops.select("stop_id", "stop_name")
+        publish_network(ws, f"{ws.folder}/network", table.calls, days, stops, table.transfers, trips)
+
+    @cached_property
+    def network(self) -> Network:
+        folder = self._stored_once("network", self._publish_network)
+        return load_network(self.spark, f"{folder}/network")
 
     @cached_property
     def stops(self) -> DataFrame:
@@ -208,6 +237,11 @@ class Views:
             (k % 4 + 1).alias("severity_level"),
         )
 
+    @cached_property
+    def alert_batches(self) -> DataFrame:
+        """Alerts by the quarter of the day they were seen in, so later batches may hold older ones."""
+        return self.alerts.withColumn("batch", F.expr("snapshot_ts % 86400 DIV 21600").cast("int"))
+
     @cached_property
     def routes(self) -> DataFrame:
         number = F.substring("route_id", 2, 10)
@@ -242,6 +276,56 @@ class Views:
             .distinct()
         )
 
+    @cached_property
+    def customer_searches(self) -> DataFrame:
+        """One search of every customer, from a stop and at a time that vary with the key."""
+        stops = self.table("supplier").agg(F.count(F.lit(1))).scalar()
+        key = F.col("c_custkey")
+        days = F.array(*[F.lit(day) for day in WEEKDAYS])
+        return self.table("customer").select(
+            key.alias("query_id"),
+            (key % stops).cast("string").alias("origin"),
+            (21600 + (key * 977) % 54000).cast("int").alias("departure_secs"),
+            F.get(days, (key % 7).cast("int")).alias("day"),
+        )
+
+    @cached_property
+    def customer_destinations(self) -> DataFrame:
+        """Every customer wants to reach two stops, or one that is both."""
+        stops = self.table("supplier").agg(F.count(F.lit(1))).scalar()
+        key = F.col("c_custkey")
+        places = F.array(*[(n % stops).cast("string") for n in (key * 31 + F.col("c_nationkey"), key * 7 + 3)])
+        return (
+            self.table("customer")
+            .select(key.alias("query_id"), F.explode(places).alias("stop_id"))
+            .distinct()
+        )
+
+    @cached_property
+    def dated_searches(self) -> DataFrame:
+        """The searches again, on the last date that a customer of the stop's number ordered."""
+        stops = self.table("supplier").agg(F.count(F.lit(1))).scalar()
+        dates = (
+            self.table("orders")
+            .groupBy((F.col("o_custkey") % stops).alias("query_id"))
+            .agg(F.date_format(F.max("o_orderdate"), "yyyyMMdd").alias("day"))
+        )
+        return self.searches.drop("day").join(dates, "query_id")
+
+    @cached_property
+    def named_requests(self) -> DataFrame:
+        """From every stop, known by the end of its name, to another one known by a part of its name."""
+        stops = self.table("supplier").agg(F.count(F.lit(1))).scalar()
+        days = F.array(*[F.lit(day) for day in WEEKDAYS])
+        key = F.col("s_suppkey")
+        return self.table("supplier").select(
+            key.alias("request_id"),
+            F.get(days, (key % 7).cast("int")).alias("day"),
+            (21600 + (key * 977) % 54000).cast("int").alias("departure_secs"),
+            F.substring("s_name", -4, 4).alias("origin"),
+            F.lpad(((key * 31 + 7) % stops).cast("string"), 4, "0").alias("destination"),
+        )
+
     @cached_property
     def search_terms(self) -> DataFrame:
         """The end of every stop name, one term that all names contain and one that none does."""

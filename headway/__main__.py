@@ -13,20 +13,15 @@ from headway.operators.fusion import fuse_max_delay
 from headway.operators.schedule import static_schedule
 from headway.plans.forecast import fit, forecast_next_stops, number_calls, supervised_rows
 from headway.plans.journeys import journeys_by_name
-from headway.plans.routing import MAX_ROUNDS, WINDOW_SECS, prepare_network
-from headway.plans.timetable import build_timetable, preprocess
-from headway.schemas import ALERT_FEED, TRIP_FEED
-from headway.sources import feeds
+from headway.plans.network import load_network
+from headway.plans.routing import MAX_ROUNDS, WINDOW_SECS
+from headway.plans.timetable import preprocess
 from headway.sources.gtfs import ROWS_PER_FILE, read_gtfs, stop_calls, write_csv
+from headway.sources.keyed import BUCKETS
 from headway.sources.workspace import Workspace
-from headway.streaming.ingest import current_table, read_feed_stream, upsert_stream
+from headway.streaming.ingest import current_table, upsert_alert_feed, upsert_trip_feed
 
-FLATTEN = {
-    "trips": (TRIP_FEED, feeds.feed_trips),
-    "stops": (TRIP_FEED, feeds.feed_stops),
-    "vehicles": (TRIP_FEED, feeds.feed_vehicles),
-    "alerts": (ALERT_FEED, feeds.feed_alerts),
-}
+FEEDS = {"trip-updates": upsert_trip_feed, "alerts": upsert_alert_feed}
 
 
 def _schedule(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,31 +41,26 @@ def journeys(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _journeys(spark: SparkSession, ws: Workspace, args: argparse.Namespace) -> None:
-    trips, stops = read_gtfs(spark, args.gtfs, "trips"), read_gtfs(spark, args.gtfs, "stops")
-    table = build_timetable(
-        ws, read_gtfs(spark, args.gtfs, "calendar"), trips, stop_calls(read_gtfs(spark, args.gtfs, "stop_times")), stops
-    )
-    network = prepare_network(ws, table.calls, table.services, table.stops, table.transfers)
+    network = load_network(spark, f"{args.timetable}/network")
     request = spark.createDataFrame(
         [(1, args.day, args.time, args.origin, args.destination)],
         "request_id int, day string, time string, origin string, destination string",
     ).withColumn("departure_secs", clock_secs(F.col("time")))
     found = journeys_by_name(
-        ws, network, request.drop("time"), stops, trips, max_rounds=args.rounds, window_secs=args.window
+        ws, network, request.drop("time"), network.stops, network.trips, max_rounds=args.rounds, window_secs=args.window,
+        trace=args.trace,
     )
     write_csv(found.orderBy("origin_name", "rank", "leg_no"), args.output)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    schema, flatten = FLATTEN[args.table]
-    rows = flatten(read_feed_stream(spark, args.landing, schema))
-    writer = upsert_stream(rows, args.table, args.folder, args.checkpoint)
+    writer = FEEDS[args.feed](spark, args.landing, args.folder, args.checkpoint, buckets=args.buckets)
     writer = writer.trigger(processingTime=args.every) if args.every else writer.trigger(availableNow=True)
     writer.start().awaitTermination()
 
 
 def fuse(spark: SparkSession, args: argparse.Namespace) -> None:
-    updates = current_table(spark, "stops", args.folder)
+    updates = current_table(spark, "stops", f"{args.folder}/stops")
     fused = fuse_max_delay(_schedule(spark, args.gtfs), updates, args.route, args.direction, args.compat)
     if args.csv:
         write_csv(fused, args.output)
@@ -88,10 +78,10 @@ def forecast(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _forecast(spark: SparkSession, ws: Workspace, args: argparse.Namespace) -> None:
     schedule, trips = _schedule(spark, args.gtfs), read_gtfs(spark, args.gtfs, "trips")
-    fused = fuse_max_delay(schedule, current_table(spark, "stops", args.folder), one_row=True)
+    fused = fuse_max_delay(schedule, current_table(spark, "stops", f"{args.folder}/stops"), one_row=True)
     series = delay_series(ws, fused.join(trips.select("trip_id", "direction_id"), "trip_id"))
     model = fit(supervised_rows(ws, series))
-    forecast_next_stops(ws, model, series, number_calls(ws, schedule), trips, args.stops).write.mode(
+    forecast_next_stops(model, series, number_calls(ws, schedule), trips, args.stops).write.mode(
         "overwrite"
     ).parquet(args.output)
 
@@ -107,16 +97,20 @@ def main(arguments: list[str] | None = None) -> None:
     job.set_defaults(run=lambda spark, args: preprocess(spark, args.gtfs, args.output, args.rows_per_file))
 
     job = jobs.add_parser("journeys")
-    for name in ("gtfs", "day", "time", "origin", "destination", "output"):
+    job.add_argument("timetable", help="the folder that preprocess has filled")
+    job.add_argument("day", help="a weekday, or a date as yyyyMMdd where the schedule lists exceptions")
+    for name in ("time", "origin", "destination", "output"):
         job.add_argument(name)
     job.add_argument("--rounds", type=int, default=MAX_ROUNDS)
     job.add_argument("--window", type=int, default=WINDOW_SECS, help="seconds after departure that are searched")
+    job.add_argument("--trace", help="a folder for the labels of each round")
     job.set_defaults(run=journeys)
 
     job = jobs.add_parser("ingest")
-    job.add_argument("table", choices=sorted(FLATTEN))
+    job.add_argument("feed", choices=sorted(FEEDS), help="trip updates fill the tables trips, stops and vehicles")
     for name in ("landing", "folder", "checkpoint"):
         job.add_argument(name)
+    job.add_argument("--buckets", type=int, default=BUCKETS, help="of each table, fixed when it is made")
     job.add_argument("--every", help="keep running with this interval, such as '300 seconds'")
     job.set_defaults(run=ingest)
 

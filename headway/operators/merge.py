@@ -31,6 +31,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], then: Sequence[str] = ())
     )
 
 
+def first_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the least by its other columns in order."""
+    rest = [c for c in df.columns if c not in keys]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least")) if rest else df.select(*keys).distinct()
+    return least.select(*[F.col(c) if c in keys else F.col(f"_least.{c}") for c in df.columns])
+
+
 def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after the changes are merged in; repeating the changes alters nothing."""
     return latest_by_key(current.unionByName(changes), keys)

@@ -13,6 +13,9 @@ from headway.sources.workspace import Workspace
 # A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 1_000_000
 
+# Pairs of rows a join makes in one task before its key is cut into blocks.
+PAIRS_PER_TASK = 50_000_000
+
 # Rows of a long series that are handled together.
 CHUNK_ROWS = 8_192
 
@@ -63,6 +66,71 @@ def copy_to_salts(
     )
 
 
+def count_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``(keys, <name>)``: the rows of every key; counting combines on the map side."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def pair_blocks(
+    left_rows: DataFrame,
+    right_rows: DataFrame,
+    keys: Sequence[str],
+    pairs_per_task: int = PAIRS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``(keys, left_parts, right_parts)`` of the keys with too many pairs or rows for one task.
+
+    The counts are ``(keys, left_rows)`` and ``(keys, right_rows)``. A key's pairs are a rectangle
+    that is cut into blocks of about ``pairs_per_task``; both sides are cut so that the fewest rows
+    are copied. At most all pairs / ``pairs_per_task`` keys qualify, besides those with too many rows.
+    """
+    left, right = F.col("left_rows").cast("double"), F.col("right_rows").cast("double")
+    blocks = F.ceil(left * right / pairs_per_task)
+    left_parts = F.greatest(
+        F.ceil(left / rows_per_task), F.least(left.cast("bigint"), F.ceil(F.sqrt(blocks * left / right)))
+    )
+    right_parts = F.greatest(F.ceil(right / rows_per_task), F.ceil(blocks / F.col("left_parts")))
+    return (
+        left_rows.join(right_rows, list(keys))
+        .filter((left * right > pairs_per_task) | (left > rows_per_task) | (right > rows_per_task))
+        .withColumn("left_parts", left_parts.cast("int"))
+        .withColumn("right_parts", right_parts.cast("int"))
+        .select(*keys, "left_parts", "right_parts")
+    )
+
+
+def join_in_blocks(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    blocks: DataFrame,
+    left_by: Sequence[str],
+    right_by: Sequence[str],
+) -> DataFrame:
+    """Equi-join in which the keys of the stored table ``blocks`` are spread on both sides.
+
+    A row of a spread key takes one of its side's parts, by a hash of the ``_by`` columns, and is
+    copied to every part of the other side, so each pair meets in exactly one block. All other keys
+    are joined as they are, so a bucketed side needs no shuffle for them.
+    """
+    keys = list(keys)
+    if blocks.isEmpty():
+        return left.join(right, keys)
+
+    def parted(df: DataFrame, own: str, other: str, spread_by: Sequence[str]) -> DataFrame:
+        return (
+            df.join(blocks, keys)
+            .withColumn(f"_{own}", F.pmod(F.xxhash64(*spread_by), F.col(f"{own}_parts")).cast("int"))
+            .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
+            .drop("left_parts", "right_parts")
+        )
+
+    block = ["_left", "_right"]
+    spread_out = parted(left, "left", "right", left_by).join(parted(right, "right", "left", right_by), [*keys, *block])
+    others = left.join(blocks.select(*keys), keys, "left_anti").join(right, keys)
+    return others.unionByName(spread_out.drop(*block))
+
+
 def number_rows(
     ws: Workspace,
     df: DataFrame,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.geo import METRES_PER_DEGREE, WALKING_SPEED_MPS, haversine_m
-from headway.operators.skew import ROWS_PER_TASK, copy_to_salts, key_fanout, spread
+from headway.operators.skew import PAIRS_PER_TASK, ROWS_PER_TASK, count_keys, join_in_blocks, pair_blocks
 from headway.sources.workspace import Workspace
 
 # Bands of cells beyond this latitude are one cell around the globe.
@@ -18,13 +18,14 @@ def walking_transfers(
     stops: DataFrame,
     max_metres: float = 100.0,
     rows_per_task: int = ROWS_PER_TASK,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """``(from_stop_id, to_stop_id, distance, transfer_time)`` of stops under ``max_metres``.
 
     Stops are put on a grid whose cells are at least ``max_metres`` wide in their latitude
     band, so a partner lies in the same cell or one of the eight around it. An equi-join on
-    the cell with an exact distance check replaces the product of all stops; a crowded cell
-    is shared out over several tasks.
+    the cell with an exact distance check replaces the product of all stops. A crowded cell is
+    cut into blocks of its stops and of those around it, as many as its pairs need.
     """
     height = max_metres / METRES_PER_DEGREE * 1.01
     row = F.floor(F.col("stop_lat") / height)
@@ -66,10 +67,10 @@ def walking_transfers(
         )
     )
     cell = ["cell_row", "cell_col"]
-    crowded = ws.save(key_fanout(homes, cell, rows_per_task), "crowded_cells")
-    near = spread(homes, cell, crowded, ["stop_id"]).join(
-        copy_to_salts(around, cell, crowded), [*cell, "salt"]
+    crowded = pair_blocks(
+        count_keys(homes, cell, "left_rows"), count_keys(around, cell, "right_rows"), cell, pairs_per_task, rows_per_task
     )
+    near = join_in_blocks(homes, around, cell, ws.save(crowded, "crowded_cells"), ["stop_id"], ["from_stop_id"])
     distance = haversine_m(F.col("from_lat"), F.col("from_lon"), F.col("stop_lat"), F.col("stop_lon"))
     return (
         near.filter(F.col("from_stop_id") != F.col("stop_id"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.times import DAY_SECS, clock_text, epoch_day
@@ -106,22 +107,28 @@ def supervised_rows(
     return ws.save(mark_test_rows(lagged, series, steps), "supervised")
 
 
-def fit(supervised: DataFrame, steps: int = HISTORY_STEPS) -> DelayModel:
-    """Least squares on the training rows, scaled by the training range alone."""
-    train = supervised.filter("not is_test")
-    ranges = feature_ranges(train).first()
+def given_model(
+    supervised: DataFrame, weights: Sequence[float], intercept: float, steps: int = HISTORY_STEPS
+) -> DelayModel:
+    """A model of known weights, in the order of ``lag_names``, scaled by the range of the training rows."""
+    ranges = feature_ranges(supervised.filter("not is_test")).first()
     low = {f: ranges[f"{f}_min"] for f in FEATURES}
     high = {f: ranges[f"{f}_max"] for f in FEATURES}
-    unweighted = DelayModel([], 0.0, low, high, steps)
+    return DelayModel(list(weights), intercept, low, high, steps)
+
+
+def fit(supervised: DataFrame, steps: int = HISTORY_STEPS) -> DelayModel:
+    """Least squares on the training rows, scaled by the training range alone."""
+    unweighted = given_model(supervised, [], 0.0, steps)
     names = lag_names(steps)
-    rows = train.select(
+    rows = supervised.filter("not is_test").select(
         *[c.alias(n) for c, n in zip(unweighted.inputs(), names, strict=True)],
         unweighted.scale(F.col("arrival_delay"), "arrival_delay").alias("label"),
     )
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     # A small penalty keeps the weights finite: neighbouring lags of a clock are collinear.
     fitted = LinearRegression(solver="normal", regParam=1e-6, standardization=False).fit(vectors)
-    return DelayModel([float(w) for w in fitted.coefficients], float(fitted.intercept), low, high, steps)
+    return replace(unweighted, weights=[float(w) for w in fitted.coefficients], intercept=float(fitted.intercept))
 
 
 def predict_rows(model: DelayModel, supervised: DataFrame) -> DataFrame:
@@ -156,13 +163,11 @@ def _seeds(series: DataFrame, numbered: DataFrame, model: DelayModel) -> DataFra
 
 
 def forecast_next_stops(
-    ws: Workspace,
     model: DelayModel,
     series: DataFrame,
     numbered: DataFrame,
     trips: DataFrame,
     stops: int = 20,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(route_id, direction_id, step, stop_name, trip_name, delay, scheduled_time)``.
 
@@ -170,7 +175,7 @@ def forecast_next_stops(
     the recursion, where each prediction feeds the next, is a fold over that short array.
     """
     steps = model.steps
-    tails = _last_rows(ws, series, steps, rows_per_task)
+    tails = last_rows(series, SERIES, SERIES_ORDER, steps)
     triple = F.array(*[model.scale(F.col(f), f) for f in FEATURES])
     histories = (
         tails.groupBy(*SERIES)
@@ -202,14 +207,15 @@ def forecast_next_stops(
     )
 
 
-def _last_rows(ws: Workspace, series: DataFrame, steps: int, rows_per_task: int) -> DataFrame:
-    numbered = number_rows(ws, series, SERIES, SERIES_ORDER, "position", rows_per_task, stored=True)
-    sizes = numbered.groupBy(*SERIES).agg(F.max("position").alias("_rows"))
-    return (
-        join_same(numbered, sizes, SERIES)
-        .filter(F.col("position") > F.col("_rows") - steps)
-        .drop("_rows")
-    )
+def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], count: int, position: str = "position") -> DataFrame:
+    """The last ``count`` rows of every key, numbered backwards from 0.
+
+    Each task keeps its own last rows of a key before the shuffle, so a long series costs ``count``
+    rows per task and is not numbered.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    ranked = df.withColumn(position, F.row_number().over(newest)).filter(F.col(position) <= count)
+    return ranked.withColumn(position, 1 - F.col(position))
 
 
 def _roll(model: DelayModel) -> Column:

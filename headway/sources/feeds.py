@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def _enum(name: Column, values: tuple[str, ...]) -> Column:
     return F.when(number > 0, number).cast("int")
 
 
-def plain_trip_feed(messages: DataFrame) -> DataFrame:
+def plain_trip_feed(messages: DataFrame, *kept: str) -> DataFrame:
     """Trip updates in the protobuf JSON spelling, recast to ``TRIP_FEED``."""
 
     def event(e: Column) -> Column:
@@ -65,13 +67,13 @@ def plain_trip_feed(messages: DataFrame) -> DataFrame:
         )
         return F.struct(e["id"].alias("id"), F.when(t.isNotNull(), body).alias("trip_update"))
 
+    stamp = F.struct(F.col("header.timestamp").try_cast("long").alias("timestamp"))
     return messages.select(
-        F.struct(F.col("header.timestamp").try_cast("long").alias("timestamp")).alias("header"),
-        F.transform("entity", entity).alias("entity"),
+        *kept, F.when(F.col("header").isNotNull(), stamp).alias("header"), F.transform("entity", entity).alias("entity")
     )
 
 
-def plain_alert_feed(messages: DataFrame) -> DataFrame:
+def plain_alert_feed(messages: DataFrame, *kept: str) -> DataFrame:
     """Alerts in the protobuf JSON spelling, recast to ``ALERT_FEED``."""
 
     def period(p: Column) -> Column:
@@ -97,12 +99,33 @@ def plain_alert_feed(messages: DataFrame) -> DataFrame:
         )
         return F.struct(e["id"].alias("id"), F.when(a.isNotNull(), body).alias("alert"))
 
+    stamp = F.struct(F.col("header.timestamp").try_cast("long").alias("timestamp"))
     return messages.select(
-        F.struct(F.col("header.timestamp").try_cast("long").alias("timestamp")).alias("header"),
-        F.transform("entity", entity).alias("entity"),
+        *kept, F.when(F.col("header").isNotNull(), stamp).alias("header"), F.transform("entity", entity).alias("entity")
     )
 
 
+# Names that only one of the two spellings has, as keys of the JSON text.
+_CAMEL_KEYS = r'"(tripUpdate|stopTimeUpdate|tripId|activePeriod|informedEntity|severityLevel)"\s*:'
+
+
+def parse_any_spelling(
+    texts: DataFrame, column: str, schema: str, camel_schema: str, plain: Callable[..., DataFrame]
+) -> DataFrame:
+    """Feed messages held as JSON text, each in either spelling, as rows of ``schema``.
+
+    A text is parsed once, by the schema of its own spelling.
+    """
+    camel = F.col(column).rlike(_CAMEL_KEYS)
+    parsed = texts.select(
+        F.when(camel, F.from_json(column, camel_schema)).alias("_camel"),
+        F.when(~camel, F.from_json(column, schema)).alias("_plain"),
+    )
+    # The camel message under its own names for the recasting, the other one beside it.
+    recast = plain(parsed.select("_plain", "_camel.*"), "_plain")
+    return recast.select(*[F.coalesce(f"_plain.{c}", c).alias(c) for c in ("header", "entity")])
+
+
 def read_trip_updates(spark: SparkSession, folder: str, camel: bool = False) -> DataFrame:
     if camel:
         return plain_trip_feed(read_feed(spark, folder, TRIP_FEED_CAMEL))
@@ -115,6 +138,15 @@ def read_alerts(spark: SparkSession, folder: str, camel: bool = False) -> DataFr
     return read_feed(spark, folder, ALERT_FEED)
 
 
+def trip_messages(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Trip update messages of texts in either spelling."""
+    return parse_any_spelling(texts, column, TRIP_FEED, TRIP_FEED_CAMEL, plain_trip_feed)
+
+
+def alert_messages(texts: DataFrame, column: str = "value") -> DataFrame:
+    return parse_any_spelling(texts, column, ALERT_FEED, ALERT_FEED_CAMEL, plain_alert_feed)
+
+
 def _or_missing(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(MISSING))
 

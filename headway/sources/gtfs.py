@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headway.functions.times import clock_secs
 from headway.schemas import GTFS_FILES
@@ -22,6 +23,15 @@ def read_gtfs(spark: SparkSession, folder: str, table: str) -> DataFrame:
     )
 
 
+def write_gtfs(df: DataFrame, folder: str, table: str) -> None:
+    """Write a table as GTFS text that ``read_gtfs`` reads: its columns in file order, absent ones empty."""
+    fields = StructType.fromDDL(GTFS_FILES[table])
+    columns = [
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+    ]
+    df.select(*columns).write.mode("overwrite").option("header", True).csv(f"{folder}/{table}.txt")
+
+
 def stop_calls(stop_times: DataFrame) -> DataFrame:
     """Stop times with whole seconds of the service day instead of clock text."""
     return stop_times.select(

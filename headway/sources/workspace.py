@@ -13,11 +13,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; else the warehouse, which executors share as well."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The cluster's checkpoint folder; else the warehouse that the session was given, which executors share as well.
+
+    Without either, the warehouse is a folder of the driver's machine: right where all run on that
+    machine, refused on a cluster.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        context = spark.sparkContext
+        if not context.getConf().contains("spark.sql.warehouse.dir") and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = spark.conf.get("spark.sql.warehouse.dir")
     return configured.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()] if files.exists(place) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class Workspace:
     """One folder of intermediate tables below the shared folder.
 
@@ -35,15 +62,8 @@ class Workspace:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _file_system(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
     def exists(self) -> bool:
-        files, path = self._file_system()
-        return files.exists(path)
+        return path_exists(self.spark, self.folder)
 
     def drop(self) -> None:
-        files, path = self._file_system()
-        files.delete(path, True)
+        delete_path(self.spark, self.folder)

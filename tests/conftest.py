@@ -38,6 +38,18 @@ def ws(spark):
     workspace.drop()
 
 
+def adaptive(spark):
+    """A session as in production: plans adapt, stages are compiled, and nothing here is small enough to broadcast."""
+    session = spark.newSession()
+    for key, value in (
+        ("spark.sql.adaptive.enabled", "true"), ("spark.sql.codegen.wholeStage", "true"),
+        ("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.shuffle.partitions", "16"),
+        ("spark.sql.adaptive.coalescePartitions.enabled", "false"),
+    ):
+        session.conf.set(key, value)
+    return session
+
+
 def rows(df, *columns):
     """Result rows as sorted tuples."""
     picked = df.select(*columns) if columns else df

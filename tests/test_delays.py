@@ -166,7 +166,7 @@ def test_recursive_forecast_equals_a_plain_loop(spark, ws):
     secs = {(k, t): at for t, _, _, at, k, _ in calls}
     numbered = forecast.number_calls(ws, static)
     trips = spark.createDataFrame([(f"t{i}", f"Head {i}") for i in range(60)], "trip_id string, trip_headsign string")
-    got = forecast.forecast_next_stops(ws, model, data, numbered, trips, stops=6).collect()
+    got = forecast.forecast_next_stops(model, data, numbered, trips, stops=6).collect()
     assert {r.route_id for r in got} == {"R1", "R2"} and len(got) == 12
 
     def scale(value, f):

@@ -52,18 +52,35 @@ def landing(folder):
 
 
 def test_journeys_by_name(spark, tmp_path):
-    out = str(tmp_path / "found")
-    main(["journeys", gtfs(tmp_path / "gtfs"), "monday", "14:00", "main", "OAK station", out])
+    """From the stored network alone: the schedule files are gone when journeys are searched."""
+    out, schedule, timetable = str(tmp_path / "found"), gtfs(tmp_path / "gtfs"), str(tmp_path / "timetable")
+    main(["preprocess", schedule, timetable])
+    (tmp_path / "gtfs").rename(tmp_path / "elsewhere")
+    main(["journeys", timetable, "monday", "14:00", "main", "OAK station", out, "--trace", str(tmp_path / "trace")])
     found = spark.read.option("header", True).csv(out)
     columns = ["rank", "destination", "minutes", "rides", "leg_no", "method", "from_name", "to_name"]
     # The stop across the road is not served, so nothing walks there.
     assert rows(found, *columns)[0] == ("1", "b", "11", "1", "1", "To Oak", "Main Station", "Oak Station")
     assert found.filter("method = 'Walk'").count() == 0
+    assert rows(spark.read.parquet(str(tmp_path / "trace")).select("round").distinct()) == [(0,), (1,)]
+
+
+def test_journeys_on_a_date(spark, tmp_path):
+    """An exception takes the service out on one Monday and puts it in on a Tuesday."""
+    schedule, timetable = gtfs(tmp_path / "gtfs"), str(tmp_path / "timetable")
+    (tmp_path / "gtfs" / "calendar_dates.txt").write_text("service_id,date,exception_type\n1,20220110,2\n1,20220111,1\n")
+    main(["preprocess", schedule, timetable])
+    found = {}
+    for day in ("20220103", "20220110", "20220111", "20220112"):
+        out = str(tmp_path / day)
+        main(["journeys", timetable, day, "14:00", "main", "oak station", out])
+        found[day] = spark.read.option("header", True).schema("x string").csv(out).count()
+    assert found["20220103"] == found["20220111"] > 0 == found["20220110"] == found["20220112"]
 
 
 def test_ingest_fuse_forecast(spark, tmp_path):
-    schedule, table, out = gtfs(tmp_path / "gtfs"), str(tmp_path / "stops"), str(tmp_path / "out")
-    main(["ingest", "stops", landing(tmp_path / "landing"), table, str(tmp_path / "state")])
+    schedule, table, out = gtfs(tmp_path / "gtfs"), str(tmp_path / "tables"), str(tmp_path / "out")
+    main(["ingest", "trip-updates", landing(tmp_path / "landing"), table, str(tmp_path / "state"), "--buckets", "2"])
     main(["fuse", schedule, table, out, "--route", "R", "--direction", "0"])
     fused = spark.read.parquet(out)
     assert fused.count() == 80 and rows(fused.filter("trip_id = 't3' and stop_id = 'b'"), "arrival_delay") == [(30,)]

@@ -14,13 +14,15 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 REPO = os.path.dirname(os.path.abspath(entries.__file__))
 
-# Quick ones; the journey queries have their own brute-force tests.
 CHECKED = (
     "services_by_day", "services_by_date", "calendar_days", "trips_in_service", "departure_window", "trip_patterns",
     "trips_per_pattern", "walking_transfers", "stop_search", "feed_json_flatten", "ingest_counts",
     "alert_entities", "rt_upsert_stops", "alerts_upsert", "key_violations", "rt_bottom_k_delay",
     "fused_max_delay", "fused_route_compat", "delay_by_stop", "alerts_by_route",
     "delay_by_route_direction", "delay_outliers", "running_time", "next_calls",
+    "boardable_calls", "downstream_stops", "earliest_arrivals", "arrivals_at_destinations", "arrivals_by_date",
+    "best_journeys", "journeys_by_name", "schedule_round_trip", "stored_days", "rt_upsert_batches", "rt_dedup_batch",
+    "forecast_mae", "forecast_next_stops",
 )
 
 

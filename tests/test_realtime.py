@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 from headway.operators import merge
 from headway.schemas import ALERT_FEED, REALTIME_TABLES, TRIP_FEED
 from headway.sources import feeds
+from headway.sources.keyed import KeyedTable
+from headway.sources.workspace import list_folders
 from headway.streaming.ingest import (
-    compact,
     current_table,
     read_feed_stream,
     suppress_duplicates,
+    upsert_alert_feed,
     upsert_stream,
+    upsert_trip_feed,
 )
 
 TRIP = {"trip_id": "t1", "start_date": "20221101", "route_id": "R1", "direction_id": 1}
@@ -158,8 +161,6 @@ def test_streams_equal_the_batch(spark, tmp_path):
     state = str(tmp_path / "fresh")
     ingest(files=3)
     assert rows(current_table(spark, "stops", table)) == rows(batch)
-    compact(spark, "stops", table, str(tmp_path / "compacted"))
-    assert rows(current_table(spark, "stops", str(tmp_path / "compacted"))) == rows(batch)
 
 
 def test_stream_without_duplicates(spark, tmp_path):
@@ -187,3 +188,94 @@ def test_a_later_batch_corrects_the_same_snapshot(spark, tmp_path):
     ingest()
     delays = current_table(spark, "stops", table).agg(F.max("arrival_delay"), F.max("departure_delay")).first()
     assert max(delays) < 100
+
+
+ROWS = "k string, snapshot_ts long, v int"
+
+
+def keyed(spark, folder, buckets=4):
+    return KeyedTable(spark, str(folder), ROWS, ["k"], buckets)
+
+
+def changes(spark, *lines):
+    return spark.createDataFrame(lines, ROWS)
+
+
+def test_merges_rewrite_touched_buckets_only(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    assert table.read().count() == 0
+    assert table.merge(changes(spark, *[(f"k{i}", 10, i) for i in range(40)], (None, 10, -1)), 0)
+    first = table.snapshot()
+    assert set(first.written_by.values()) == {1} and len(first.written_by) == 4
+    assert table.merge(changes(spark, ("k7", 20, 70), ("k7", 15, 71)), 1)
+    second = table.snapshot()
+    assert sorted(second.written_by.values()) == [1, 1, 1, 2]
+    assert rows(table.read().filter("k = 'k7'")) == [("k7", 20, 70)] and table.read().count() == 41
+    # An older snapshot does not win, one of equal age that is merged later does, a null key is a key.
+    table.merge(changes(spark, ("k7", 19, 1), ("k8", 10, 1), (None, 11, 5)), 2)
+    assert rows(table.read().filter("k in ('k7', 'k8') or k is null")) == [("k7", 20, 70), ("k8", 10, 1), (None, 11, 5)]
+    # Earlier snapshots stay readable until they are cleared away.
+    assert rows(table.read(1).filter("k = 'k7'")) == [("k7", 10, 7)]
+    whole = rows(table.read())
+    table.vacuum(keep=1)
+    assert rows(table.read()) == whole and table._merges() == [3]
+    stored = list_folders(spark, f"{table.folder}/data")
+    assert sorted(f"merge={m}" for m in set(table.snapshot().written_by.values())) == sorted(stored)
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    assert table.merge(changes(spark, ("a", 10, 1)), 0, "x") and table.merge(changes(spark, ("a", 10, 2)), 1, "x")
+    before, merges = rows(table.read()), table._merges()
+    assert not table.merge(changes(spark, ("a", 10, 1)), 0, "x") and not table.merge(changes(spark, ("a", 10, 9)), 1, "x")
+    assert rows(table.read()) == before == [("a", 10, 2)] and table._merges() == merges
+    # Another source numbers its own batches; an empty batch is a batch.
+    assert table.merge(changes(spark, ("b", 1, 1)), 0, "y") and table.merge(changes(spark, ("b", 1, 1)).filter("false"), 1, "y")
+    assert table.snapshot().last_batch == {"x": 1, "y": 1} and table.read().count() == 2
+
+
+def test_a_merge_that_did_not_end_is_not_seen(spark, tmp_path):
+    """Data without a snapshot, and a snapshot that was not committed, as after a crash."""
+    table = keyed(spark, tmp_path / "t")
+    table.merge(changes(spark, ("a", 10, 1)), 0)
+    changes(spark, ("a", 99, 9)).write.parquet(f"{table.folder}/data/merge=2/bucket=0")
+    (tmp_path / "t" / "snapshots" / "merge=2").mkdir()
+    assert rows(table.read()) == [("a", 10, 1)]
+    assert table.merge(changes(spark, ("a", 11, 2)), 1) and rows(table.read()) == [("a", 11, 2)]
+
+
+def test_one_pass_fills_three_tables_from_both_spellings(spark, tmp_path):
+    """A stream of mixed files, stopped after two and started again; each file is read once."""
+    landing, folder, state = tmp_path / "landing", str(tmp_path / "tables"), str(tmp_path / "state")
+    put(landing, "s1", CAMEL)
+    put(landing, "s2", trip_message(1300, 50))
+    read = []
+
+    def ingest():
+        query = upsert_trip_feed(spark, str(landing), folder, state, files_per_batch=1, buckets=2).trigger(availableNow=True).start()
+        query.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+
+    ingest()
+    plain = put(tmp_path / "plain", "s1", trip_message(1000, 30))
+    put(tmp_path / "plain", "s2", trip_message(1300, 50))
+    messages = feeds.read_trip_updates(spark, plain)
+    wanted = {"trips": feeds.feed_trips, "stops": feeds.feed_stops, "vehicles": feeds.feed_vehicles}
+    for table, flatten in wanted.items():
+        batch = merge.latest_by_key(flatten(messages), REALTIME_TABLES[table][1])
+        assert rows(current_table(spark, table, f"{folder}/{table}")) == rows(batch) and batch.count() > 0
+    put(landing, "s3", trip_message(1300, 10))
+    ingest()
+    assert read == [2, 1]
+    assert max(r.arrival_delay for r in current_table(spark, "stops", f"{folder}/stops").filter("snapshot_ts = 1300").collect()) == 10
+    assert list_folders(spark, f"{folder}/_messages") == []
+
+
+def test_alerts_in_both_spellings(spark, tmp_path):
+    landing, folder = tmp_path / "landing", str(tmp_path / "tables")
+    informed = [{"route_type": 3, "route_id": "R1"}]
+    put(landing, "s1", {"header": {"timestamp": 50}, "entity": [{"id": "A1", "alert": {"cause": 10, "effect": 4, "severity_level": 3, "informed_entity": informed}}]})
+    put(landing, "s2", {"header": {"timestamp": "60"}, "entity": [{"id": "A2", "alert": {"cause": "CONSTRUCTION", "effect": "DETOUR", "severityLevel": "WARNING", "informedEntity": [{"routeType": 3, "routeId": "R1"}]}}]})
+    run(upsert_alert_feed(spark, str(landing), folder, str(tmp_path / "state")))
+    found = current_table(spark, "alerts", f"{folder}/alerts")
+    assert rows(found, "alert_id", "route_id", "snapshot_ts", "cause", "effect", "severity_level") == [("A1", "R1", 50, 10, 4, 3), ("A2", "R1", 60, 10, 4, 3)]

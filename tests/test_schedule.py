@@ -2,7 +2,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import adaptive, rows
 from headway.functions.geo import haversine_m
 from headway.functions.times import clock_secs, clock_text, epoch_day, service_date
 from headway.operators import schedule
@@ -10,6 +10,7 @@ from headway.operators.transfers import walking_transfers
 from headway.plans.timetable import preprocess
 from headway.schemas import GTFS_FILES
 from headway.sources.gtfs import read_day, read_gtfs, stop_calls, write_csv
+from headway.sources.workspace import Workspace
 
 
 def calendar(spark, *lines):
@@ -116,6 +117,23 @@ def test_grid_equals_the_product(spark, ws):
     assert rows(walking_transfers(ws, stops, rows_per_task=2), "from_stop_id", "to_stop_id") == wanted
 
 
+def test_a_dense_cell_is_cut_by_its_pairs(spark):
+    """Under adaptive execution no task makes more pairs than it should, and the rows are the same."""
+    session = adaptive(spark)
+    ws = Workspace(session)
+    try:
+        stops = located(session, *[(f"s{i}", 49.2 + i % 20 * 1e-6, -123.1 + i // 20 * 1e-6) for i in range(300)], ("far", 50.0, -123.1))
+        plain = walking_transfers(ws, stops)
+        cut = walking_transfers(ws, stops, pairs_per_task=5_000)
+        assert rows(cut, "from_stop_id", "to_stop_id") == rows(plain, "from_stop_id", "to_stop_id") and plain.count() == 300 * 299
+        pairs = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+        # Several blocks may meet in one task; plain, all pairs do.
+        assert max(pairs) <= 4 * 5_000 and len(pairs) >= 10
+        assert max(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()) == 300 * 299
+    finally:
+        ws.drop()
+
+
 def test_files_to_day_folders(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
