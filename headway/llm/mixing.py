@@ -1,10 +1,15 @@
 """Mix sources to target weights by a low-discrepancy schedule. DataFrame functions only.
 
-The mix is a row of slots of equal size. Slot i falls on the point frac((i + 1/2) / golden
-ratio) of [0, 1); the sources' target shares lie side by side on it, so any stretch of the
-schedule holds every source nearly in proportion. The documents of a source stand in a
-shuffled order and are cut into blocks as large as a slot; the r-th slot of a source takes its
-block r, and starts again at block 0 after the last one, at most ``max_repeats`` times.
+The documents of a source stand in a shuffled order and are cut into blocks of equal size, a
+fixed number of them, or single words where a source has fewer. So many blocks as make up its
+target are the source's slots. The mix is a row of all slots: slot i falls on the point
+frac((i + 1/2) / golden ratio) of [0, 1), on which the sources' shares of the slots lie side by
+side, so any stretch of the schedule holds every source nearly in proportion. The r-th slot of a
+source takes its block r, and starts again at block 0 after the last one, at most
+``max_repeats`` times.
+
+Points miss a share by a few slots, so a source misses its target by a few thousandths of its own
+size, or by a few words, however large the others are.
 """
 
 from __future__ import annotations
@@ -18,9 +23,8 @@ from headway.sources.workspace import Workspace
 WEIGHT_CYCLE = 3
 MAX_REPEATS = 3
 
-# A slot holds this many words, or more if there would be more slots than MAX_SLOTS.
-SLOT_WORDS = 8
-MAX_SLOTS = 1 << 20
+# Blocks of a source.
+BLOCKS = 1024
 
 _STEP = 0.6180339887498949
 _CELLS = 4096
@@ -57,20 +61,32 @@ def share_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFra
     return levelled.withColumn("target", target).drop("_level", "_full")
 
 
-def slot_words(total: int, slot: int = SLOT_WORDS, max_slots: int = MAX_SLOTS) -> int:
-    return max(slot, -(-total // max_slots))
+def cut_sources(sources: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """Add ``words`` of a block, the number of ``blocks`` and that of ``slots``, which make up the target."""
+    words = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(blocks))).cast("long")
+    whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1))).cast("long")
+    rest = F.floor((F.col("target") - F.col("_whole") * F.col("source_size")) / F.col("words") + 0.5).cast("long")
+    return (
+        sources.withColumn("words", words)
+        .withColumn("blocks", F.ceil(F.col("source_size") / F.col("words")).cast("long"))
+        .withColumn("_whole", whole)
+        .withColumn("slots", F.col("_whole") * F.col("blocks") + F.least("blocks", rest))
+        .drop("_whole")
+    )
 
 
-def schedule(ws: Workspace, sources: DataFrame, slots: int) -> DataFrame:
+def schedule(ws: Workspace, sources: DataFrame) -> DataFrame:
     """``(source, rank)`` of every slot, ``rank`` counting the slots of a source from 0.
 
-    The points are matched to the sources' stretches by an equi-join on cells of [0, 1).
+    The points are matched to the sources' stretches by an equi-join on cells of [0, 1). A source has
+    about as many of them as ``slots`` says, a bounded number.
     """
+    slots = sources.agg(F.sum("slots")).first()[0] or 0
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     order = Window.orderBy(F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum("target").over(order) / F.sum("target").over(everything)
+    end = F.sum("slots").over(order) / F.sum("slots").over(everything)
     stretches = (
-        sources.filter("target > 0")
+        sources.filter("slots > 0")
         .withColumn("_end", end)
         .withColumn("_start", F.lag("_end", 1, 0.0).over(Window.orderBy(F.asc_nulls_last("source"))))
         # The last stretch reaches to 1, whatever the sums round to.
@@ -114,35 +130,33 @@ def _stream_positions(sized: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(
-    ws: Workspace, docs: DataFrame, max_repeats: int = MAX_REPEATS, slot: int = SLOT_WORDS, max_slots: int = MAX_SLOTS
-) -> DataFrame:
+def mix_sources(ws: Workspace, docs: DataFrame, max_repeats: int = MAX_REPEATS, blocks: int = BLOCKS) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)`` of every row of ``docs (doc_id, text, source)``.
 
     ``size`` counts words, 0 for a null or empty text, of which nothing is taken. A null source
     is a source of its own, the last one. Repeated rows are documents of their own; of rows equal
     in id, source and size it is undefined which one stands first, and nothing else about them
-    differs. An empty table gives no rows. Further columns of ``docs`` are not looked at.
+    differs. A very long text spans several blocks. An empty table gives no rows. Further columns of
+    ``docs`` are not looked at.
 
-    A source's taken words differ from its target by a few slots at most (the discrepancy of
+    A source's taken words differ from its target by a few blocks at most (the discrepancy of
     the points), and never exceed ``max_repeats`` times its size.
     """
     sized = ws.save(docs.select("doc_id", "source", count_words("text").alias("size")), "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    sources = ws.save(share_targets(cycled_weights(totals), max_repeats), "sources")
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    words = slot_words(total, slot, max_slots)
-    blocks = F.ceil(F.col("source_size") / F.lit(words))
+    sources = ws.save(cut_sources(share_targets(cycled_weights(totals), max_repeats), blocks), "sources")
+    cuts = sources.select("source", "words", "blocks")
     turns = (
-        join_same(schedule(ws, sources, -(-total // words)), sources.select("source", blocks.alias("_blocks")), ["source"])
-        .filter(F.col("rank") < max_repeats * F.col("_blocks"))
-        .groupBy("source", (F.col("rank") % F.col("_blocks")).alias("_block"))
+        join_same(schedule(ws, sources), cuts, ["source"])
+        .filter(F.col("rank") < max_repeats * F.col("blocks"))
+        .groupBy("source", (F.col("rank") % F.col("blocks")).alias("_block"))
         .agg(F.count(F.lit(1)).alias("_times"))
     )
     placed = ws.save(_stream_positions(sized), "stream")
+    words = F.col("words")
     first = F.floor(F.col("_start") / words)
     last = F.floor((F.col("_start") + F.col("size") - 1) / words)
-    cut = placed.filter("size > 0").withColumn("_block", F.explode(F.sequence(first, last)))
+    cut = join_same(placed.filter("size > 0"), cuts, ["source"]).withColumn("_block", F.explode(F.sequence(first, last)))
     inside = F.least(F.col("_start") + F.col("size"), (F.col("_block") + 1) * words) - F.greatest(
         F.col("_start"), F.col("_block") * words
     )
@@ -152,6 +166,6 @@ def mix_sources(
         .agg(F.sum(inside * F.col("_times")).alias("taken"))
     )
     result = join_same(placed, taken, ["source", "doc_id", "_start", "size"], "left")
-    return join_same(result, sources, ["source"]).select(
+    return join_same(result, sources.select("source", "source_size", "target"), ["source"]).select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )

@@ -73,34 +73,39 @@ sources AS (
     CASE WHEN filled THEN CAST(3 * source_size AS DOUBLE) ELSE max(CASE WHEN NOT filled THEN level END) OVER () * weight END AS target
   FROM flagged
 ),
-unit AS (SELECT greatest(8, CAST(ceil(sum(source_size) / 1048576.0) AS BIGINT)) AS words, CAST(sum(source_size) AS BIGINT) AS total FROM sources),
+cuts AS (
+  SELECT *, least(blocks, CAST(floor((target - whole * source_size) / CAST(words AS DOUBLE) + 0.5) AS BIGINT)) + whole * blocks AS slots
+  FROM (SELECT *, CAST(ceil(source_size / CAST(words AS DOUBLE)) AS BIGINT) AS blocks,
+          CAST(floor(target / CAST(greatest(source_size, 1) AS DOUBLE)) AS BIGINT) AS whole
+        FROM (SELECT *, greatest(1, CAST(ceil(source_size / CAST(1024 AS DOUBLE)) AS BIGINT)) AS words FROM sources))
+),
 ends AS (
-  SELECT source, sum(target) OVER (ORDER BY source NULLS LAST) / sum(target) OVER () AS stop,
-    lead(source_size) OVER (ORDER BY source NULLS LAST) AS later FROM sources WHERE target > 0
+  SELECT source, CAST(sum(slots) OVER (ORDER BY source NULLS LAST) AS DOUBLE) / CAST(sum(slots) OVER () AS DOUBLE) AS stop,
+    lead(source_size) OVER (ORDER BY source NULLS LAST) AS later FROM cuts WHERE slots > 0
 ),
 stretches AS (
   SELECT source, lag(stop, 1, 0.0) OVER (ORDER BY source NULLS LAST) AS start, CASE WHEN later IS NULL THEN 2.0 ELSE stop END AS stop FROM ends
 ),
 points AS (
   SELECT i, (i + 0.5) * CAST(0.6180339887498949 AS DOUBLE) - floor((i + 0.5) * CAST(0.6180339887498949 AS DOUBLE)) AS x
-  FROM unit, unnest(range(CAST(ceil(total / CAST(words AS DOUBLE)) AS BIGINT))) AS r(i)
+  FROM (SELECT CAST(sum(slots) AS BIGINT) AS n FROM cuts), unnest(range(n)) AS r(i)
 ),
 ranked AS (
   SELECT source, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS rnk
   FROM points JOIN stretches ON x >= start AND x < stop
 ),
-blocks AS (SELECT source, CAST(ceil(source_size / CAST(words AS DOUBLE)) AS BIGINT) AS n FROM sources, unit),
 turns AS (
-  SELECT r.source, rnk % n AS block, count(*) AS times FROM ranked r JOIN blocks b ON r.source IS NOT DISTINCT FROM b.source
-  WHERE rnk < 3 * n GROUP BY 1, 2
+  SELECT r.source, rnk % blocks AS block, count(*) AS times FROM ranked r JOIN cuts b ON r.source IS NOT DISTINCT FROM b.source
+  WHERE rnk < 3 * blocks GROUP BY 1, 2
 ),
 placed AS (
   SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size
     ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start FROM sized
 ),
 cut AS (
-  SELECT source, doc_id, block, least(start + size, (block + 1) * words) - greatest(start, block * words) AS part
-  FROM placed, unit, unnest(range(start // words, (start + size - 1) // words + 1)) AS r(block) WHERE size > 0
+  SELECT p.source, doc_id, block, least(start + size, (block + 1) * words) - greatest(start, block * words) AS part
+  FROM placed p JOIN cuts c ON p.source IS NOT DISTINCT FROM c.source,
+    unnest(range(start // words, (start + size - 1) // words + 1)) AS r(block) WHERE size > 0
 ),
 taken AS (
   SELECT c.doc_id, CAST(sum(part * times) AS BIGINT) AS taken FROM cut c
