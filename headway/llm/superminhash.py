@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.graph import components
-from headway.llm.jaccard import shingle_sets
-from headway.llm.tables import text_id, texts_of
+from headway.llm.jaccard import full_sets, overlaps, shingle_sets
+from headway.llm.tables import text_id
 from headway.llm.words import mix
 from headway.operators.skew import key_fanout
 from headway.sources.workspace import Workspace
@@ -175,19 +175,6 @@ def _crowded(sets: DataFrame) -> DataFrame:
     return rows.join(several.select("bucket"), "bucket").distinct()
 
 
-def _full_sets(docs: DataFrame, sets: DataFrame, crowded: DataFrame, words: int) -> DataFrame:
-    """``(class, elements)``: the sorted elements of every class that is in a crowded bucket."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            elements = [shingles.tobytes() for _, shingles in shingle_sets(batch.column(1), words)]
-            yield pa.record_batch([batch.column(0), pa.array(elements, pa.binary())], names=["class", "elements"])
-
-    wanted = sets.join(crowded.select("class").distinct(), "class", "left_semi").groupBy("class")
-    texts = texts_of(docs, wanted.agg(F.min("digest").alias("text_id")))
-    return texts.select("class", "text").mapInArrow(run, "class bigint, elements binary")
-
-
 def _links(ws: Workspace, pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The stored pairs ``(a, b)`` whose sets are similar enough, less those that a task has joined already."""
 
@@ -245,14 +232,6 @@ def _several_groups(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return grouped.join(mixed.select("bucket"), "bucket")
 
 
-def _overlaps(first: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """How many elements a sorted set shares with each of some sets, none of which is empty."""
-    joined = np.concatenate(others)
-    place = np.minimum(np.searchsorted(first, joined), len(first) - 1)
-    starts = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
-    return np.add.reduceat((first[place] == joined).astype(np.int64), starts)
-
-
 class _Block:
     """Some rows of a bucket, ordered by size: two parts of it, or one that is compared with itself."""
 
@@ -303,7 +282,7 @@ class _Block:
             if not others:
                 continue
             first = np.frombuffer(self.elements[row], np.uint64)
-            overlap = _overlaps(first, [np.frombuffer(self.elements[j], np.uint64) for j in others])
+            overlap = overlaps(first, [np.frombuffer(self.elements[j], np.uint64) for j in others])
             linked = 100 * overlap >= percent * (self.size[row] + self.size[others] - overlap)
             for j in np.array(others)[linked].tolist():
                 if root(self.group[j]) != root(self.group[row]):
@@ -351,7 +330,7 @@ def _links_in_buckets(rows: DataFrame, percent: int, bucket_rows: int) -> DataFr
 def _groups(ws: Workspace, docs: DataFrame, sets: DataFrame, percent: int, words: int, rounds: int, bucket_rows: int) -> DataFrame | None:
     """``(class, component)`` of the classes that are linked with another one."""
     crowded = ws.save(_crowded(sets), "crowded_buckets")
-    full = ws.save(_full_sets(docs, sets, crowded, words), "full_sets")
+    full = ws.save(full_sets(docs, sets.select("class", "digest"), crowded.select("class").distinct(), words), "full_sets")
     labels = None
     left = crowded.withColumn("grp", F.col("class"))
     for _ in range(rounds):
