@@ -12,8 +12,7 @@ along the set relations of "Leveraging Set Relations in Exact Set Similarity Joi
 * Index skipping. What is left of a list is sorted by size and cut into blocks that know their
   sizes and best positions; a class skips whole blocks that can't hold a partner.
 
-Only pairs that survive both are compared on their whole sets, inside the task that finds them; it
-hands on the links of a spanning forest, never pairs.
+Only pairs that survive both are compared on their whole texts.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +28,7 @@ from pyspark.sql import functions as F
 from headway.llm.graph import components
 from headway.llm.tables import bit_set, document_key, spare_name, text_id, texts_of
 from headway.llm.words import BYTE_VALUES, Prefix, pieces, run_starts, word_spans
-from headway.operators.skew import key_fanout
+from headway.operators.skew import copy_to_salts, key_fanout, spread
 from headway.sources.workspace import Workspace
 
 SHINGLE_WORDS = 5
@@ -43,15 +41,16 @@ COMMON_LEAST = 8
 # Bits of a set's bitmap.
 BITMAP = 512
 
-# Rows of a pivot's lists that one task compares with as many others, and classes of a block of them.
-LIST_ROWS = 16_384
+# Rows of a list that one task compares with the whole list, and classes of a block of it.
+LIST_ROWS = 4096
 BLOCK_ROWS = 64
 
-# Rounds of further pivots before the remaining lists are compared inside tasks.
-PIVOT_ROUNDS = 1
+# Rounds of further pivots before the remaining pairs are looked at one by one.
+PIVOT_ROUNDS = 4
 
-# Pairs that are looked at together.
-PAIRS_AT_ONCE = 200_000
+# Pairs a task holds before it hands them on, and pairs of texts it compares together.
+PAIRS_AT_ONCE = 50_000
+COMPARED_AT_ONCE = 2_000
 
 _LOWER = np.arange(256)
 _LOWER[0x41:0x5B] += 0x20
@@ -210,10 +209,16 @@ def _compare(ws: Workspace, pairs: DataFrame, docs: DataFrame, sets: DataFrame,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = shingle_sets(batch.column(2), words)
-            right = shingle_sets(batch.column(3), words)
-            overlaps = [len(np.intersect1d(x, y, assume_unique=True)) for (_, x), (_, y) in zip(left, right, strict=True)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(overlaps, pa.int64())], names=["a", "b", "overlap"])
+            for start in range(0, batch.num_rows, COMPARED_AT_ONCE):
+                part = batch.slice(start, COMPARED_AT_ONCE)
+                # A class that is in many pairs is cut into n-grams once.
+                classes = np.concatenate([part.column(0).to_numpy(), part.column(1).to_numpy()])
+                _, first, place = np.unique(classes, return_index=True, return_inverse=True)
+                texts = pa.concat_arrays([part.column(2), part.column(3)]).take(pa.array(first))
+                found = [shingles for _, shingles in shingle_sets(texts, words)]
+                pairs = zip(place[: part.num_rows], place[part.num_rows :], strict=True)
+                overlaps = [len(np.intersect1d(found[i], found[j], assume_unique=True)) for i, j in pairs]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(overlaps, pa.int64())], names=["a", "b", "overlap"])
 
     joined = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b"
@@ -291,169 +296,103 @@ def _merge_equal_lists(ws: Workspace, lists: DataFrame) -> DataFrame:
     return ws.save(lists.join(kept.select("gram", "grams"), "gram"), "merged_lists")
 
 
-def _open_links(lists: DataFrame, members: DataFrame, percent: int, list_rows: int) -> DataFrame:
-    """``(a, b)``: links between classes of different groups on common lists.
+def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
+    """``(a, b, size_a, size_b, last_a, last_b, shared)``: pairs of different groups on common lists.
 
-    The lists of one pivot are handled together, so a pair that is on many of them is looked at once.
-    A pivot with more than ``list_rows`` rows is cut into parts by class, and each two parts meet in a
-    task of their own. ``members (class, size, grp, bitmap, elements)`` are sent once per class, pivot
-    and task, and the task hands on no more links than it takes to join its groups.
+    The lists of one pivot are handled together, so a pair that is on many of them is one row
+    with their number. Lists of more than ``list_rows`` rows are dealt to several tasks by class;
+    each of them holds its share of the lists and passes over their classes block by block.
     """
-    fanout = key_fanout(lists, ["pivot"], list_rows)
-    parts = F.coalesce("fanout", F.lit(1))
-    cut = lists.join(fanout, "pivot", "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
-    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    key = ["pivot", "low", "high"]
-    met = met.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
-    of_lists = met.select(*key, "class", "part", "gram", "grams", "place")
-    once = met.groupBy(*key, "class", "part").agg(F.max("pivot_overlap").alias("pivot_overlap"))
-    of_classes = once.join(members, "class").select(*key, "class", "part", "size", "grp", "pivot_overlap", "bitmap", "elements")
-    rows = of_classes.unionByName(of_lists, allowMissingColumns=True)
-    names = rows.columns
-    dealt = rows.repartition(*key).sortWithinPartitions(*key)
+    fanout = key_fanout(lists, ["gram"], list_rows)
+    asking = spread(lists, ["gram"], fanout, ["class"]).withColumn("asks", F.lit(True))
+    asked = copy_to_salts(lists, ["gram"], fanout).withColumn("asks", F.lit(False))
+    columns = ["pivot", "salt", "gram", "asks", "grams", "class", "size", "place", "last", "grp", "pivot_overlap", "bitmap"]
+    rows = asking.select(*columns).unionByName(asked.select(*columns))
+    dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "size", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            found = _Lists(held, names).links(percent)
-            if found:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
-
-        current, held = None, []
+        key, held = None, []
         for batch in batches:
-            keys = [batch.column(i).to_numpy() for i in range(3)]
-            changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+            data = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) - 1)]
+            data.append(np.frombuffer(b"".join(batch.column(len(columns) - 1).to_pylist()), np.uint64).reshape(len(batch), -1))
+            changes = (data[0][1:] != data[0][:-1]) | (data[1][1:] != data[1][:-1])
             edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(batch)]
             for start, end in zip(edges, edges[1:], strict=False):
-                if (now := tuple(int(k[start]) for k in keys)) != current:
-                    if held:
-                        yield from links(held)
-                    current, held = now, []
-                held.append(batch.slice(start, end - start))
-        if held:
-            yield from links(held)
+                if (data[0][start], data[1][start]) != key:
+                    yield from _partners(held, percent)
+                    key, held = (data[0][start], data[1][start]), []
+                held.append([column[start:end] for column in data[2:]])
+        yield from _partners(held, percent)
+
+    return dealt.mapInArrow(run, ", ".join(f"{name} bigint" for name in _PAIR_COLUMNS))
+
 
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+_PAIR_COLUMNS = ("shared", "a", "b", "size_a", "size_b", "last_a", "last_b")
 
 
-class _Lists:
-    """The lists of a pivot, or of two parts of its classes.
+def _partners(held: list, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of the asking classes of some lists with blocks of all classes on them.
 
     A block of classes, in the order of their sizes, knows its sizes and the range of its places;
-    classes that can't have a partner in it skip it. For the others, the lists that each pair shares
-    are a product of two incidence matrices, and a pair is compared on its sets only if its groups
-    differ and neither the pivot nor the bitmaps rule it out.
+    classes that can't have a partner in it skip it. For the others, the lists that each pair
+    shares are counted as a product of two incidence matrices, and a pair leaves only if its
+    groups differ and neither the pivot nor the bitmaps rule it out.
     """
-
-    def __init__(self, batches: list[pa.RecordBatch], names: list[str]) -> None:
-        table = pa.Table.from_batches(batches)
-        low, high = table["low"][0].as_py(), table["high"][0].as_py()
-        known = table.filter(pc.is_null(table["gram"])).sort_by([("size", "ascending"), ("class", "ascending")])
-        self.name, part, self.size, group, self.pivot = (
-            known[c].to_numpy() for c in ("class", "part", "size", "grp", "pivot_overlap")
-        )
-        self.group = group.tolist()
-        self.groups = group
-        self.bits = np.frombuffer(b"".join(known["bitmap"].to_pylist()), np.uint64).reshape(len(known), -1)
-        self.elements = known["elements"].to_pylist()
-        listed = table.filter(pc.is_valid(table["gram"]))
-        gram, grams, place = (listed[c].to_numpy() for c in ("gram", "grams", "place"))
-        by_name = np.argsort(self.name)
-        owner = by_name[np.searchsorted(self.name[by_name], listed["class"].to_numpy())]
-        order = np.argsort(owner, kind="stable")
-        _, first, numbered = np.unique(gram, return_index=True, return_inverse=True)
-        self.weight = grams[first].astype(np.float32)
-        self.lists = numbered[order]
-        self.ends = np.searchsorted(owner[order], np.arange(len(self.name) + 1))
-        starts = self.ends[:-1]
-        self.low = np.minimum.reduceat(place[order], starts) if len(place) else np.zeros(0, int)
-        self.high = np.maximum.reduceat(place[order], starts) if len(place) else np.zeros(0, int)
-        self.same = low == high
-        self.x, self.y = np.flatnonzero(part == low), np.flatnonzero(part == high)
-
-    def _incidence(self, rows: np.ndarray) -> np.ndarray:
-        counts = self.ends[rows + 1] - self.ends[rows]
-        table = np.zeros((len(rows), len(self.weight)), np.float32)
-        inside = np.concatenate([self.lists[self.ends[k] : self.ends[k + 1]] for k in rows])
-        table[np.repeat(np.arange(len(rows)), counts), inside] = 1
+    if not held:
+        return
+    gram, asks, grams, name, size, place, last, group, pivot, bits = (np.concatenate(c) for c in zip(*held, strict=True))
+    asks = asks.astype(bool)
+    if not asks.any():
+        return
+    _, first, weight_of = np.unique(gram, return_index=True, return_inverse=True)
+    weight = grams[first].astype(np.float32)
+
+    def members(rows: np.ndarray) -> tuple:
+        """Classes of the rows by size: a row each, with its places' range and its row numbers by class."""
+        by_class = rows[np.lexsort((name[rows], size[rows]))]
+        starts = np.flatnonzero(np.append(True, (name[by_class[1:]] != name[by_class[:-1]]))) if len(by_class) else np.zeros(0, int)
+        low = np.minimum.reduceat(place[by_class], starts)
+        high = np.maximum.reduceat(place[by_class], starts)
+        return by_class, starts, low, high
+
+    x_rows, x_starts, x_low, x_high = members(np.flatnonzero(asks))
+    y_rows, y_starts, y_low, y_high = members(np.flatnonzero(~asks))
+    x, y = x_rows[x_starts], y_rows[y_starts]
+    x_ends, y_ends = np.append(x_starts[1:], len(x_rows)), np.append(y_starts[1:], len(y_rows))
+
+    def incidence(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        counts = ends[at] - starts[at]
+        table = np.zeros((len(at), len(weight)), np.float32)
+        inside = np.concatenate([rows[starts[k] : ends[k]] for k in at]) if len(at) else np.zeros(0, int)
+        table[np.repeat(np.arange(len(at)), counts), weight_of[inside]] = 1
         return table
 
-    def candidates(self, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-        """``(row, other rows)`` that may be linked, block by block."""
-        x, size = self.x, self.size
-        for begin in range(0, len(self.y), BLOCK_ROWS):
-            y = self.y[begin : begin + BLOCK_ROWS]
-            # Skip the block for classes too small or too large for it, or too far off in their order.
-            reach = np.minimum(self.high[x], self.high[y].max()) + np.minimum(size[x] - self.low[x], (size[y] - self.low[y]).max())
-            sized = (100 * size[x] >= percent * size[y[0]]) & (size[x] * percent <= 100 * size[y[-1]])
-            may = x[sized & (reach >= least_overlap(size[x], size[y[0]], percent))]
-            if not len(may):
-                continue
-            listed = self._incidence(y) * self.weight
-            step = max(1, PAIRS_AT_ONCE // BLOCK_ROWS)
-            for part in range(0, len(may), step):
-                at = may[part : part + step]
-                apart = self.groups[at][:, None] != self.groups[y]
-                if self.same:
-                    apart &= at[:, None] < y
-                if not apart.any():
-                    continue
-                shared = self._incidence(at) @ listed.T
-                xs, ys = size[at][:, None], size[y]
-                xo, yo = self.pivot[at][:, None], self.pivot[y]
-                need = least_overlap(xs, ys, percent)
-                # What both share with the pivot, and what each has besides it.
-                bound = np.where((xo >= 0) & (yo >= 0), np.minimum(xo, yo) + np.minimum(xs - xo, ys - yo), np.minimum(xs, ys))
-                i, j = np.nonzero((shared > 0) & apart & (bound >= need) & (np.minimum(xs, ys) * 100 >= percent * np.maximum(xs, ys)))
-                differ = np.bitwise_count(self.bits[at[i]] ^ self.bits[y[j]]).sum(axis=1, dtype=np.int64)
-                likely = size[at[i]] + size[y[j]] - differ >= 2 * need[i, j]
-                i, j = i[likely], j[likely]
-                for k in np.unique(i):
-                    yield int(at[k]), y[j[i == k]]
-
-    def links(self, percent: int) -> list[tuple[int, int]]:
-        """Links that join the groups of the classes, each found on the full sets."""
-        parent: dict[int, int] = {}
-
-        def root(node: int) -> int:
-            while (above := parent.get(node, node)) != node:
-                parent[node] = node = parent.get(above, above)
-            return node
-
-        found = []
-        if not len(self.weight):
-            return found
-        for row, others in self.candidates(percent):
-            others = [j for j in others.tolist() if root(self.group[j]) != root(self.group[row])]
-            if not others:
-                continue
-            first = np.frombuffer(self.elements[row], np.uint64)
-            shared = overlaps(first, [np.frombuffer(self.elements[j], np.uint64) for j in others])
-            linked = 100 * shared >= percent * (self.size[row] + self.size[others] - shared)
-            for j in np.array(others)[linked].tolist():
-                if root(self.group[j]) != root(self.group[row]):
-                    parent[root(self.group[j])] = root(self.group[row])
-                    found.append((int(self.name[row]), int(self.name[j])))
-        return found
-
-
-def overlaps(first: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """How many elements a sorted set shares with each of some sets, none of which is empty."""
-    joined = np.concatenate(others)
-    place = np.minimum(np.searchsorted(first, joined), len(first) - 1)
-    starts = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
-    return np.add.reduceat((first[place] == joined).astype(np.int64), starts)
-
-
-def full_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """``(class, elements)``: the sorted n-grams of some classes, of ``sets (class, digest)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            elements = [shingles.tobytes() for _, shingles in shingle_sets(batch.column(1), words)]
-            yield pa.record_batch([batch.column(0), pa.array(elements, pa.binary())], names=["class", "elements"])
-
-    wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("digest").alias("text_id"))
-    return texts_of(docs, wanted).select("class", "text").mapInArrow(run, "class bigint, elements binary")
+    for begin in range(0, len(y), BLOCK_ROWS):
+        block = np.arange(begin, min(begin + BLOCK_ROWS, len(y)))
+        ys = size[y[block]]
+        # Skip the block for classes too small or too large for it, or too far off in their order.
+        reach = np.minimum(x_high, y_high[block].max()) + np.minimum(size[x] - x_low, (ys - y_low[block]).max())
+        may = (size[x] >= ys[0]) & (size[x] * percent <= 100 * ys[-1]) & (reach >= least_overlap(size[x], ys[0], percent))
+        listed = incidence(y_rows, y_starts, y_ends, block) * weight
+        may = np.flatnonzero(may)
+        for part in range(0, len(may), PAIRS_AT_ONCE // BLOCK_ROWS):
+            at = may[part : part + PAIRS_AT_ONCE // BLOCK_ROWS]
+            shared = incidence(x_rows, x_starts, x_ends, at) @ listed.T
+            xr, yr = x[at], y[block]
+            xs, xo = size[xr][:, None], pivot[xr][:, None]
+            need = least_overlap(xs, ys, percent)
+            larger = (xs > ys) | ((xs == ys) & (name[xr][:, None] > name[yr]))
+            # What both share with the pivot, and what each has besides it.
+            bound = np.where((xo >= 0) & (pivot[yr] >= 0), np.minimum(xo, pivot[yr]) + np.minimum(xs - xo, ys - pivot[yr]), xs)
+            fits = (shared > 0) & larger & (group[xr][:, None] != group[yr]) & (bound >= need) & (xs * percent <= 100 * ys)
+            i, j = np.nonzero(fits)
+            differ = np.bitwise_count(bits[xr[i]] ^ bits[yr[j]]).sum(axis=1, dtype=np.int64)
+            likely = size[xr[i]] + ys[j] - differ >= 2 * need[i, j]
+            i, j = i[likely], j[likely]
+            if len(i):
+                a, b = xr[i], yr[j]
+                found = (shared[i, j], name[a], name[b], size[a], size[b], last[a], last[b])
+                yield pa.record_batch([pa.array(c.astype(np.int64)) for c in found], names=list(_PAIR_COLUMNS))
 
 
 def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int) -> DataFrame:
@@ -463,6 +402,7 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     common = _common_buckets(counted, percent)
     lists = ws.save(_pivots(_index_rows(docs, common, percent, words)), "lists")
 
+    sides = ["a", "b", "size_a", "size_b"]
     stars = ws.save(_star_pairs(lists, percent), "star_pairs")
     answers = _compare(ws, stars, docs, sets, words)
     links = answers.filter(_linked(percent)).select("a", "b")
@@ -488,14 +428,20 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     known = answers.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("overlap").alias("_overlap"))
     left = _with_group(spanning.drop("grp"), groups).join(known, ["class", "pivot"], "left")
     overlap = F.when(F.col("class") == F.col("pivot"), F.col("size")).otherwise(F.coalesce("_overlap", F.lit(-1)))
-    left = ws.save(left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap"), "open_lists")
-    if not left.isEmpty():
-        classes = ws.save(left.groupBy("class").agg(F.min("grp").alias("grp")), "open_classes")
-        bitmaps = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.any_value("bitmap").alias("bitmap"), F.min("size").alias("size"))
-        whole = full_sets(docs, sets.select("class", "digest"), classes.select("class"), words)
-        members = ws.save(classes.join(bitmaps, "class").join(whole, "class"), "open_members")
-        last = ws.save(_open_links(_merge_equal_lists(ws, left), members, percent, list_rows), "open_links")
-        groups = ws.save(components(ws, links.unionByName(last)), "groups")
+    bitmaps = sets.groupBy("class").agg(F.first("bitmap").alias("bitmap"))
+    left = left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap").join(bitmaps, "class")
+    left = ws.save(left, "open_lists")
+    pairs = (
+        _block_pairs(_merge_equal_lists(ws, left), percent, list_rows)
+        .groupBy(*sides, "last_a", "last_b")
+        .agg(F.sum("shared").alias("shared"))
+        .filter(_can_overlap(percent))
+        .select(*sides)
+    )
+    done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = ws.save(pairs.join(done, ["a", "b"], "left_anti"), "open_pairs")
+    last = _compare(ws, pairs, docs, sets, words).filter(_linked(percent)).select("a", "b")
+    groups = ws.save(components(ws, links.unionByName(last)), "groups")
 
     named = sets.join(groups.withColumnRenamed("node", "class"), "class", "left")
     return ws.save(named.select("doc_id", "doc_key", "size", F.coalesce("component", "class").alias("component")), "grouped_sets")
