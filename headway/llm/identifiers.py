@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,6 @@ from headway.sources.workspace import Workspace
 # Kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
 
-ROUNDS = 3
 LEAST_SEEDS = 3
 LEAST_SCORE = 0.8
 
@@ -298,7 +298,7 @@ def found_by(edges: DataFrame, accepted: DataFrame, least_seeds: int, least_scor
 
 
 def find_identifiers(
-    ws: Workspace, docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE
+    ws: Workspace, docs: DataFrame, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE
 ) -> DataFrame:
     """``(doc_id, fixed, added)`` of every row of ``docs (doc_id, text)``: spans ``(start, end, kind)``
     in code points, of fixed form and found by context.
@@ -308,14 +308,15 @@ def find_identifiers(
     columns are not read.
 
     A round reads the texts for the patterns of what is known, and for all values of those
-    patterns; bit sets of fixed size let only words pass that may be wanted. Rounds end early
-    when nothing new is found.
+    patterns; bit sets of fixed size let only words pass that may be wanted. What is known only
+    grows from round to round, and rounds end when nothing new is found, so a value is found however
+    many patterns away from the fixed forms it stands. Texts are read whole, however long they are.
     """
     scanned = ws.save(_scan(docs), "scanned")
     seeds = ws.save(_edges(scanned.select(F.explode("found").alias("f")).select("f.*")), "seed_edges")
     accepted = docs.sparkSession.createDataFrame([], "pattern string, value string, of string")
-    found, known, count = None, seeds.select("pattern", "value", F.col("kind").alias("of")), 0
-    for number in range(rounds):
+    known, total = seeds.select("pattern", "value", F.col("kind").alias("of")), 0
+    for number in count():
         if number:
             values = accepted.select("value", "of").distinct()
             places = _hits(docs, _word_set(values.select("value"), False), False).filter("kind is null").select("pattern", "value").distinct()
@@ -325,12 +326,10 @@ def find_identifiers(
         near = _hits(docs, _word_set(patterns.select("pattern"), True), True, _most_values(patterns, least_score))
         found = ws.save(near.join(patterns, "pattern", "left_semi"), f"found_{number}")
         accepted = ws.save(found_by(ws.save(_edges(found), f"edges_{number}"), accepted, least_seeds, least_score), f"accepted_{number}")
-        before, count = count, accepted.count()
-        if count == before:
+        before, total = total, accepted.count()
+        if total == before:
             break
     nothing = F.array().cast(_SPAN_KIND)
-    if found is None:
-        return scanned.select("doc_id", "fixed", nothing.alias("added"))
     # One kind an edge: the first.
     kinds = accepted.groupBy("pattern", "value").agg(F.min(_rank("of")).alias("rank"))
     kinds = kinds.select("pattern", "value", F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("rank") + 1).alias("of"))
