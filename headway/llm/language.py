@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.words import PIECE_BYTES, pieces
+from headway.operators.skew import join_same
 from headway.sources.workspace import Workspace
 
 UNKNOWN = "und"
@@ -178,9 +179,12 @@ def fit(
     """
     labelled = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & ~held_out())
     labelled = labelled.filter(F.col("text").rlike(r"\p{L}"))
-    share = labelled.groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share"))
+    # Drawn without the texts; those are fetched by the ids of the sample, which is small enough to be sent around.
+    names = ws.save(labelled.select("doc_id", "lang"), "labelled")
+    share = names.groupBy("lang").agg((F.lit(float(per_language)) / F.count(F.lit(1))).alias("_share"))
     draw = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.join(share, "lang").filter(draw < F.col("_share")).select("lang", "text")
+    drawn = names.join(share, "lang").filter(draw < F.col("_share")).select("doc_id", "lang").distinct()
+    sample = join_same(labelled, ws.save(drawn, "drawn"), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -58,7 +58,9 @@ def op2_ngram_jaccard(t: Tables) -> DataFrame:
 @_query
 def op4_language_id(t: Tables) -> DataFrame:
     predicted = language.predict(t.documents, language.fit(t.ws, t.documents))
-    return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
+    return predicted.select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", F.round("score", 6).alias("score"), "rejected"
+    )
 
 
 @_query
