@@ -392,6 +392,19 @@ def test_identifiers_two_hops_away_and_patterns_of_few_seeds(spark, ws):
     assert added_by_context(spark, ws, texts) == {*((f"nick{i}", "email") for i in range(4)), ("faraway", "email")}
 
 
+def test_identifiers_four_hops_away(spark, ws):
+    """Each context is known by the names that the one before it has found."""
+    names = [f"name{i}" for i in range(40)]
+    texts = [f"contact via u{i}@mail.com now" for i in range(200)] + [f"contact via {n} now" for n in names]
+    for hop, known in enumerate((40, 20, 8, 5), 1):
+        new = known // 4
+        names = names[:known] + [f"far{hop}x{i}" for i in range(new)]
+        texts += [f"some words hop{hop} knows {n} here" for n in names]
+        names = names[-new:] + names[: known // 2]
+    found = {value for value, _ in added_by_context(spark, ws, texts)}
+    assert {f"far{hop}x0" for hop in (1, 2, 3, 4)} <= found
+
+
 def test_mixing(spark, ws):
     rng = random.Random(7)
     rows = [(i, "w " * rng.randint(0, 300), rng.choice(["hot", "hot", "b", "c", None, "é"])) for i in range(300)]
