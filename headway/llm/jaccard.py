@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from headway.llm.graph import components
 from headway.llm.tables import bit_set, document_key, spare_name, text_id, texts_of
 from headway.llm.words import BYTE_VALUES, Prefix, pieces, run_starts, word_spans
-from headway.operators.skew import copy_to_salts, key_fanout, spread
+from headway.operators.skew import key_fanout
 from headway.sources.workspace import Workspace
 
 SHINGLE_WORDS = 5
@@ -38,15 +39,16 @@ PERCENT = 75
 COMMON_BUCKETS = 1 << 24
 COMMON_LEAST = 8
 
-# Bits of a set's bitmap.
-BITMAP = 512
+# Bits of the bitmap of a small set, and n-grams of a prefix that tell which list a pair belongs to.
+LEAST_BITMAP = 512
+HEAD = 16
 
-# Rows of a list that one task compares with the whole list, and classes of a block of it.
-LIST_ROWS = 4096
+# Rows of a pivot's lists that one task compares with as many others, and classes of a block of them.
+LIST_ROWS = 16_384
 BLOCK_ROWS = 64
 
 # Rounds of further pivots before the remaining pairs are looked at one by one.
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
 
 # Pairs a task holds before it hands them on, and pairs of texts it compares together.
 PAIRS_AT_ONCE = 50_000
@@ -96,11 +98,23 @@ def prefix_length(size, percent: int = PERCENT):
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
-    """A bit for each n-gram of the set. Sets differ in at least as many n-grams as their bitmaps in
-    bits, which bounds their overlap ("Bitmap Filter", Sandes et al., 2020)."""
-    bits = np.zeros(BITMAP, bool)
-    bits[(shingles >> np.uint64(40)).astype(np.int64) & (BITMAP - 1)] = True
-    return np.packbits(bits).tobytes()
+    """A bit for each n-gram of the set, two to four bits a member. Sets differ in at least as many n-grams
+    as their bitmaps in bits, which bounds their overlap ("Bitmap Filter", Sandes et al., 2020).
+
+    Sizes are powers of two, and a bitmap folded upon itself is that of half the size.
+    """
+    size = max(LEAST_BITMAP, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else LEAST_BITMAP
+    bits = np.zeros(size, bool)
+    bits[(shingles >> np.uint64(24)).astype(np.int64) & (size - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bitmaps: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps as rows of ``words`` numbers, larger ones folded."""
+    out = np.zeros((len(bitmaps), words), np.uint64)
+    for row, bitmap in enumerate(bitmaps):
+        out[row] = np.bitwise_or.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, words), axis=0)
+    return out
 
 
 def _order(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -111,7 +125,8 @@ def _order(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """A row per document, ``(doc_id, doc_key, digest, size, class)``, and rows ``(bucket, n)`` of n-gram counts."""
+    """A row per document, ``(doc_id, doc_key, digest, size, class, bitmap)``, and rows ``(bucket, n)`` of n-gram
+    counts. The bitmap is given where a task meets a class first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COMMON_BUCKETS, np.uint16)
@@ -119,11 +134,12 @@ def _sets_and_counts(docs: DataFrame, percent: int, words: int) -> DataFrame:
         for batch in batches:
             sizes, classes, bitmaps = [], [], []
             for _, shingles in shingle_sets(batch.column(3), words):
-                bitmaps.append(_bitmap(shingles))
                 name = _class_of(shingles) if len(shingles) else None
                 sizes.append(len(shingles))
                 classes.append(name)
-                if name is not None and name not in seen:
+                new = name is not None and name not in seen
+                bitmaps.append(_bitmap(shingles) if new else None)
+                if new:
                     seen.add(name)
                     bucket = (shingles[: prefix_length(len(shingles), percent)] & np.uint64(COMMON_BUCKETS - 1)).astype(np.int64)
                     counts[bucket] = np.minimum(counts[bucket], 65534) + 1
@@ -285,114 +301,164 @@ def _with_group(lists: DataFrame, groups: DataFrame) -> DataFrame:
     return spans.filter("_low <> _high").drop("_low", "_high", "component")
 
 
+def _in_order(gram: str) -> Column:
+    """A number that orders n-grams as the sets do: those with the top bit, the common ones, come last."""
+    return F.col(gram).bitwiseXOR(F.lit(-(1 << 63)))
+
+
 def _merge_equal_lists(ws: Workspace, lists: DataFrame) -> DataFrame:
     """One list for all n-grams with the same classes, as from a passage that these share.
 
-    ``grams`` says how many n-grams it stands for. Lists are told apart by 128 bits.
+    ``grams`` says how many n-grams it stands for, of which it has the first in the global order. Lists are
+    told apart by 128 bits.
     """
     marks = [F.bit_xor(F.xxhash64(F.lit(seed), "class")).alias(f"mark_{seed}") for seed in (1, 2)]
     marked = ws.save(lists.groupBy("gram").agg(*marks, F.count(F.lit(1)).alias("rows")), "list_marks")
-    kept = marked.groupBy("mark_1", "mark_2", "rows").agg(F.min("gram").alias("gram"), F.count(F.lit(1)).alias("grams"))
+    kept = marked.groupBy("mark_1", "mark_2", "rows").agg(F.min_by("gram", _in_order("gram")).alias("gram"), F.count(F.lit(1)).alias("grams"))
     return ws.save(lists.join(kept.select("gram", "grams"), "gram"), "merged_lists")
 
 
-def _block_pairs(lists: DataFrame, percent: int, list_rows: int) -> DataFrame:
-    """``(a, b, size_a, size_b, last_a, last_b, shared)``: pairs of different groups on common lists.
+def _open_pairs(lists: DataFrame, members: DataFrame, percent: int, list_rows: int) -> DataFrame:
+    """``(a, b, size_a, size_b)``: pairs of different groups on common lists that may be linked.
 
-    The lists of one pivot are handled together, so a pair that is on many of them is one row
-    with their number. Lists of more than ``list_rows`` rows are dealt to several tasks by class;
-    each of them holds its share of the lists and passes over their classes block by block.
+    The lists of one pivot are handled together. A pivot with more than ``list_rows`` rows is cut into
+    parts by class, and each two parts meet in a task of their own. ``members (class, size, grp, bitmap,
+    head)`` are sent once per class, pivot and task. A pair belongs to the first list it has in common,
+    and is left to the pivot of that one if the heads of both name it.
     """
-    fanout = key_fanout(lists, ["gram"], list_rows)
-    asking = spread(lists, ["gram"], fanout, ["class"]).withColumn("asks", F.lit(True))
-    asked = copy_to_salts(lists, ["gram"], fanout).withColumn("asks", F.lit(False))
-    columns = ["pivot", "salt", "gram", "asks", "grams", "class", "size", "place", "last", "grp", "pivot_overlap", "bitmap"]
-    rows = asking.select(*columns).unionByName(asked.select(*columns))
-    dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "size", "class")
+    fanout = key_fanout(lists, ["pivot"], list_rows)
+    parts = F.coalesce("fanout", F.lit(1))
+    cut = lists.join(fanout, "pivot", "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    key = ["pivot", "low", "high"]
+    met = met.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    of_lists = met.select(*key, "class", "part", "gram", "place")
+    once = met.groupBy(*key, "class", "part").agg(F.max("pivot_overlap").alias("pivot_overlap"))
+    of_classes = once.join(members, "class").select(*key, "class", "part", "size", "grp", "pivot_overlap", "bitmap", "head")
+    rows = of_classes.unionByName(of_lists, allowMissingColumns=True)
+    dealt = rows.repartition(*key).sortWithinPartitions(*key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        current, held = None, []
         for batch in batches:
-            data = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns) - 1)]
-            data.append(np.frombuffer(b"".join(batch.column(len(columns) - 1).to_pylist()), np.uint64).reshape(len(batch), -1))
-            changes = (data[0][1:] != data[0][:-1]) | (data[1][1:] != data[1][:-1])
+            keys = [batch.column(i).to_numpy() for i in range(3)]
+            changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
             edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(batch)]
             for start, end in zip(edges, edges[1:], strict=False):
-                if (data[0][start], data[1][start]) != key:
-                    yield from _partners(held, percent)
-                    key, held = (data[0][start], data[1][start]), []
-                held.append([column[start:end] for column in data[2:]])
-        yield from _partners(held, percent)
+                if (now := tuple(int(k[start]) for k in keys)) != current:
+                    if held:
+                        yield from _Lists(held).pairs(percent)
+                    current, held = now, []
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from _Lists(held).pairs(percent)
 
-    return dealt.mapInArrow(run, ", ".join(f"{name} bigint" for name in _PAIR_COLUMNS))
+    return dealt.mapInArrow(run, "a bigint, b bigint, size_a bigint, size_b bigint").distinct()
 
 
-_PAIR_COLUMNS = ("shared", "a", "b", "size_a", "size_b", "last_a", "last_b")
-
-
-def _partners(held: list, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of the asking classes of some lists with blocks of all classes on them.
+class _Lists:
+    """The lists of a pivot, or of two parts of its classes.
 
     A block of classes, in the order of their sizes, knows its sizes and the range of its places;
-    classes that can't have a partner in it skip it. For the others, the lists that each pair
-    shares are counted as a product of two incidence matrices, and a pair leaves only if its
-    groups differ and neither the pivot nor the bitmaps rule it out.
+    classes that can't have a partner in it skip it. For the others, the lists that each pair shares
+    are a product of two incidence matrices, and a pair stays only if its groups differ and neither
+    the pivot nor the bitmaps rule it out.
     """
-    if not held:
-        return
-    gram, asks, grams, name, size, place, last, group, pivot, bits = (np.concatenate(c) for c in zip(*held, strict=True))
-    asks = asks.astype(bool)
-    if not asks.any():
-        return
-    _, first, weight_of = np.unique(gram, return_index=True, return_inverse=True)
-    weight = grams[first].astype(np.float32)
-
-    def members(rows: np.ndarray) -> tuple:
-        """Classes of the rows by size: a row each, with its places' range and its row numbers by class."""
-        by_class = rows[np.lexsort((name[rows], size[rows]))]
-        starts = np.flatnonzero(np.append(True, (name[by_class[1:]] != name[by_class[:-1]]))) if len(by_class) else np.zeros(0, int)
-        low = np.minimum.reduceat(place[by_class], starts)
-        high = np.maximum.reduceat(place[by_class], starts)
-        return by_class, starts, low, high
-
-    x_rows, x_starts, x_low, x_high = members(np.flatnonzero(asks))
-    y_rows, y_starts, y_low, y_high = members(np.flatnonzero(~asks))
-    x, y = x_rows[x_starts], y_rows[y_starts]
-    x_ends, y_ends = np.append(x_starts[1:], len(x_rows)), np.append(y_starts[1:], len(y_rows))
-
-    def incidence(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
-        counts = ends[at] - starts[at]
-        table = np.zeros((len(at), len(weight)), np.float32)
-        inside = np.concatenate([rows[starts[k] : ends[k]] for k in at]) if len(at) else np.zeros(0, int)
-        table[np.repeat(np.arange(len(at)), counts), weight_of[inside]] = 1
+
+    def __init__(self, batches: list[pa.RecordBatch]) -> None:
+        table = pa.Table.from_batches(batches)
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        known = table.filter(pc.is_null(table["gram"])).sort_by([("size", "ascending"), ("class", "ascending")])
+        self.name, part, self.size, self.group, self.pivot = (
+            known[c].to_numpy() for c in ("class", "part", "size", "grp", "pivot_overlap")
+        )
+        self.bitmaps = known["bitmap"].to_pylist()
+        self.head = np.zeros((len(known), HEAD), np.int64)
+        self.named = np.zeros((len(known), HEAD), bool)
+        for row, head in enumerate(known["head"].to_pylist()):
+            self.head[row, : len(head)] = head
+            self.named[row, : len(head)] = True
+        listed = table.filter(pc.is_valid(table["gram"]))
+        gram, place = listed["gram"].to_numpy(), listed["place"].to_numpy()
+        by_name = np.argsort(self.name)
+        owner = by_name[np.searchsorted(self.name[by_name], listed["class"].to_numpy())]
+        order = np.argsort(owner, kind="stable")
+        self.grams, numbered = np.unique(gram, return_inverse=True)
+        self.lists = numbered[order]
+        self.ends = np.searchsorted(owner[order], np.arange(len(self.name) + 1))
+        self.low = np.minimum.reduceat(place[order], self.ends[:-1])
+        self.high = np.maximum.reduceat(place[order], self.ends[:-1])
+        self.same = low == high
+        self.x, self.y = np.flatnonzero(part == low), np.flatnonzero(part == high)
+
+    def _incidence(self, rows: np.ndarray) -> np.ndarray:
+        counts = self.ends[rows + 1] - self.ends[rows]
+        table = np.zeros((len(rows), len(self.grams)), np.float32)
+        table[np.repeat(np.arange(len(rows)), counts), np.concatenate([self.lists[self.ends[k] : self.ends[k + 1]] for k in rows])] = 1
         return table
 
-    for begin in range(0, len(y), BLOCK_ROWS):
-        block = np.arange(begin, min(begin + BLOCK_ROWS, len(y)))
-        ys = size[y[block]]
-        # Skip the block for classes too small or too large for it, or too far off in their order.
-        reach = np.minimum(x_high, y_high[block].max()) + np.minimum(size[x] - x_low, (ys - y_low[block]).max())
-        may = (size[x] >= ys[0]) & (size[x] * percent <= 100 * ys[-1]) & (reach >= least_overlap(size[x], ys[0], percent))
-        listed = incidence(y_rows, y_starts, y_ends, block) * weight
-        may = np.flatnonzero(may)
-        for part in range(0, len(may), PAIRS_AT_ONCE // BLOCK_ROWS):
-            at = may[part : part + PAIRS_AT_ONCE // BLOCK_ROWS]
-            shared = incidence(x_rows, x_starts, x_ends, at) @ listed.T
-            xr, yr = x[at], y[block]
-            xs, xo = size[xr][:, None], pivot[xr][:, None]
-            need = least_overlap(xs, ys, percent)
-            larger = (xs > ys) | ((xs == ys) & (name[xr][:, None] > name[yr]))
-            # What both share with the pivot, and what each has besides it.
-            bound = np.where((xo >= 0) & (pivot[yr] >= 0), np.minimum(xo, pivot[yr]) + np.minimum(xs - xo, ys - pivot[yr]), xs)
-            fits = (shared > 0) & larger & (group[xr][:, None] != group[yr]) & (bound >= need) & (xs * percent <= 100 * ys)
-            i, j = np.nonzero(fits)
-            differ = np.bitwise_count(bits[xr[i]] ^ bits[yr[j]]).sum(axis=1, dtype=np.int64)
-            likely = size[xr[i]] + ys[j] - differ >= 2 * need[i, j]
-            i, j = i[likely], j[likely]
-            if len(i):
-                a, b = xr[i], yr[j]
-                found = (shared[i, j], name[a], name[b], size[a], size[b], last[a], last[b])
-                yield pa.record_batch([pa.array(c.astype(np.int64)) for c in found], names=list(_PAIR_COLUMNS))
+    def _differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bits in which the bitmaps of each two rows differ, at the smaller of their sizes."""
+        differ = np.zeros(len(a), np.int64)
+        words = np.minimum([len(self.bitmaps[k]) for k in a], [len(self.bitmaps[k]) for k in b]) // 8
+        for width in np.unique(words):
+            at = np.flatnonzero(words == width)
+            rows, place = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
+            bits = _folded([self.bitmaps[k] for k in rows], int(width))
+            step = max(1, (1 << 20) // int(width))
+            for first in range(0, len(at), step):
+                x, y = place[: len(at)][first : first + step], place[len(at) :][first : first + step]
+                differ[at[first : first + step]] = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+        return differ
+
+    def _belong_here(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the first common n-gram of the heads of each two rows is one of these lists, or there is none."""
+        equal = (self.head[a][:, :, None] == self.head[b][:, None, :]) & self.named[a][:, :, None] & self.named[b][:, None, :]
+        at = equal.any(axis=2)
+        first = self.head[a, at.argmax(axis=1)]
+        place = np.minimum(np.searchsorted(self.grams, first), len(self.grams) - 1)
+        return ~at.any(axis=1) | (self.grams[place] == first)
+
+    def pairs(self, percent: int) -> Iterator[pa.RecordBatch]:
+        if not len(self.grams) or len(self.name) < 2:
+            return
+        x, size = self.x, self.size
+        for begin in range(0, len(self.y), BLOCK_ROWS):
+            y = self.y[begin : begin + BLOCK_ROWS]
+            # Skip the block for classes too small or too large for it, or too far off in their order.
+            reach = np.minimum(self.high[x], self.high[y].max()) + np.minimum(size[x] - self.low[x], (size[y] - self.low[y]).max())
+            sized = (100 * size[x] >= percent * size[y[0]]) & (size[x] * percent <= 100 * size[y[-1]])
+            may = x[sized & (reach >= least_overlap(size[x], size[y[0]], percent))]
+            if not len(may):
+                continue
+            listed = self._incidence(y)
+            step = max(1, PAIRS_AT_ONCE // BLOCK_ROWS)
+            for part in range(0, len(may), step):
+                at = may[part : part + step]
+                apart = self.group[at][:, None] != self.group[y]
+                if self.same:
+                    apart &= at[:, None] < y
+                if not apart.any():
+                    continue
+                xs, ys = size[at][:, None], size[y]
+                xo, yo = self.pivot[at][:, None], self.pivot[y]
+                need = least_overlap(xs, ys, percent)
+                # What both share with the pivot, and what each has besides it.
+                bound = np.where((xo >= 0) & (yo >= 0), np.minimum(xo, yo) + np.minimum(xs - xo, ys - yo), np.minimum(xs, ys))
+                near = np.minimum(xs, ys) * 100 >= percent * np.maximum(xs, ys)
+                i, j = np.nonzero((self._incidence(at) @ listed.T > 0) & apart & (bound >= need) & near)
+                a, b = at[i], y[j]
+                likely = size[a] + size[b] - self._differing(a, b) >= 2 * need[i, j]
+                a, b = a[likely], b[likely]
+                here = self._belong_here(a, b) if len(a) else np.zeros(0, bool)
+                a, b = a[here], b[here]
+                if len(a):
+                    larger = (size[a] > size[b]) | ((size[a] == size[b]) & (self.name[a] > self.name[b]))
+                    a, b = np.where(larger, a, b), np.where(larger, b, a)
+                    yield pa.record_batch(
+                        [pa.array(c.astype(np.int64)) for c in (self.name[a], self.name[b], size[a], size[b])],
+                        names=["a", "b", "size_a", "size_b"],
+                    )
 
 
 def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int) -> DataFrame:
@@ -402,7 +468,6 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     common = _common_buckets(counted, percent)
     lists = ws.save(_pivots(_index_rows(docs, common, percent, words)), "lists")
 
-    sides = ["a", "b", "size_a", "size_b"]
     stars = ws.save(_star_pairs(lists, percent), "star_pairs")
     answers = _compare(ws, stars, docs, sets, words)
     links = answers.filter(_linked(percent)).select("a", "b")
@@ -428,16 +493,16 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     known = answers.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("overlap").alias("_overlap"))
     left = _with_group(spanning.drop("grp"), groups).join(known, ["class", "pivot"], "left")
     overlap = F.when(F.col("class") == F.col("pivot"), F.col("size")).otherwise(F.coalesce("_overlap", F.lit(-1)))
-    bitmaps = sets.groupBy("class").agg(F.first("bitmap").alias("bitmap"))
-    left = left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap").join(bitmaps, "class")
-    left = ws.save(left, "open_lists")
-    pairs = (
-        _block_pairs(_merge_equal_lists(ws, left), percent, list_rows)
-        .groupBy(*sides, "last_a", "last_b")
-        .agg(F.sum("shared").alias("shared"))
-        .filter(_can_overlap(percent))
-        .select(*sides)
-    )
+    left = ws.save(left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap"), "open_lists")
+    classes = ws.save(left.groupBy("class").agg(F.min("grp").alias("grp"), F.max("size").cast("bigint").alias("size")), "open_classes")
+    bitmaps = sets.filter("bitmap is not null").join(classes.select("class"), "class", "left_semi")
+    bitmaps = bitmaps.groupBy("class").agg(F.any_value("bitmap").alias("bitmap"))
+    first = lists.filter(F.col("place") < HEAD).join(classes.select("class"), "class", "left_semi").groupBy("class")
+    # A head has a fixed number of n-grams.
+    heads = first.agg(F.transform(F.array_sort(F.collect_set(F.struct("place", "gram"))), lambda g: g["gram"]).alias("head"))
+    members = classes.join(bitmaps, "class").join(heads, "class", "left")
+    members = ws.save(members.withColumn("head", F.coalesce("head", F.array().cast("array<bigint>"))), "open_members")
+    pairs = _open_pairs(_merge_equal_lists(ws, left), members, percent, list_rows)
     done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = ws.save(pairs.join(done, ["a", "b"], "left_anti"), "open_pairs")
     last = _compare(ws, pairs, docs, sets, words).filter(_linked(percent)).select("a", "b")
