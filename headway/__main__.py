@@ -13,7 +13,7 @@ from headway.operators.fusion import fuse_max_delay
 from headway.operators.schedule import static_schedule
 from headway.plans.forecast import fit, forecast_next_stops, number_calls, supervised_rows
 from headway.plans.journeys import journeys_by_name
-from headway.plans.network import load_network
+from headway.plans.network import forget_network, load_network
 from headway.plans.routing import MAX_ROUNDS, WINDOW_SECS
 from headway.plans.timetable import preprocess
 from headway.sources.gtfs import ROWS_PER_FILE, read_gtfs, stop_calls, write_csv
@@ -51,6 +51,7 @@ def _journeys(spark: SparkSession, ws: Workspace, args: argparse.Namespace) -> N
         trace=args.trace,
     )
     write_csv(found.orderBy("origin_name", "rank", "leg_no"), args.output)
+    forget_network(spark, f"{args.timetable}/network")
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:

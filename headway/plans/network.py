@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.geo import WALKING_SPEED_MPS
-from headway.operators.skew import ROWS_PER_TASK, count_keys, key_fanout, number_rows, spread
-from headway.sources.workspace import Workspace, path_exists
+from headway.operators.skew import ROWS_PER_TASK, count_keys, number_rows, spread
+from headway.sources.workspace import Workspace, list_folders, path_exists
 
 # Width of the slots of the day that calls are joined by, and slots of a band they are stored by.
 SLOT_SECS = 900
@@ -99,11 +99,6 @@ def runs_on(service_no: str = "service_no", running: str = "running") -> Column:
     )
 
 
-def _numbers(ws: Workspace, ids: DataFrame, column: str, number: str, rows_per_task: int) -> DataFrame:
-    stored = ws.save(ids.select(column).distinct(), f"{column}s")
-    return number_rows(ws, stored, [], [column], number, rows_per_task, True)
-
-
 def publish_network(
     ws: Workspace,
     folder: str,
@@ -117,19 +112,19 @@ def publish_network(
 ) -> Network:
     """Lay out ``calls`` and ``stops``, stored tables as ``build_timetable`` gives them, as a new version.
 
-    ``services`` are ``(day, service_id)``, where a day is a weekday or a date as ``yyyyMMdd``. ``trips``
-    has a row per trip, which saves a pass over the calls; its further columns and those of ``stops``
-    are kept for naming results.
+    ``services`` are ``(day, service_id)``, where a day is a weekday or a date as ``yyyyMMdd``. ``stops``
+    has a row per stop and ``trips`` one per trip, which saves a pass over the calls; their further
+    columns are kept for naming results.
     """
     version = f"{folder}/versions/{uuid.uuid4().hex}"
     trips = calls.select("trip_id").distinct() if trips is None else trips
-    trip_ids = _numbers(ws, trips, "trip_id", "trip_no", rows_per_task)
-    stop_ids = _numbers(ws, stops, "stop_id", "stop_no", rows_per_task)
-    service_ids = ws.save(_numbers(ws, calls, "service_id", "service_no", rows_per_task), "service_numbers")
-    trip_ids.join(trips, "trip_id").write.parquet(f"{version}/trips")
-    stop_ids.join(stops, "stop_id").write.parquet(f"{version}/stops")
+    services_run = calls.select("service_id").distinct()
+    for name, rows, id_column, number in (
+        ("trips", trips, "trip_id", "trip_no"), ("stops", stops, "stop_id", "stop_no"), ("services", services_run, "service_id", "service_no")
+    ):
+        number_rows(ws, rows, [], [id_column], number, rows_per_task).write.parquet(f"{version}/{name}")
+    trip_ids, stop_ids, service_ids = (ws.spark.read.parquet(f"{version}/{name}") for name in ("trips", "stops", "services"))
     running_services(services, service_ids).write.parquet(f"{version}/days")
-    stop_ids, trip_ids = ws.spark.read.parquet(f"{version}/stops"), ws.spark.read.parquet(f"{version}/trips")
 
     span = calls.agg(
         F.min(F.least("arr_secs", "dep_secs")).alias("first"), F.max(F.greatest("arr_secs", "dep_secs")).alias("last"),
@@ -157,7 +152,8 @@ def publish_network(
         rows = ws.save(count_keys(df, keys, "calls"), f"{name}_calls")
         largest = rows.agg(F.max("calls")).first()[0] or 0
         most = max(most, min(largest, rows_per_task))
-        key_fanout(df, keys, rows_per_task).write.parquet(f"{version}/hot_{name}s")
+        fanout = F.ceil(F.col("calls") / rows_per_task).cast("int").alias("fanout")
+        rows.filter(F.col("calls") > rows_per_task).select(*keys, fanout).write.parquet(f"{version}/hot_{name}s")
         hot = ws.spark.read.parquet(f"{version}/hot_{name}s")
         key = [*keys, f"{name}_salt"]
         salted = spread(df, keys, hot, spread_by, f"{name}_salt")
@@ -203,11 +199,20 @@ def _read_buckets(spark: SparkSession, path: str, keys: list[str], buckets: int)
             f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (band) "
             f"CLUSTERED BY ({', '.join(keys)}) SORTED BY ({', '.join(keys)}) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
-        if spark.conf.get("spark.sql.catalogImplementation") == "hive":
-            spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
+def forget_network(spark: SparkSession, folder: str) -> None:
+    """Take the tables of a stored network out of the session's catalogue; the files stay.
+
+    Networks loaded before must not be used any more.
+    """
+    for version in list_folders(spark, f"{folder}/versions"):
+        for name in ("calls_by_stop", "calls_by_trip"):
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{folder}/versions/{version}/{name}')}")
+
+
 def load_network(spark: SparkSession, folder: str) -> Network:
     """The newest complete version of a stored network; nothing is computed."""
     if not path_exists(spark, f"{folder}/manifests"):

@@ -16,7 +16,7 @@ from headway.operators.schedule import (
     trips_in_service,
 )
 from headway.operators.transfers import walking_transfers
-from headway.plans.network import publish_network
+from headway.plans.network import forget_network, publish_network
 from headway.sources.gtfs import ROWS_PER_FILE, read_gtfs, stop_calls, write_days
 from headway.sources.workspace import Workspace, path_exists
 
@@ -106,5 +106,6 @@ def preprocess(spark: SparkSession, source: str, target: str, rows_per_file: int
             ws, f"{target}/network", timetable.calls, network_services(timetable.services, calendar, dates),
             timetable.stops.select("stop_id", "stop_name"), timetable.transfers, headsigns,
         )
+        forget_network(spark, f"{target}/network")
     finally:
         ws.drop()

@@ -21,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
         context = spark.sparkContext
-        if not context.getConf().contains("spark.sql.warehouse.dir") and not context.master.startswith("local["):
+        one_machine = context.master == "local" or context.master.startswith("local[")
+        if not context.getConf().contains("spark.sql.warehouse.dir") and not one_machine:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = spark.conf.get("spark.sql.warehouse.dir")
     return configured.rstrip("/")

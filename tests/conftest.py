@@ -16,6 +16,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         # Small inputs: compiling stages costs more than it saves.
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.adaptive.enabled", "false")

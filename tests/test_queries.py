@@ -20,8 +20,7 @@ CHECKED = (
     "alert_entities", "rt_upsert_stops", "alerts_upsert", "key_violations", "rt_bottom_k_delay",
     "fused_max_delay", "fused_route_compat", "delay_by_stop", "alerts_by_route",
     "delay_by_route_direction", "delay_outliers", "running_time", "next_calls",
-    "boardable_calls", "downstream_stops", "earliest_arrivals", "arrivals_at_destinations", "arrivals_by_date",
-    "best_journeys", "journeys_by_name", "schedule_round_trip", "stored_days", "rt_upsert_batches", "rt_dedup_batch",
+    "earliest_arrivals", "arrivals_at_destinations", "arrivals_by_date", "best_journeys", "journeys_by_name", "schedule_round_trip", "stored_days", "rt_upsert_batches", "rt_dedup_batch",
     "forecast_mae", "forecast_next_stops",
 )
 
