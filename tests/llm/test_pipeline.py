@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entries
 import corpus_pipeline
-from test_operators import without_repeated_pairs
+from .test_operators import without_repeated_pairs
 
 FOLDER = "/root/testdata/sf0.001"
 
