@@ -36,7 +36,7 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 
 # Buckets in which common n-grams are counted; one is common this much above chance.
-COMMON_BUCKETS = 1 << 24
+COMMON_BUCKETS = 1 << 22
 COMMON_LEAST = 8
 
 # Bits of the bitmap of a small set, and n-grams of a prefix that tell which list a pair belongs to.
@@ -50,6 +50,9 @@ BLOCK_ROWS = 64
 # Rounds of further pivots before the remaining pairs are looked at one by one.
 PIVOT_ROUNDS = 2
 
+# Index rows a task hands on at once.
+ROWS_AT_ONCE = 1 << 17
+
 # Pairs a task holds before it hands them on, and pairs of texts it compares together.
 PAIRS_AT_ONCE = 50_000
 COMPARED_AT_ONCE = 2_000
@@ -168,7 +171,7 @@ _SET_NAMES = ["doc_id", "doc_key", "digest", "size", "class", "bitmap", "bucket"
 
 
 def _common_buckets(counted: DataFrame, percent: int) -> np.ndarray:
-    """Bit set of the buckets of common n-grams: a fixed 2 MB however large the corpus is.
+    """Bit set of the buckets of common n-grams: a fixed 512 KB however large the corpus is.
 
     It only settles the order, which may be any; links don't depend on it.
     """
@@ -183,31 +186,38 @@ def _index_rows(docs: DataFrame, common: np.ndarray, percent: int, words: int) -
     """``(gram, class, size, place, last)``: the prefix of every set, once per class and task."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
+    def rows_of(grams: list[np.ndarray], classes: list[int], sizes: list[int]) -> pa.RecordBatch:
+        rows = np.array([len(g) for g in grams])
+        first = np.concatenate([[0], np.cumsum(rows)[:-1]])
+        return pa.record_batch(
+            [
+                pa.array(np.concatenate(grams).view(np.int64)),
+                pa.array(np.repeat(np.array(classes, np.int64), rows)),
+                pa.array(np.repeat(np.array(sizes, np.int32), rows)),
+                pa.array((np.arange(rows.sum()) - np.repeat(first, rows)).astype(np.int32)),
+                pa.array(np.repeat(np.array([g[-1] for g in grams], np.uint64).view(np.int64), rows)),
+            ],
+            names=["gram", "class", "size", "place", "last"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            grams, classes, sizes = [], [], []
+            grams, classes, sizes, held = [], [], [], 0
             for _, shingles in shingle_sets(batch.column(0), words):
                 name = _class_of(shingles) if len(shingles) else None
                 if name is not None and name not in seen:
                     seen.add(name)
-                    grams.append(_order(shingles, shared.value)[: prefix_length(len(shingles), percent)])
+                    # A copy, so that the rest of the set is not held with it.
+                    grams.append(_order(shingles, shared.value)[: prefix_length(len(shingles), percent)].copy())
                     classes.append(name)
                     sizes.append(len(shingles))
-            if not grams:
-                continue
-            rows = np.array([len(g) for g in grams])
-            first = np.concatenate([[0], np.cumsum(rows)[:-1]])
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate(grams).view(np.int64)),
-                    pa.array(np.repeat(np.array(classes, np.int64), rows)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), rows)),
-                    pa.array((np.arange(rows.sum()) - np.repeat(first, rows)).astype(np.int32)),
-                    pa.array(np.repeat(np.array([g[-1] for g in grams], np.uint64).view(np.int64), rows)),
-                ],
-                names=["gram", "class", "size", "place", "last"],
-            )
+                    held += len(grams[-1])
+                    if held >= ROWS_AT_ONCE:
+                        yield rows_of(grams, classes, sizes)
+                        grams, classes, sizes, held = [], [], [], 0
+            if grams:
+                yield rows_of(grams, classes, sizes)
 
     return docs.select("text").mapInArrow(run, "gram bigint, class bigint, size int, place int, last bigint")
 

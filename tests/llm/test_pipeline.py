@@ -44,7 +44,7 @@ def planted(spark, tmp_path_factory):
         for made in (text, " ".join(near), f"{text}\nshared line {k % 3}\nnext line {k % 3}\n", f"{text[:200]} {items[k % len(items)]} {text[200:]}"):
             rows.append((number, made, None, f"s{k % 4}"))
             number += 1
-    rows += [(number + k, "".join(rng.choices("qxzjkvw", k=300)), "en", "junk") for k in range(5)]
+    rows += [(number + k, "".join(rng.choices("qxzjkvw", k=300)), None, "junk") for k in range(5)]
     rows += [(number + 10, "\n".join(texts) * 12, "en", "long"), (number + 11, None, None, None), (number + 12, "", "en", None), rows[3], rows[3]]
     docs = [(i, t, lang, s, len(t or "")) for i, t, lang, s in rows]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{folder}/documents.parquet")
