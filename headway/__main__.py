@@ -81,7 +81,7 @@ def _forecast(spark: SparkSession, ws: Workspace, args: argparse.Namespace) -> N
     schedule, trips = _schedule(spark, args.gtfs), read_gtfs(spark, args.gtfs, "trips")
     fused = fuse_max_delay(schedule, current_table(spark, "stops", f"{args.folder}/stops"), one_row=True)
     series = delay_series(ws, fused.join(trips.select("trip_id", "direction_id"), "trip_id"))
-    model = fit(supervised_rows(ws, series))
+    model = fit(ws.save(supervised_rows(ws, series), "supervised"))
     forecast_next_stops(model, series, number_calls(ws, schedule), trips, args.stops).write.mode(
         "overwrite"
     ).parquet(args.output)

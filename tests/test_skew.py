@@ -13,6 +13,7 @@ from headway.operators.skew import (
     number_rows,
     spread,
 )
+from headway.sources.workspace import list_folders
 
 
 def skewed(spark):
@@ -52,6 +53,23 @@ def test_history_across_chunks_equals_lag(spark, ws):
     assert rows(got, *plain.columns) == rows(plain)
 
 
+def test_short_series_are_not_numbered_in_blocks(spark, ws):
+    """Series that fit into a chunk cost one shuffle; before, every series was stored in blocks."""
+    df = ws.save(skewed(spark), "rows")
+    got = history(ws, df, ["k"], ["a", "b"], ["value"], 3, rows_per_task=20, chunk_rows=300, stored=True)
+    assert not any("blocks" in name for name in list_folders(spark, ws.folder))
+    wanted = history(ws, df, ["k"], ["a", "b"], ["value"], 3, rows_per_task=20, chunk_rows=299, stored=True)
+    assert any("blocks" in name for name in list_folders(spark, ws.folder))
+    assert rows(got, *wanted.columns) == rows(wanted)
+
+
+def test_numbered_rows_are_not_shuffled_again(spark, ws):
+    """Blocks are numbered as they are written, so reading them has the join with their shifts only."""
+    numbered = number_rows(ws, ws.save(skewed(spark), "rows"), ["k"], ["a", "b"], rows_per_task=100, stored=True)
+    text = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Exchange hashpartitioning" not in text
+
+
 def test_salted_join_equals_the_plain_join(spark):
     big, small = skewed(spark), spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3)], "k string, x int")
     fanout = key_fanout(big, ["k"], 50)
