@@ -9,7 +9,7 @@ from headway.operators import schedule
 from headway.operators.transfers import walking_transfers
 from headway.plans.timetable import preprocess
 from headway.schemas import GTFS_FILES
-from headway.sources.gtfs import read_day, read_gtfs, stop_calls, write_csv
+from headway.sources.gtfs import deal_days, read_day, read_gtfs, stop_calls, write_csv, write_days
 from headway.sources.workspace import Workspace
 
 
@@ -162,3 +162,18 @@ def test_files_to_day_folders(spark, tmp_path):
     write_csv(monday.withColumn("list", F.array("stop_id")), str(tmp_path / "csv"))
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert rows(back, "trip_id", "list") == [("t1", '["a"]')]
+
+
+def test_rows_are_sent_once_for_all_days_of_their_service(spark, tmp_path):
+    """The shuffle comes before the rows are multiplied by the days; the files hold what they held."""
+    spark = adaptive(spark)
+    services = spark.createDataFrame([("monday", "1"), ("tuesday", "1"), ("tuesday", "2"), (None, "3")], "day string, service_id string")
+    served = spark.createDataFrame([(f"t{i}", str(i % 4), i) for i in range(40)] + [("t1", "1", 1), (None, "2", 7), ("x", None, 8)],
+                                   "trip_id string, service_id string, n int")
+    by_day = served.join(services, "service_id").drop("service_id")
+    plan = deal_days(served, "trip_id", services)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("RebalancePartitions"), plan
+    write_days(served, str(tmp_path / "once"), "trip_id", services=services)
+    write_days(by_day, str(tmp_path / "plain"), "trip_id")
+    kept = rows(spark.read.parquet(str(tmp_path / "once")), "day", "trip_id", "n")
+    assert kept == rows(spark.read.parquet(str(tmp_path / "plain")), "day", "trip_id", "n") == rows(by_day, "day", "trip_id", "n")
