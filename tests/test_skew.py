@@ -103,3 +103,7 @@ def test_no_block_is_larger_than_a_task_should_hold(spark, ws):
         assert blocks.agg(F.max("count")).first()[0] <= 1000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+
+def test_stored_tables_are_compressed_with_zstd(spark, ws):
+    assert all(f.endswith(".zstd.parquet") for f in ws.save(spark.range(10), "numbers").inputFiles())
