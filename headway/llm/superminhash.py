@@ -312,16 +312,18 @@ class _Block:
         return found
 
 
-def _links_in_buckets(rows: DataFrame, percent: int, bucket_rows: int) -> DataFrame:
-    """``(a, b)``: links between the groups of ``rows (band, bucket, class, size, grp, sketch, elements)``.
+def _links_in_buckets(rows: DataFrame, members: DataFrame, percent: int, bucket_rows: int) -> DataFrame:
+    """``(a, b)``: links between the groups of ``rows (band, bucket, class, size, grp)``.
 
     A bucket of more than ``bucket_rows`` rows is cut into parts, and each two parts meet in a task of
     their own. Two classes are compared in the first band they share: if they aren't both in that
-    bucket any more, one of them was compared with the other, or they are in one group.
+    bucket any more, one of them was compared with the other, or they are in one group. Each row gets
+    its class's ``members (class, sketch, elements)`` once, after the buckets are counted and cut.
     """
     fanout = key_fanout(rows, ["bucket"], bucket_rows)
     parts = F.coalesce("fanout", F.lit(1))
-    cut = rows.join(fanout, "bucket", "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+    cut = rows.join(fanout, "bucket", "left").join(members, "class")
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     key = ["bucket", "low", "high"]
     columns = [*key, "part", "band", "class", "size", "grp", "sketch", "elements"]
@@ -369,9 +371,9 @@ def _groups(ws: Workspace, docs: DataFrame, sets: DataFrame, percent: int, words
             return labels
     wanted = left.select("class").distinct()
     sketches = sets.filter("sketch is not null").join(wanted, "class", "left_semi")
-    sketches = ws.save(sketches.groupBy("class").agg(F.any_value("sketch").alias("sketch")), "sketches")
-    whole = left.join(sketches, "class").join(full, "class")
-    links = ws.save(_links_in_buckets(whole, percent, bucket_rows), "links")
+    sketches = sketches.groupBy("class").agg(F.any_value("sketch").alias("sketch"))
+    members = ws.save(full.join(sketches, "class"), "members")
+    links = ws.save(_links_in_buckets(left, members, percent, bucket_rows), "links")
     return labels if links.isEmpty() else _merge_groups(ws, labels, links)
 
 

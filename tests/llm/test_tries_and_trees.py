@@ -270,3 +270,25 @@ def test_near_duplicates(spark, ws, rounds, bucket_rows):
 def test_no_documents(spark, ws):
     assert superminhash.near_duplicates(ws, texts_of(spark, [])).count() == 0
     assert superminhash.near_duplicates(ws, texts_of(spark, [(1, None), (None, "")])).count() == 2
+
+
+def test_sets_join_the_buckets_once(spark, ws, monkeypatch):
+    """What is left in buckets is counted without sketches and sets; each row gets its class's once, after that."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for doc_id in range(60):
+        words = list(base)
+        for _ in range(rng.randint(2, 6)):
+            words[rng.randrange(120)] = f"e{rng.randrange(10**6)}"
+        rows.append((doc_id, " ".join(words)))
+    counted_columns, real = [], superminhash.key_fanout
+
+    def spy(df, *rest):
+        counted_columns.append(set(df.columns))
+        return real(df, *rest)
+
+    monkeypatch.setattr(superminhash, "key_fanout", spy)
+    found = superminhash.near_duplicates(ws, texts_of(spark, rows), rounds=1, bucket_rows=8)
+    assert counted(found) == brute_groups(rows, 85, 3)
+    assert counted_columns and not any(columns & {"sketch", "elements"} for columns in counted_columns)
