@@ -39,9 +39,9 @@ PERCENT = 75
 COMMON_BUCKETS = 1 << 22
 COMMON_LEAST = 8
 
-# Bits of the bitmap of a small set, and n-grams of a prefix that tell which list a pair belongs to.
+# Bits of the bitmap of a small set, and lists of a class that tell which one a pair belongs to.
 LEAST_BITMAP = 512
-HEAD = 16
+HEAD = 64
 
 # Rows of a pivot's lists that one task compares with as many others, and classes of a block of them.
 LIST_ROWS = 16_384
@@ -230,8 +230,9 @@ def _class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFram
 
 
 def _compare(ws: Workspace, pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
-    """``pairs (a, b, ...)`` of classes with their ``overlap``, counted on the whole texts."""
+    """``pairs (a, b, size_a, size_b)`` of classes with their ``overlap``, counted on the whole texts."""
     texts = ws.save(_class_texts(docs, sets, pairs), "class_texts")
+    names = ["a", "b", "size_a", "size_b", "overlap"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,13 +245,14 @@ def _compare(ws: Workspace, pairs: DataFrame, docs: DataFrame, sets: DataFrame,
                 found = [shingles for _, shingles in shingle_sets(texts, words)]
                 pairs = zip(place[: part.num_rows], place[part.num_rows :], strict=True)
                 overlaps = [len(np.intersect1d(found[i], found[j], assume_unique=True)) for i, j in pairs]
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(overlaps, pa.int64())], names=["a", "b", "overlap"])
+                yield pa.record_batch([*part.columns[:2], *part.columns[4:], pa.array(overlaps, pa.int64())], names=names)
 
     joined = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    counted = joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, overlap bigint")
-    return ws.save(counted.join(pairs, ["a", "b"]), "answers")
+    sizes = [F.col(name).cast("bigint").alias(name) for name in ("size_a", "size_b")]
+    read = joined.select("a", "b", "text_a", "text_b", *sizes)
+    return ws.save(read.mapInArrow(run, ", ".join(f"{name} bigint" for name in names)), "answers")
 
 
 def _linked(percent: int) -> Column:
@@ -333,8 +335,8 @@ def _open_pairs(lists: DataFrame, members: DataFrame, percent: int, list_rows: i
 
     The lists of one pivot are handled together. A pivot with more than ``list_rows`` rows is cut into
     parts by class, and each two parts meet in a task of their own. ``members (class, size, grp, bitmap,
-    head)`` are sent once per class, pivot and task. A pair belongs to the first list it has in common,
-    and is left to the pivot of that one if the heads of both name it.
+    head)`` are sent once per class, pivot and task; ``head`` has the first lists of the class. A pair belongs
+    to the first list it has in common, and is left to the pivot of that one if the heads of both name it.
     """
     fanout = key_fanout(lists, ["pivot"], list_rows)
     parts = F.coalesce("fanout", F.lit(1))
@@ -383,11 +385,11 @@ class _Lists:
             known[c].to_numpy() for c in ("class", "part", "size", "grp", "pivot_overlap")
         )
         self.bitmaps = known["bitmap"].to_pylist()
-        self.head = np.zeros((len(known), HEAD), np.int64)
-        self.named = np.zeros((len(known), HEAD), bool)
-        for row, head in enumerate(known["head"].to_pylist()):
-            self.head[row, : len(head)] = head
-            self.named[row, : len(head)] = True
+        heads = known["head"].combine_chunks()
+        lengths = pc.list_value_length(heads).to_numpy()
+        self.head = np.zeros((len(known), lengths.max(initial=0)), np.int64)
+        self.named = np.arange(self.head.shape[1]) < lengths[:, None]
+        self.head[self.named] = heads.flatten().to_numpy()
         listed = table.filter(pc.is_valid(table["gram"]))
         gram, place = listed["gram"].to_numpy(), listed["place"].to_numpy()
         by_name = np.argsort(self.name)
@@ -423,11 +425,18 @@ class _Lists:
 
     def _belong_here(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the first common n-gram of the heads of each two rows is one of these lists, or there is none."""
-        equal = (self.head[a][:, :, None] == self.head[b][:, None, :]) & self.named[a][:, :, None] & self.named[b][:, None, :]
-        at = equal.any(axis=2)
-        first = self.head[a, at.argmax(axis=1)]
-        place = np.minimum(np.searchsorted(self.grams, first), len(self.grams) - 1)
-        return ~at.any(axis=1) | (self.grams[place] == first)
+        here = np.ones(len(a), bool)
+        left = np.arange(len(a))
+        for k in range(self.head.shape[1]):
+            left = left[self.named[a[left], k]]
+            if not len(left):
+                break
+            first, other = self.head[a[left], k], b[left]
+            found = ((self.head[other] == first[:, None]) & self.named[other]).any(axis=1)
+            place = np.minimum(np.searchsorted(self.grams, first), len(self.grams) - 1)
+            here[left[found]] = (self.grams[place] == first)[found]
+            left = left[~found]
+        return here
 
     def pairs(self, percent: int) -> Iterator[pa.RecordBatch]:
         if not len(self.grams) or len(self.name) < 2:
@@ -507,12 +516,12 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     classes = ws.save(left.groupBy("class").agg(F.min("grp").alias("grp"), F.max("size").cast("bigint").alias("size")), "open_classes")
     bitmaps = sets.filter("bitmap is not null").join(classes.select("class"), "class", "left_semi")
     bitmaps = bitmaps.groupBy("class").agg(F.any_value("bitmap").alias("bitmap"))
-    first = lists.filter(F.col("place") < HEAD).join(classes.select("class"), "class", "left_semi").groupBy("class")
-    # A head has a fixed number of n-grams.
-    heads = first.agg(F.transform(F.array_sort(F.collect_set(F.struct("place", "gram"))), lambda g: g["gram"]).alias("head"))
-    members = classes.join(bitmaps, "class").join(heads, "class", "left")
-    members = ws.save(members.withColumn("head", F.coalesce("head", F.array().cast("array<bigint>"))), "open_members")
-    pairs = _open_pairs(_merge_equal_lists(ws, left), members, percent, list_rows)
+    merged = _merge_equal_lists(ws, left)
+    # A class has a list at most for each n-gram of its prefix.
+    heads = merged.groupBy("class").agg(F.collect_list(F.struct("place", "gram")).alias("head"))
+    heads = heads.select("class", F.slice(F.transform(F.array_sort("head"), lambda g: g["gram"]), 1, HEAD).alias("head"))
+    members = ws.save(classes.join(bitmaps, "class").join(heads, "class"), "open_members")
+    pairs = _open_pairs(merged, members, percent, list_rows)
     done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = ws.save(pairs.join(done, ["a", "b"], "left_anti"), "open_pairs")
     last = _compare(ws, pairs, docs, sets, words).filter(_linked(percent)).select("a", "b")

@@ -137,6 +137,35 @@ def test_jaccard_groups(spark, ws, documents):
     assert jaccard.similar_groups(ws, table(spark, [])).count() == 0
 
 
+def test_heads_name_the_lists_of_a_class(spark, ws, monkeypatch):
+    """Each pair is handed on from one list: heads name the lists that are still there, not the first n-grams."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(400)]
+    docs = []
+    for doc_id in range(30):
+        words = list(base)
+        for _ in range(rng.randint(8, 30)):
+            words[rng.randrange(400)] = f"e{rng.randrange(10**6)}"
+        docs.append((doc_id, " ".join(words)))
+    seen, real = {}, jaccard._open_pairs
+
+    def spy(lists, members, *rest):
+        seen.update(lists=lists, members=members)
+        return real(lists, members, *rest)
+
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "_open_pairs", spy)
+    sets, roots = groups_of(docs)
+    found = {r.doc_id: r.component_id for r in jaccard.similar_groups(ws, table(spark, docs)).collect()}
+    assert found == {doc_id: min(i for i, r in enumerate(roots) if r == roots[doc_id]) for doc_id, _ in docs}
+    listed = defaultdict(list)
+    for row in seen["lists"].collect():
+        listed[row["class"]].append((row.place, row.gram))
+    heads = {row["class"]: row.head for row in seen["members"].collect()}
+    assert heads == {name: [gram for _, gram in sorted(known)][: jaccard.HEAD] for name, known in listed.items()}
+    assert max(place for known in listed.values() for place, _ in known) > 16
+
+
 def test_fingerprints(spark, ws, documents, monkeypatch):
     order = sorted(documents, key=lambda d: (d[0] is None, -(d[0] or 0)))
     wanted = Counter()
