@@ -12,12 +12,14 @@ along the set relations of "Leveraging Set Relations in Exact Set Similarity Joi
 * Index skipping. What is left of a list is sorted by size and cut into blocks that know their
   sizes and best positions; a class skips whole blocks that can't hold a partner.
 
-Only pairs that survive both are compared on their whole texts.
+Only pairs that survive both are compared on their whole sets, in tasks that have the sets of the
+classes of such pairs and hand on one link for every two groups they join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,13 +49,17 @@ HEAD = 64
 LIST_ROWS = 16_384
 BLOCK_ROWS = 64
 
-# Rounds of further pivots before the remaining pairs are looked at one by one.
+# Further pivots of a list, before the remaining pairs are looked at one by one.
 PIVOT_ROUNDS = 2
 
 # Index rows a task hands on at once.
 ROWS_AT_ONCE = 1 << 17
 
-# Pairs a task holds before it hands them on, and pairs of texts it compares together.
+# N-grams of the sets that one task compares with as many others, at about 8 bytes each, and sets it compares together.
+SET_GRAMS = 1 << 20
+SETS_AT_ONCE = 256
+
+# Pairs a task looks at together, and pairs of texts it compares together.
 PAIRS_AT_ONCE = 50_000
 COMPARED_AT_ONCE = 2_000
 
@@ -100,6 +106,14 @@ def prefix_length(size, percent: int = PERCENT):
     return size - (-((-percent * size) // 100)) + 1
 
 
+def overlaps(first: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements a sorted set shares with each of some sets, none of which is empty."""
+    joined = np.concatenate(others)
+    place = np.minimum(np.searchsorted(first, joined), len(first) - 1)
+    starts = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
+    return np.add.reduceat((first[place] == joined).astype(np.int64), starts)
+
+
 def _bitmap(shingles: np.ndarray) -> bytes:
     """A bit for each n-gram of the set, two to four bits a member. Sets differ in at least as many n-grams
     as their bitmaps in bits, which bounds their overlap ("Bitmap Filter", Sandes et al., 2020).
@@ -222,16 +236,16 @@ def _index_rows(docs: DataFrame, common: np.ndarray, percent: int, words: int) -
     return docs.select("text").mapInArrow(run, "gram bigint, class bigint, size int, place int, last bigint")
 
 
-def _class_texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(class, text)``: a text of each class of the pairs."""
-    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+def _class_texts(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(class, text)``: a text of each of the distinct classes."""
     wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("digest").alias("text_id"))
     return texts_of(docs, wanted).drop("text_id")
 
 
 def _compare(ws: Workspace, pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
     """``pairs (a, b, size_a, size_b)`` of classes with their ``overlap``, counted on the whole texts."""
-    texts = ws.save(_class_texts(docs, sets, pairs), "class_texts")
+    classes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    texts = _class_texts(docs, sets, classes)
     names = ["a", "b", "size_a", "size_b", "overlap"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,6 +327,15 @@ def _with_group(lists: DataFrame, groups: DataFrame) -> DataFrame:
     return spans.filter("_low <> _high").drop("_low", "_high", "component")
 
 
+def _drawn(lists: DataFrame, groups: DataFrame, number: int) -> DataFrame:
+    """The lists with a pivot drawn by this number, and only the classes outside its group."""
+    drawn = _pivots(lists.select("gram", "class", "size", "place", "last"), F.xxhash64(F.lit(number), "class"))
+    of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_grp"))
+    of_class = groups.select(F.col("node").alias("class"), F.col("component").alias("grp"))
+    apart = F.coalesce("grp", "class") != F.coalesce("pivot_grp", "pivot")
+    return drawn.join(of_pivot, "pivot", "left").join(of_class, "class", "left").filter(apart)
+
+
 def _in_order(gram: str) -> Column:
     """A number that orders n-grams as the sets do: those with the top bit, the common ones, come last."""
     return F.col(gram).bitwiseXOR(F.lit(-(1 << 63)))
@@ -325,13 +348,13 @@ def _merge_equal_lists(ws: Workspace, lists: DataFrame) -> DataFrame:
     told apart by 128 bits.
     """
     marks = [F.bit_xor(F.xxhash64(F.lit(seed), "class")).alias(f"mark_{seed}") for seed in (1, 2)]
-    marked = ws.save(lists.groupBy("gram").agg(*marks, F.count(F.lit(1)).alias("rows")), "list_marks")
+    marked = lists.groupBy("gram").agg(*marks, F.count(F.lit(1)).alias("rows"))
     kept = marked.groupBy("mark_1", "mark_2", "rows").agg(F.min_by("gram", _in_order("gram")).alias("gram"), F.count(F.lit(1)).alias("grams"))
     return ws.save(lists.join(kept.select("gram", "grams"), "gram"), "merged_lists")
 
 
 def _open_pairs(lists: DataFrame, members: DataFrame, percent: int, list_rows: int) -> DataFrame:
-    """``(a, b, size_a, size_b)``: pairs of different groups on common lists that may be linked.
+    """``(pivot, class)``: the classes of pairs of different groups on common lists that may be linked.
 
     The lists of one pivot are handled together. A pivot with more than ``list_rows`` rows is cut into
     parts by class, and each two parts meet in a task of their own. ``members (class, size, grp, bitmap,
@@ -351,21 +374,30 @@ def _open_pairs(lists: DataFrame, members: DataFrame, percent: int, list_rows: i
     dealt = rows.repartition(*key).sortWithinPartitions(*key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
-        for batch in batches:
-            keys = [batch.column(i).to_numpy() for i in range(3)]
-            changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-            edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(batch)]
-            for start, end in zip(edges, edges[1:], strict=False):
-                if (now := tuple(int(k[start]) for k in keys)) != current:
-                    if held:
-                        yield from _Lists(held).pairs(percent)
-                    current, held = now, []
-                held.append(batch.slice(start, end - start))
-        if held:
-            yield from _Lists(held).pairs(percent)
-
-    return dealt.mapInArrow(run, "a bigint, b bigint, size_a bigint, size_b bigint").distinct()
+        for (pivot, _, _), held in _by_key(batches):
+            classes = _Lists(held).open_classes(percent)
+            yield pa.record_batch([pa.array(np.full(len(classes), pivot)), pa.array(classes)], names=["pivot", "class"])
+
+    return dealt.mapInArrow(run, "pivot bigint, class bigint").distinct()
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, ...], list[pa.RecordBatch]]]:
+    """The rows of each key, the first three columns, by which they are in order."""
+    current, held = None, []
+    for batch in batches:
+        keys = [batch.column(i).to_numpy() for i in range(3)]
+        changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        edges = [0, *(np.flatnonzero(changes) + 1).tolist(), len(batch)]
+        for start, end in zip(edges, edges[1:], strict=False):
+            if start == end:
+                continue
+            if (now := tuple(int(k[start]) for k in keys)) != current:
+                if held:
+                    yield current, held
+                current, held = now, []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield current, held
 
 
 class _Lists:
@@ -438,9 +470,11 @@ class _Lists:
             left = left[~found]
         return here
 
-    def pairs(self, percent: int) -> Iterator[pa.RecordBatch]:
+    def open_classes(self, percent: int) -> np.ndarray:
+        """The classes that may be linked with one of another group."""
+        found = np.zeros(len(self.name), bool)
         if not len(self.grams) or len(self.name) < 2:
-            return
+            return self.name[found]
         x, size = self.x, self.size
         for begin in range(0, len(self.y), BLOCK_ROWS):
             y = self.y[begin : begin + BLOCK_ROWS]
@@ -470,17 +504,89 @@ class _Lists:
                 likely = size[a] + size[b] - self._differing(a, b) >= 2 * need[i, j]
                 a, b = a[likely], b[likely]
                 here = self._belong_here(a, b) if len(a) else np.zeros(0, bool)
-                a, b = a[here], b[here]
-                if len(a):
-                    larger = (size[a] > size[b]) | ((size[a] == size[b]) & (self.name[a] > self.name[b]))
-                    a, b = np.where(larger, a, b), np.where(larger, b, a)
-                    yield pa.record_batch(
-                        [pa.array(c.astype(np.int64)) for c in (self.name[a], self.name[b], size[a], size[b])],
-                        names=["a", "b", "size_a", "size_b"],
-                    )
+                found[a[here]] = found[b[here]] = True
+        return self.name[found]
+
+
+def _links_of_open(ws: Workspace, open_classes: DataFrame, members: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, words: int, set_grams: int) -> DataFrame:
+    """``(a, b)``: links that join the groups of the stored ``open_classes (pivot, class)``.
+
+    The classes of a pivot with more than ``set_grams`` n-grams are cut into parts, and each two parts meet in a
+    task of their own, with the set of each class. A task hands on at most as many links as it has classes.
+    """
+
+    def cut_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [shingles.tobytes() for _, shingles in shingle_sets(batch.column(1), words)]
+            yield pa.record_batch([batch.column(0), pa.array(grams, pa.binary())], names=["class", "grams"])
+
+    texts = _class_texts(docs, sets, open_classes.select("class").distinct()).select("class", "text")
+    full = ws.save(texts.mapInArrow(cut_sets, "class bigint, grams binary"), "open_sets")
+    known = open_classes.join(members.select("class", "size", "grp"), "class")
+    fanout = known.groupBy("pivot").agg(F.sum("size").alias("_grams")).filter(F.col("_grams") > set_grams)
+    fanout = fanout.select("pivot", F.ceil(F.col("_grams") / set_grams).cast("int").alias("fanout"))
+    parts = F.coalesce("fanout", F.lit(1))
+    cut = known.join(fanout, "pivot", "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    key = ["pivot", "low", "high"]
+    met = met.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    rows = met.join(full, "class").select(*key, "class", "part", "grp", "grams")
+    dealt = rows.repartition(*key).sortWithinPartitions(*key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in _by_key(batches):
+            found = _Sets(held).links(percent)
+            yield pa.record_batch([pa.array(list(c), pa.int64()) for c in (zip(*found, strict=True) if found else ([], []))], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+class _Sets:
+    """The sets of the open classes of a pivot, or of two parts of them, in the order of their sizes."""
+
+    def __init__(self, batches: list[pa.RecordBatch]) -> None:
+        table = pa.Table.from_batches(batches)
+        self.one_part = table["low"][0] == table["high"][0]
+        grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in table["grams"]]
+        sizes, names = np.array([len(g) for g in grams]), table["class"].to_numpy()
+        order = np.lexsort((names, sizes))
+        self.name, self.size = names[order], sizes[order]
+        self.part, self.group = table["part"].to_numpy()[order], table["grp"].to_numpy()[order]
+        self.grams = [grams[k] for k in order]
+
+    def links(self, percent: int) -> list[tuple[int, int]]:
+        """Links that join the groups of the classes, each found on the whole sets."""
+        found, group, size = [], self.group.copy(), self.size
+        bitmaps = [_bitmap(g) for g in self.grams]
+        widths = np.array([len(b) // 8 for b in bitmaps])
+        width, first, bits = 0, 0, np.zeros((0, 0), np.uint64)
+        for i in range(len(size) - 1):
+            last = int(np.searchsorted(size, 100 * int(size[i]) // percent, "right"))
+            others = np.arange(i + 1, last)
+            others = others[(group[others] != group[i]) & (self.one_part | (self.part[others] != self.part[i]))]
+            if not len(others):
+                continue
+            # Bitmaps grow with the sets, so those that follow can be folded to this one's size.
+            if widths[i] != width:
+                width, first = int(widths[i]), i
+                largest = int(size[np.searchsorted(widths, width, "right") - 1])
+                bits = _folded(bitmaps[first : int(np.searchsorted(size, 100 * largest // percent, "right"))], width)
+            differ = np.bitwise_count(bits[others - first] ^ bits[i - first]).sum(axis=1, dtype=np.int64)
+            others = others[size[i] + size[others] - differ >= 2 * least_overlap(int(size[i]), size[others], percent)]
+            for start in range(0, len(others), SETS_AT_ONCE):
+                some = others[start : start + SETS_AT_ONCE]
+                some = some[group[some] != group[i]]
+                if not len(some):
+                    continue
+                overlap = overlaps(self.grams[i], [self.grams[j] for j in some])
+                for j in some[100 * overlap >= percent * (size[i] + size[some] - overlap)]:
+                    if group[j] != group[i]:
+                        found.append((int(self.name[i]), int(self.name[j])))
+                        group[group == group[j]] = group[i]
+        return found
 
 
-def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int) -> DataFrame:
+def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list_rows: int, set_grams: int) -> DataFrame:
     """``(doc_id, doc_key, size, component)`` of every row; no component without n-grams."""
     counted = ws.save(_sets_and_counts(docs, percent, words), "sets")
     sets = counted.filter("bucket is null").select("doc_id", "doc_key", "digest", "size", "class", "bitmap")
@@ -490,49 +596,40 @@ def _grouped_sets(ws: Workspace, docs: DataFrame, percent: int, words: int, list
     stars = ws.save(_star_pairs(lists, percent), "star_pairs")
     answers = _compare(ws, stars, docs, sets, words)
     links = answers.filter(_linked(percent)).select("a", "b")
-    groups = ws.save(components(ws, links), "groups")
+    groups = components(ws, links)
 
-    # Classes outside a pivot's group are compared with other pivots, drawn anew in each round.
+    # Classes outside a pivot's group are compared with other pivots, drawn for each list.
     # Large groups grow together this way, and few pairs between groups are left.
     spanning = ws.save(_with_group(lists, groups), "spanning_lists")
-    for number in range(1, PIVOT_ROUNDS + 1):
-        drawn = _pivots(spanning.select("gram", "class", "size", "place", "last"), F.xxhash64(F.lit(number), "class"))
-        of_pivot = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_grp"))
-        of_class = groups.select(F.col("node").alias("class"), F.col("component").alias("grp"))
-        apart = F.coalesce("grp", "class") != F.coalesce("pivot_grp", "pivot")
-        drawn = drawn.join(of_pivot, "pivot", "left").join(of_class, "class", "left").filter(apart)
+    if PIVOT_ROUNDS:
         done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        more = ws.save(_star_pairs(drawn, percent).join(done, ["a", "b"], "left_anti"), "more_pairs")
-        if more.isEmpty():
-            break
+        more = [_star_pairs(_drawn(spanning, groups, number), percent) for number in range(1, PIVOT_ROUNDS + 1)]
+        more = ws.save(reduce(DataFrame.unionByName, more).distinct().join(done, ["a", "b"], "left_anti"), "more_pairs")
         answers = answers.unionByName(_compare(ws, more, docs, sets, words))
         links = answers.filter(_linked(percent)).select("a", "b")
-        groups = ws.save(components(ws, links), "groups")
+        groups = components(ws, links)
 
     known = answers.select(F.col("a").alias("class"), F.col("b").alias("pivot"), F.col("overlap").alias("_overlap"))
     left = _with_group(spanning.drop("grp"), groups).join(known, ["class", "pivot"], "left")
     overlap = F.when(F.col("class") == F.col("pivot"), F.col("size")).otherwise(F.coalesce("_overlap", F.lit(-1)))
     left = ws.save(left.withColumn("pivot_overlap", overlap.cast("int")).drop("_overlap"), "open_lists")
-    classes = ws.save(left.groupBy("class").agg(F.min("grp").alias("grp"), F.max("size").cast("bigint").alias("size")), "open_classes")
-    bitmaps = sets.filter("bitmap is not null").join(classes.select("class"), "class", "left_semi")
-    bitmaps = bitmaps.groupBy("class").agg(F.any_value("bitmap").alias("bitmap"))
+    classes = left.groupBy("class").agg(F.min("grp").alias("grp"), F.max("size").cast("bigint").alias("size"))
+    bitmaps = sets.filter("bitmap is not null").groupBy("class").agg(F.any_value("bitmap").alias("bitmap"))
     merged = _merge_equal_lists(ws, left)
     # A class has a list at most for each n-gram of its prefix.
     heads = merged.groupBy("class").agg(F.collect_list(F.struct("place", "gram")).alias("head"))
     heads = heads.select("class", F.slice(F.transform(F.array_sort("head"), lambda g: g["gram"]), 1, HEAD).alias("head"))
     members = ws.save(classes.join(bitmaps, "class").join(heads, "class"), "open_members")
-    pairs = _open_pairs(merged, members, percent, list_rows)
-    done = answers.select("a", "b").unionByName(answers.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    pairs = ws.save(pairs.join(done, ["a", "b"], "left_anti"), "open_pairs")
-    last = _compare(ws, pairs, docs, sets, words).filter(_linked(percent)).select("a", "b")
-    groups = ws.save(components(ws, links.unionByName(last)), "groups")
+    open_classes = ws.save(_open_pairs(merged, members, percent, list_rows), "open_pairs")
+    last = _links_of_open(ws, open_classes, members, docs, sets, percent, words, set_grams)
+    groups = components(ws, links.unionByName(last))
 
     named = sets.join(groups.withColumnRenamed("node", "class"), "class", "left")
     return ws.save(named.select("doc_id", "doc_key", "size", F.coalesce("component", "class").alias("component")), "grouped_sets")
 
 
 def similar_groups(
-    ws: Workspace, docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS, list_rows: int = LIST_ROWS
+    ws: Workspace, docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS, list_rows: int = LIST_ROWS, set_grams: int = SET_GRAMS
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs (doc_id, text)``.
 
@@ -545,7 +642,7 @@ def similar_groups(
 
     N-grams are known by 63-bit hashes, equal sets by 64-bit hashes.
     """
-    grouped = _grouped_sets(ws, docs, percent, words, list_rows)
+    grouped = _grouped_sets(ws, docs, percent, words, list_rows, set_grams)
     least = grouped.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("_least"))
     return grouped.join(least, "component", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("_least", "doc_id").alias("component_id")
@@ -553,7 +650,7 @@ def similar_groups(
 
 
 def one_of_each_group(
-    ws: Workspace, docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS, list_rows: int = LIST_ROWS
+    ws: Workspace, docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS, list_rows: int = LIST_ROWS, set_grams: int = SET_GRAMS
 ) -> DataFrame:
     """The document of least id of every group of ``similar_groups``, with all columns of ``docs``.
 
@@ -561,7 +658,7 @@ def one_of_each_group(
     stays once; of rows of one id with different texts each is a document of its own.
     """
     key, kept_key, listed = (spare_name(docs, name) for name in ("_key", "_kept_key", "_listed"))
-    grouped = _grouped_sets(ws, docs, percent, words, list_rows)
+    grouped = _grouped_sets(ws, docs, percent, words, list_rows, set_grams)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key")
     alone = F.when(F.col("component").isNull(), F.col("doc_key"))
     kept = grouped.groupBy("component", alone.alias("alone")).agg(F.min(order).alias("kept")).select(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.graph import components
-from headway.llm.jaccard import shingle_sets
+from headway.llm.jaccard import overlaps, shingle_sets
 from headway.llm.tables import text_id, texts_of
 from headway.llm.words import mix
 from headway.operators.skew import key_fanout
@@ -230,7 +230,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, column: str, label: str
 def _merge_groups(ws: Workspace, labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """The groups ``(class, component)`` after further links, found among the groups so far only."""
     ends = _labelled(_labelled(links, labels, "a", "_a"), labels, "b", "_b")
-    found = ws.save(components(ws, ends.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "merged_groups")
+    found = components(ws, ends.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     if labels is None:
         return found.withColumnRenamed("node", "class")
     moved = labels.join(found.select(F.col("node").alias("component"), F.col("component").alias("_new")), "component", "left")
@@ -245,14 +245,6 @@ def _several_groups(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return grouped.join(mixed.select("bucket"), "bucket")
 
 
-def _overlaps(first: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """How many elements a sorted set shares with each of some sets, none of which is empty."""
-    joined = np.concatenate(others)
-    place = np.minimum(np.searchsorted(first, joined), len(first) - 1)
-    starts = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
-    return np.add.reduceat((first[place] == joined).astype(np.int64), starts)
-
-
 class _Block:
     """Some rows of a bucket, ordered by size: two parts of it, or one that is compared with itself."""
 
@@ -303,7 +295,7 @@ class _Block:
             if not others:
                 continue
             first = np.frombuffer(self.elements[row], np.uint64)
-            overlap = _overlaps(first, [np.frombuffer(self.elements[j], np.uint64) for j in others])
+            overlap = overlaps(first, [np.frombuffer(self.elements[j], np.uint64) for j in others])
             linked = 100 * overlap >= percent * (self.size[row] + self.size[others] - overlap)
             for j in np.array(others)[linked].tolist():
                 if root(self.group[j]) != root(self.group[row]):

@@ -59,8 +59,8 @@ def bit_set(numbers: DataFrame, bits: int) -> np.ndarray:
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (number % 64).cast("int"))
     words = numbers.groupBy(F.floor(number / 64).alias("word")).agg(F.bit_or(one).alias("set"))
     table = np.zeros(bits // 64, np.int64)
-    for row in words.toLocalIterator():
-        table[row["word"]] = row["set"]
+    rows = words.toArrow()
+    table[rows["word"].to_numpy()] = rows["set"].to_numpy()
     return table.view(np.uint8)
 
 
@@ -85,13 +85,15 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     A bit set of fixed size drops most other texts before the shuffle; the join is exact.
     """
     bits = docs.sparkSession.sparkContext.broadcast(
-        bit_set(wanted.select(F.pmod("text_id", F.lit(TEXT_BITS)).alias("bit")).distinct(), TEXT_BITS)
+        bit_set(wanted.select(F.pmod("text_id", F.lit(TEXT_BITS)).alias("bit")), TEXT_BITS)
     )
 
     @F.pandas_udf("boolean")
     def maybe_wanted(ids: pd.Series) -> pd.Series:
         return pd.Series(in_bits(bits.value, ids.to_numpy() % TEXT_BITS))
 
+    # Else the join would ask the wanted ids as well.
+    maybe_wanted = maybe_wanted.asNondeterministic()
     texts = docs.select(text_id().alias("text_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.filter(maybe_wanted("text_id")).join(wanted, "text_id")
     kept = [F.first(c).alias(c) for c in ("text", *wanted.columns) if c != "text_id"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from headway.llm import (
     decontamination,
     doubling,
+    graph,
     identifiers,
     jaccard,
     language,
@@ -166,6 +167,61 @@ def test_heads_name_the_lists_of_a_class(spark, ws, monkeypatch):
     assert max(place for known in listed.values() for place, _ in known) > 16
 
 
+def test_open_pairs_stay_in_their_tasks(spark, ws, monkeypatch):
+    """Near misses make pairs with the square of their number; what tasks hand on grows with the classes."""
+    rng = random.Random(5)
+    base, docs = [f"w{i}" for i in range(300)], []
+    for doc_id in range(120):
+        words = list(base)
+        for _ in range(rng.randint(4, 12)):
+            words[rng.randrange(300)] = f"e{rng.randrange(10**6)}"
+        docs.append((doc_id, " ".join(words)))
+    rows = {}
+
+    def counting(name, real):
+        def spy(*args):
+            out = real(*args)
+            rows[name] = rows.get(name, 0) + out.count()
+            if name == "_open_pairs":
+                rows["classes"] = args[0].select("pivot", "class").distinct().count()
+            return out
+
+        monkeypatch.setattr(jaccard, name, spy)
+
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 0)
+    counting("_open_pairs", jaccard._open_pairs)
+    counting("_links_of_open", jaccard._links_of_open)
+    sets, roots = groups_of(docs)
+    near = sum(100 * len(a & b) >= 65 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    wanted = {doc_id: min(i for i, r in enumerate(roots) if r == roots[doc_id]) for doc_id, _ in docs}
+    for set_grams in (jaccard.SET_GRAMS, 5_000):
+        rows.clear()
+        found = {r.doc_id: r.component_id for r in jaccard.similar_groups(ws, table(spark, docs), set_grams=set_grams).collect()}
+        assert found == wanted
+        assert 0 < rows["_open_pairs"] <= rows["classes"] and near > 10 * len(docs)
+    assert len(set(wanted.values())) > 1
+
+
+def test_components_of_several_tasks(spark, ws):
+    rng = random.Random(6)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7), (5000, 5000)]
+    parent = {}
+
+    def root(node):
+        while parent.get(node, node) != node:
+            node = parent[node]
+        return node
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    wanted = sorted({(node, root(node)) for edge in edges for node in edge if edge[0] != edge[1]})
+    table_of = spark.createDataFrame(edges + edges[:20], "a long, b long").repartition(5)
+    for links_per_task in (graph.LINKS_PER_TASK, 40):
+        assert sorted(tuple(r) for r in graph.components(ws, table_of, links_per_task).collect()) == wanted
+    assert graph.components(ws, table_of.filter("a = b")).count() == 0
+
+
 def test_fingerprints(spark, ws, documents, monkeypatch):
     order = sorted(documents, key=lambda d: (d[0] is None, -(d[0] or 0)))
     wanted = Counter()
