@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from catalogue.views import Views
 from conftest import rows
+from headway.sources.workspace import list_folders
 
 LINES = [
     # Order 1 meets supplier 5 on lines 2 and 4, and one line has no supplier.
@@ -54,3 +55,10 @@ def test_lines_are_shuffled_once(spark, folder):
     text = Views(spark, folder).rt_stops._jdf.queryExecution().executedPlan().toString()
     assert text.count("l_suppkey:bigint") == 1 and "arr_secs:" not in text
     assert "stop_id" not in "".join(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_only_the_network_stays_of_its_preparation(spark):
+    views = Views(spark, "/root/testdata/sf0.001", rows_per_task=999_999)
+    assert views.network.stops.count() > 0
+    kept = views._stored_once("network", lambda ws: None)
+    assert list_folders(spark, kept) == ["network"]
