@@ -3,9 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import queries
 from catalogue.views import Views
 from conftest import rows
-from headway.sources.workspace import list_folders
+from headway.operators.features import delay_series
+from headway.operators.schedule import static_schedule
+from headway.sources.workspace import dealt_alike, list_folders
 
 LINES = [
     # Order 1 meets supplier 5 on lines 2 and 4, and one line has no supplier.
@@ -62,3 +65,20 @@ def test_only_the_network_stays_of_its_preparation(spark):
     assert views.network.stops.count() > 0
     kept = views._stored_once("network", lambda ws: None)
     assert list_folders(spark, kept) == ["network"]
+
+
+def test_calls_and_realtime_rows_of_a_series_are_dealt_by_order_only(spark):
+    """The join by stop and order finds both sides dealt by order; a long order is left to the plain plan."""
+    views = Views(spark, "/root/testdata/sf0.001")
+    records = queries._records(views, static_schedule(views.trips, views.calls_by_order, views.stops))
+    with dealt_alike(spark):
+        plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(trip_id" in plan and "Exchange hashpartitioning(stop_id" not in plan
+    assert rows(records) == rows(queries._records(views), *records.columns)
+    assert Views(spark, "/root/testdata/sf0.001", rows_per_task=6).calls_by_order._jdf.queryExecution().toString().count("RepartitionByExpression") == 0
+
+
+def test_only_the_series_stays_of_its_preparation(spark, ws):
+    records = queries._records(Views(spark, "/root/testdata/sf0.001"))
+    series = delay_series(ws, records, rows_per_task=100)
+    assert list_folders(spark, ws.folder) == ["001-series"] and series.count() > 4000
