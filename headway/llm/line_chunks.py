@@ -1,7 +1,7 @@
 """Removal of repeated runs of lines.
 
 A piece of two or more lines that has occurred before, byte for byte, is removed; the first
-occurrence (by document id, then place) stays. Two ways to cut a text into pieces:
+occurrence (by document id, then place) stays. Ways to cut a text into pieces:
 
 - ``line_pairs``: any two neighbouring lines. Every run of two or more lines that occurred before
   is made of such pairs, so it goes whole, whatever stands around it.
@@ -9,6 +9,7 @@ occurrence (by document id, then place) stays. Two ways to cut a text into piece
   where it is divisible by ``DIVISOR``. Lines put in front of a passage shift nothing: the same
   lines end the same chunks again. The lines of a run before its first boundary and after its
   last one stay, and so do chunks of one line.
+- ``chunks_and_pairs``: the chunks, and the pairs for what these cannot see.
 """
 
 from __future__ import annotations
@@ -73,6 +74,14 @@ def line_pairs(text: bytes) -> list[tuple[int, int, int]]:
     return [(a, b, 2) for a, b in zip(starts, ends[1:], strict=False)]
 
 
+def chunks_and_pairs(text: bytes) -> list[tuple[int, int, int]]:
+    """The chunks of ``cut_chunks`` and the pairs of ``line_pairs``.
+
+    A chunk of two lines is a pair already; as a piece of its own it would seem to repeat it.
+    """
+    return [chunk for chunk in cut_chunks(text) if chunk[2] > 2] + line_pairs(text)
+
+
 Cut = Callable[[bytes], list[tuple[int, int, int]]]
 
 

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entries
 import corpus_pipeline
+from headway.llm import line_chunks
 from .test_operators import without_repeated_pairs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -103,3 +104,28 @@ def test_registered_queries():
     names = entries.queries()
     assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
     assert set(entries.oracle_sql()) <= set(names)
+
+
+def test_line_stage_cuts_by_content_too(spark, monkeypatch):
+    """The stage looks at content-defined chunks as well as at pairs; together they take what brute force takes."""
+    cuts, plain = [], line_chunks.without_repeats
+
+    def watched(ws, docs, cut=line_chunks.cut_chunks, *rest):
+        cuts.append(cut)
+        return plain(ws, docs, cut, *rest)
+
+    monkeypatch.setattr(line_chunks, "without_repeats", watched)
+    rng = random.Random(2)
+    passages = [[f"line {k} {n}" for n in range(rng.randrange(2, 9))] for k in range(4)]
+    rows = []
+    for i in range(40):
+        lines = [f"own {i} {n}" for n in range(rng.randrange(4))]
+        rows.append((i, "\n".join([*lines, *rng.choice(passages), *rng.choice([[], ["same"] * 5, rng.choice(passages)])])))
+    rows += [(50, None), (51, ""), rows[3]]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = corpus_pipeline.remove_repeated_lines(spark, docs, FOLDER).collect()
+    wanted = without_repeated_pairs(rows)
+    assert sorted(repr((r.doc_id, r.text)) for r in got) == sorted(repr((i, wanted[(i, t)][3])) for i, t in rows)
+    text = max((t for _, t in rows if t), key=len).encode()
+    chunks = [c for c in line_chunks.cut_chunks(text) if c[2] > 2]
+    assert chunks and set(chunks) <= set(cuts[0](text)) and set(line_chunks.line_pairs(text)) <= set(cuts[0](text))
